@@ -11,6 +11,7 @@ from turnweave.operators.groups import group_advantage
 from turnweave.operators.rewards import helpfulness_reward, load_rewards, with_reward
 from turnweave.operators.training import fan_out
 from turnweave.plans.rollouts import scored_rollouts
+from turnweave.session import materialize
 
 BASE = f"({fx.SQL_COMPLETIONS})"
 
@@ -162,7 +163,8 @@ def centered_advantage(spark, sf_dir):
 
 
 def _advantages(spark, sf_dir, scale):
-    rollouts = _rewarded(spark, sf_dir).select("conv_id", "turn", "reward")
+    # The narrow table of rewards is used three times, the texts are read once.
+    rollouts = materialize(_rewarded(spark, sf_dir).select("conv_id", "turn", "reward"), "rewards")
     return group_advantage(rollouts, "conv_id", ("conv_id", "turn"), scale=scale).select(
         "conv_id",
         "turn",

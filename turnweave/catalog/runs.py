@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from turnweave.catalog import fixtures as fx
 from turnweave.catalog.registry import query
+from turnweave.functions.numbers import floor_div
 from turnweave.operators import outcomes
 from turnweave.session import shared_folder
 from turnweave.sources.logs import stream_run_logs
@@ -54,7 +55,7 @@ def run_log_stream(spark, sf_dir):
     folder = shared_folder(spark, "run-logs")
     logs = _lines(spark, sf_dir).select(
         (F.col("run_id") % LOGGED_RUNS).alias("run"),
-        F.floor(F.col("line_no") / CHUNK_LINES).alias("chunk"),
+        floor_div(F.col("line_no"), CHUNK_LINES).alias("chunk"),
         "value",
     )
     landed = logs.repartition("run", "chunk").select("run", "value")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnweave.functions.numbers import floor_div
 from turnweave.session import checkpointed
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
@@ -48,10 +49,6 @@ def first_rows(df: DataFrame, limit: int | None, *keys: str) -> DataFrame:
     return df if limit is None else df.orderBy(*keys).limit(limit)
 
 
-def batch_number(row: Column, size: int) -> Column:
-    return F.floor(row / F.lit(size)).cast("bigint")
-
-
 def with_epochs(df: DataFrame, epochs: int) -> DataFrame:
     """Each row once per epoch, 1 … ``epochs``."""
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
@@ -64,8 +61,8 @@ def with_batches(df: DataFrame, batch_size: int = 64, mini_batch_size: int = 16,
     place = F.col(row) % batch_size
     return df.withColumns(
         {
-            "batch": batch_number(F.col(row), batch_size),
-            "mini_batch": batch_number(place, mini_batch_size),
+            "batch": floor_div(F.col(row), batch_size),
+            "mini_batch": floor_div(place, mini_batch_size),
         }
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnweave.functions import tokens
+from turnweave.functions.numbers import floor_div
 
 BUCKETS = 10_000
 
@@ -112,7 +113,7 @@ def pack_sequences(
     with ``fits`` false.
     """
     sharded = df.select(key, length).withColumn(
-        "shard", F.floor(F.col(key) / F.lit(block)).cast("bigint")
+        "shard", floor_div(F.col(key), block)
     )
     ordered = sharded.repartition("shard").sortWithinPartitions("shard", key)
     kinds = dict(ordered.dtypes)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnweave.functions.numbers import floor_div
 from turnweave.session import broadcast_if_small, materialize
 
 SPAN = 1024
@@ -29,7 +30,7 @@ DEFAULT_COLUMNS = TurnColumns()
 
 
 def turn_part(turn: Column, span: int) -> Column:
-    return F.floor(turn / F.lit(span)).cast("bigint")
+    return floor_div(turn, span)
 
 
 def continued_parts(
@@ -142,31 +143,31 @@ def with_next_turn(
     The window runs within a part. The last turn of a part finds its next one among the
     first turns of later parts, of which ordinary chats have none.
     """
-    following = F.struct(
-        F.col(names.turn).alias("turn"),
-        F.col(names.role).alias("role"),
-        F.col(names.content).alias("content"),
-    )
+    fields = {"turn": names.turn, "role": names.role, "content": names.content}
     part = turn_part(F.col(names.turn), span)
     inside = Window.partitionBy(names.chat, "part").orderBy(names.turn)
     over_parts = Window.partitionBy(names.chat).orderBy("part")
+    head = F.struct(*[F.col(column).alias(field) for field, column in fields.items()])
     borders = (
         turns.where(F.col(names.turn) >= span)
         .withColumn("part", part)
         .groupBy(names.chat, "part")
-        .agg(F.min_by(following, names.turn).alias("border"))
+        .agg(F.min_by(head, names.turn).alias("border"))
         .select(
             names.chat,
             F.coalesce(F.lag("part").over(over_parts), F.lit(0).cast("bigint")).alias("part"),
             "border",
         )
     )
+    # Leads of plain columns: a lead of a struct would shuffle every text twice.
+    leads = {f"_{field}": F.lead(column).over(inside) for field, column in fields.items()}
+    follower = F.struct(*[F.col(f"_{field}").alias(field) for field in fields])
     return (
         turns.withColumn("part", part)
-        .withColumn("next", F.lead(following).over(inside))
+        .withColumns(leads)
         .join(borders, [names.chat, "part"], "left")
-        .withColumn("next", F.coalesce("next", "border"))
-        .drop("part", "border")
+        .withColumn("next", F.when(F.col("_turn").isNotNull(), follower).otherwise(F.col("border")))
+        .drop("part", "border", *leads)
     )
 
 
