@@ -104,13 +104,18 @@ def logit_score(spark, sf_dir):
   array_to_string(regexp_extract_all(completion, '\S+'), ' ') AS generated FROM ({fx.SQL_ANSWERED})"""
 )
 def generated_suffix(spark, sf_dir):
-    prompt, completion = tokens.words(F.col("prompt")), tokens.words(F.col("completion"))
-    added = tokens.generated_suffix(F.concat(prompt, completion), prompt)
-    return fx.answered(spark, sf_dir).select(
+    inputs = fx.answered(spark, sf_dir).select(
         "conv_id",
         "turn",
-        F.size(added).cast("bigint").alias("n_new"),
-        F.array_join(added, " ").alias("generated"),
+        tokens.words(F.col("prompt")).alias("asked"),
+        tokens.words(F.concat_ws(" ", "prompt", "completion")).alias("output"),
+    )
+    added = tokens.generated_suffix(F.col("output"), F.col("asked")).alias("added")
+    return inputs.select("conv_id", "turn", added).select(
+        "conv_id",
+        "turn",
+        F.size("added").cast("bigint").alias("n_new"),
+        F.array_join("added", " ").alias("generated"),
     )
 
 

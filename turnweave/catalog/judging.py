@@ -265,13 +265,11 @@ def judge_decisions(spark, sf_dir):
 FROM ({fx.SQL_ANSWERED})"""
 )
 def zip_predictions(spark, sf_dir):
-    answered = fx.answered(spark, sf_dir)
-    numbered = dense_ids(answered.select("conv_id", "turn"), "conv_id", "turn")
-    prompts = answered.select("conv_id", "turn", F.col("prompt").alias("query"))
-    completions = answered.select("conv_id", "turn", "completion")
-    key = ["conv_id", "turn"]
-    queries = prompts.join(numbered, key).select("id", "query")
-    return zip_by_id(queries, completions.join(numbered, key).select("id", "completion"))
+    numbered = dense_ids(
+        fx.answered(spark, sf_dir), "conv_id", "turn", carry=("prompt", "completion")
+    )
+    queries = numbered.select("id", F.col("prompt").alias("query"))
+    return zip_by_id(queries, numbered.select("id", "completion"))
 
 
 SQL_STUB_SIZE = f"length({QUESTION})"

@@ -24,12 +24,18 @@ def evaluate(
     limit: int | None = None,
     batch_size: int = models.GENERATION_BATCH,
     local_judge: bool = False,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(predictions, results, summary)`` for examples with ``id`` and ``messages``.
 
     Completions and raw replies are written before anything reads them, so neither
-    model is asked twice when a later step is run again.
+    model is asked twice when a later step is run again. ``partitions`` sets how many
+    calls may run at once; by default it follows the size of the input.
     """
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df if partitions is None else df.repartition(partitions, "id")
+
     chosen = first_rows(examples, limit, "id")
     ends = F.col("ends") if "ends" in examples.columns else None
     prompts = chosen.select(
@@ -37,12 +43,12 @@ def evaluate(
         chat.render_prompt(chat.without_assistant(F.col("messages")), template, ends).alias("query"),
     )
     predictions = materialize(
-        prompts.withColumn("completion", models.generate(*generator, F.col("query"), batch_size)),
+        spread(prompts).withColumn("completion", models.generate(*generator, F.col("query"), batch_size)),
         "predictions",
     )
     request = judging.judge_messages(F.col("query"), F.col("completion"), rubric, local_judge)
     raw = materialize(
-        predictions.select("id", models.judge(*judge, request).alias("raw")), "replies"
+        spread(predictions).select("id", models.judge(*judge, request).alias("raw")), "replies"
     )
     results = judging.read_replies(raw, rubric)
     summary = summarize(results, rubric)

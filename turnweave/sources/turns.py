@@ -135,6 +135,31 @@ def latest_user_text(
     return found.unionByName(joined)
 
 
+def previous_parts(parts: DataFrame, chat: str, span: int) -> DataFrame:
+    """For distinct ``(chat, part)`` rows the part before each, 0 for the first.
+
+    The look back runs within blocks of ``span`` parts; only each block's highest part is
+    compared across a whole chat.
+    """
+    blocked = parts.withColumn("block", floor_div(F.col("part"), span))
+    in_block = Window.partitionBy(chat, "block").orderBy("part")
+    over_blocks = Window.partitionBy(chat).orderBy("block")
+    tops = (
+        blocked.groupBy(chat, "block")
+        .agg(F.max("part").alias("top"))
+        .select(chat, "block", F.lag("top").over(over_blocks).alias("below"))
+    )
+    return (
+        blocked.withColumn("before", F.lag("part").over(in_block))
+        .join(tops, [chat, "block"])
+        .select(
+            chat,
+            "part",
+            F.coalesce("before", "below", F.lit(0).cast("bigint")).alias("previous"),
+        )
+    )
+
+
 def with_next_turn(
     turns: DataFrame, names: TurnColumns = DEFAULT_COLUMNS, span: int = SPAN
 ) -> DataFrame:
@@ -146,18 +171,12 @@ def with_next_turn(
     fields = {"turn": names.turn, "role": names.role, "content": names.content}
     part = turn_part(F.col(names.turn), span)
     inside = Window.partitionBy(names.chat, "part").orderBy(names.turn)
-    over_parts = Window.partitionBy(names.chat).orderBy("part")
     head = F.struct(*[F.col(column).alias(field) for field, column in fields.items()])
-    borders = (
-        turns.where(F.col(names.turn) >= span)
-        .withColumn("part", part)
-        .groupBy(names.chat, "part")
-        .agg(F.min_by(head, names.turn).alias("border"))
-        .select(
-            names.chat,
-            F.coalesce(F.lag("part").over(over_parts), F.lit(0).cast("bigint")).alias("part"),
-            "border",
-        )
+    later = turns.where(F.col(names.turn) >= span).withColumn("part", part)
+    heads = later.groupBy(names.chat, "part").agg(F.min_by(head, names.turn).alias("border"))
+    before = previous_parts(later.select(names.chat, "part").distinct(), names.chat, span)
+    borders = heads.join(before, [names.chat, "part"]).select(
+        names.chat, F.col("previous").alias("part"), "border"
     )
     # Leads of plain columns: a lead of a struct would shuffle every text twice.
     leads = {f"_{field}": F.lead(column).over(inside) for field, column in fields.items()}
