@@ -15,7 +15,7 @@ from turnweave.operators import ids, models, rewards, training
 from turnweave.operators.groups import group_advantage
 from turnweave.operators.preferences import PreferenceFormat, incomplete, map_preferences
 from turnweave.operators.transforms import messages_to_query, transform_from_spec
-from turnweave.plans.evaluation import evaluate
+from turnweave.plans.evaluation import evaluate, evaluate_file
 from turnweave.sources import jsonl
 from turnweave.sources.rubrics import BUILT_IN
 
@@ -30,6 +30,22 @@ def test_dense_ids_follow_key_order(spark):
     assert {(r.a, r.b): r.id for r in found} == {k: i for i, k in enumerate(sorted(keys))}
 
 
+def test_file_order_ids(spark, tmp_path):
+    wanted = []
+    for name, size in (("a.jsonl", 3), ("b.jsonl", 4000), ("c.jsonl", 2)):
+        lines = [f'{{"source_file": "{name}{i}"}}' for i in range(size)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        wanted += [f"{name}{i}" for i in range(size)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several splits per file
+    try:
+        found = ids.file_order_ids(jsonl.read_jsonl(spark, str(tmp_path)))
+        assert [r.source_file for r in found.orderBy("id").collect()] == wanted
+        assert [r.id for r in found.orderBy("id").collect()] == list(range(len(wanted)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_dense_ids_of_nothing(spark):
     assert ids.dense_ids(spark.range(0), "id").count() == 0
 
@@ -236,6 +252,19 @@ def test_evaluation_writes_all_outputs(spark, tmp_path):
     assert set(results.first().scores) == set(BUILT_IN.keys)
 
 
+def test_evaluation_of_a_file(spark, tmp_path):
+    data = tmp_path / "eval.jsonl"
+    lines = [f'{{"messages": [{{"role": "user", "content": "q{i}"}}]}}' for i in range(5)]
+    data.write_text("\n\n".join(lines))
+    out = str(tmp_path / "out")
+    summary = evaluate_file(
+        spark, str(data), ("stub-generator", stubs.generator), ("stub-judge", stubs.judge), out, limit=3
+    )
+    assert summary.first().n == 3
+    written = spark.read.json(f"{out}/predictions.jsonl").orderBy("id").collect()
+    assert [(r.id, f"q{r.id}" in r.query) for r in written] == [(0, True), (1, True), (2, True)]
+
+
 # transforms and preferences --------------------------------------------------------------
 
 

@@ -4,11 +4,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.catalog import fixtures as fx
+from turnweave.catalog import stubs
 from turnweave.catalog.judging import SCORES, SQL_OVERALL, WEIGHTS
 from turnweave.catalog.registry import query
 from turnweave.functions import judging
+from turnweave.operators.ids import file_order_ids
 from turnweave.operators.summary import summarize
 from turnweave.operators.transforms import messages_to_prompt
+from turnweave.plans.rollouts import rollouts_from_settings
 from turnweave.schemas import CHAT_EXAMPLE, JUDGE_RESULT, PREDICTION, SUMMARY
 from turnweave.session import shared_folder
 from turnweave.sources import jsonl, sinks
@@ -59,6 +62,44 @@ def jsonl_transform(spark, sf_dir):
     return read.select("conv_id", "part", "prompt", "answer_key", "source_file")
 
 
+@query(
+    f"""SELECT count(*) AS n_rows, count(*) AS n_ids, 0::BIGINT AS first_id, count(*) - 1 AS last_id
+FROM (SELECT DISTINCT conv_id, turn // {SPAN} FROM conversations)"""
+)
+def jsonl_numbered(spark, sf_dir):
+    numbered = file_order_ids(jsonl.read_jsonl(spark, _examples_file(spark, sf_dir), KEYED))
+    return numbered.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+    )
+
+
+@query(
+    f"""SELECT conv_id, part, e::INT AS epoch, prompt AS query,
+  {fx.sql_think_format("completion")} AS reward_1, round({fx.sql_think_format("completion")} * 0.5, 6) AS reward
+FROM (SELECT *, '<think>' || length(prompt) || '</think>' || chr(10) || 'Re: ' || prompt AS completion
+  FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})), range(1, 3) r(e)"""
+)
+def rollouts_from_file(spark, sf_dir):
+    settings = {
+        "datasets": [
+            {
+                "path": _examples_file(spark, sf_dir),
+                "type": "messages_to_query",
+                "keys": ("conv_id", "part"),
+            }
+        ],
+        "rewards": {"reward_funcs": ["think_format_reward"], "reward_weights": [0.5]},
+        "num_epochs": 2,
+    }
+    scored = rollouts_from_settings(
+        spark, settings, ("stub-generator", stubs.generator), schema=KEYED
+    )
+    return scored.select("conv_id", "part", "epoch", "query", "reward_1", F.round("reward", 6).alias("reward"))
+
+
 @query(
     f"""SELECT conv_id, turn, prompt, completion AS chosen, reverse(completion) AS rejected
 FROM ({fx.SQL_ANSWERED})"""

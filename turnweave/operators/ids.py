@@ -11,6 +11,16 @@ from turnweave.session import checkpointed
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
 
+def _first_ids(placed: DataFrame, *chunk: str) -> DataFrame:
+    """Per chunk of rows what to add to ``_place`` to get dense ids over all chunks."""
+    sizes = placed.groupBy(*chunk).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
+    )
+    before = Window.orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    return sizes.select(*chunk, (start - F.col("_first")).alias("_shift"))
+
+
 def dense_ids(df: DataFrame, *keys: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows ``(keys, carry, id)`` with ids 0 … n−1 in key order.
 
@@ -19,23 +29,36 @@ def dense_ids(df: DataFrame, *keys: str, carry: tuple[str, ...] = ()) -> DataFra
     steps, so a lost executor cannot change it. Prefer a key the data has: carry little,
     and join the rest by key.
     """
-    numbered = checkpointed(
+    placed = checkpointed(
         df.select(*keys, *carry)
         .orderBy(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    partition = F.shiftrightunsigned("_place", ROW_BITS)
+    parted = placed.withColumn("_partition", F.shiftrightunsigned("_place", ROW_BITS))
     # One row per sort partition.
-    sizes = numbered.groupBy(partition.alias("_partition")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    shifts = F.broadcast(_first_ids(parted, "_partition"))
+    return parted.join(shifts, "_partition").select(
+        *keys, *carry, (F.col("_place") + F.col("_shift")).alias("id")
+    )
+
+
+def file_order_ids(df: DataFrame) -> DataFrame:
+    """Rows of a file scan with ``id`` 0 … n−1 in the order of files and lines.
+
+    Lines of one split are read in order, so nothing is sorted or shuffled: only the
+    first id of each split has to be found.
+    """
+    placed = checkpointed(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
     )
-    within = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (
-        numbered.withColumn("_partition", partition)
-        .join(F.broadcast(starts), "_partition")
-        .select(*keys, *carry, (F.col("_start") + within).alias("id"))
+    shifts = _first_ids(placed, "_file", "_block")
+    return placed.join(shifts, ["_file", "_block"]).select(
+        (F.col("_place") + F.col("_shift")).alias("id"), *df.columns
     )
 
 

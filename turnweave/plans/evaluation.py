@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.functions import chat, judging
 from turnweave.operators import models
-from turnweave.operators.ids import first_rows
+from turnweave.operators.ids import file_order_ids, first_rows
 from turnweave.operators.summary import summarize
 from turnweave.session import materialize
 from turnweave.sources import sinks
-from turnweave.sources.rubrics import BUILT_IN, Rubric
+from turnweave.sources.jsonl import read_jsonl
+from turnweave.sources.rubrics import BUILT_IN, Rubric, load_rubric
 
 
 def evaluate(
@@ -57,3 +58,22 @@ def evaluate(
         sinks.write_judge_results(results, f"{output_dir}/judge_results.jsonl")
         sinks.write_summary(summary, f"{output_dir}/summary.json")
     return predictions, results, summary
+
+
+def evaluate_file(
+    spark: SparkSession,
+    data: str,
+    generator: tuple[str, models.Factory],
+    judge: tuple[str, models.Factory],
+    output_dir: str,
+    rubric_path: str | None = None,
+    limit: int | None = None,
+    **options,
+) -> DataFrame:
+    """Evaluate the examples of JSON Lines files, numbered in input order; the summary."""
+    examples = file_order_ids(read_jsonl(spark, data))
+    rubric = load_rubric(spark, rubric_path)
+    _, _, summary = evaluate(
+        examples, generator, judge, output_dir, rubric, limit=limit, **options
+    )
+    return summary

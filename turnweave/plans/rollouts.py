@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.operators import models
 from turnweave.operators.ids import with_epochs
-from turnweave.operators.rewards import RewardFunction, with_reward
+from turnweave.operators.rewards import REWARDS, RewardFunction, load_rewards, with_reward
+from turnweave.operators.transforms import transform_from_spec
+from turnweave.schemas import CHAT_EXAMPLE
 from turnweave.session import materialize
+from turnweave.sources.jsonl import read_transformed
 
 
 def scored_rollouts(
@@ -32,3 +35,24 @@ def scored_rollouts(
         "completions",
     )
     return with_reward(completed, rewards, "query", "completion", columns)
+
+
+def rollouts_from_settings(
+    spark: SparkSession,
+    settings: Mapping,
+    generator: tuple[str, models.Factory],
+    known: Mapping[str, RewardFunction] = REWARDS,
+    schema=CHAT_EXAMPLE,
+) -> DataFrame:
+    """Scored completions as a settings mapping asks for them.
+
+    Read are the first of ``datasets`` (``path``, ``type`` and options of the transform),
+    ``rewards`` (``reward_funcs``, ``reward_weights``) and ``num_epochs``.
+    """
+    dataset, wanted = settings["datasets"][0], settings.get("rewards", {})
+    functions = load_rewards(
+        wanted.get("reward_funcs", []), wanted.get("reward_weights", []), known
+    )
+    transform = transform_from_spec({**dataset, "ppo": True})
+    queries = read_transformed(spark, dataset["path"], transform, schema)
+    return scored_rollouts(queries, generator, functions, int(settings.get("num_epochs", 1)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.functions import stages as st
-from turnweave.session import broadcast_if_small
+from turnweave.session import broadcast_if_small, local_table
 
 # Masks that are run by default, and (algorithm, dataset index, chunk).
 DEFAULT_MASKS = (0, 6)
@@ -32,7 +32,8 @@ MANIFEST = T.StructType(
 
 
 def dataset_manifest(spark: SparkSession, datasets=DEFAULT_DATASETS) -> DataFrame:
-    return spark.createDataFrame(list(datasets), MANIFEST)
+    rows = [dict(zip(MANIFEST.names, dataset)) for dataset in datasets]
+    return local_table(spark, rows, MANIFEST)
 
 
 def series_of(experiments: DataFrame, masks: str = "masks") -> DataFrame:

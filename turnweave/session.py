@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -66,3 +68,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A small table of settings. Handed over as Arrow, it is part of the plan itself."""
+    columns = {name: [row[name] for row in rows] for name in schema.names}
+    return spark.createDataFrame(pa.table(columns), schema)

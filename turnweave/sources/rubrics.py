@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from turnweave.session import local_table
+
 
 @dataclass(frozen=True)
 class Category:
@@ -187,12 +189,15 @@ def load_rubric(spark: SparkSession, path: str | None = None) -> Rubric:
 def rubric_table(spark: SparkSession, rubrics: dict[str, Rubric]) -> DataFrame:
     """One row per rubric, to join by ``rubric_id``. Small by construction."""
     rows = [
-        (
-            name,
-            float(r.scale_min),
-            float(r.scale_max),
-            [(c.key, float(c.weight), c.instruction) for c in r.categories],
-        )
+        {
+            "rubric_id": name,
+            "scale_min": float(r.scale_min),
+            "scale_max": float(r.scale_max),
+            "categories": [
+                {"key": c.key, "weight": float(c.weight), "instruction": c.instruction}
+                for c in r.categories
+            ],
+        }
         for name, r in rubrics.items()
     ]
-    return spark.createDataFrame(rows, RUBRIC_ROW)
+    return local_table(spark, rows, RUBRIC_ROW)
