@@ -113,6 +113,17 @@ def test_materialized_rows_are_not_computed_again(spark):
     assert kept.schema == noisy.schema or kept.columns == noisy.columns
 
 
-@pytest.mark.parametrize("label", ["checkpointed"])
-def test_checkpoint_keeps_rows(spark, label):
+def test_checkpoint_keeps_rows(spark):
     assert session.checkpointed(spark.range(5)).count() == 5
+
+
+def test_shuffles_sized_by_input(spark):
+    names = [
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    ]
+    fresh = spark.newSession()
+    session.configure(fresh, 100 << 40)
+    assert [fresh.conf.get(n) for n in names] == [str((100 << 40) // session.SHUFFLE_BYTES), str(256 << 20)]
+    session.configure(fresh, 10)
+    assert fresh.conf.get(names[0]) == fresh.conf.get("spark.sql.shuffle.partitions")

@@ -59,8 +59,8 @@ def test_parts_hold_every_turn_in_order(turns, rows, span):
 
 @pytest.mark.parametrize("template", [chat.PLAIN, chat.CHATML])
 def test_prompts_of_parts_join_up(turns, template):
-    def whole(span):
-        prompts = assemble_chats(turns, span=span).transform(
+    def whole(span, prompts_only=False):
+        prompts = assemble_chats(turns, span=span, prompts_only=prompts_only).transform(
             messages_to_prompt(template, ("conv_id", "part"))
         )
         texts = {}
@@ -68,7 +68,7 @@ def test_prompts_of_parts_join_up(turns, template):
             texts[row.conv_id] = texts.get(row.conv_id, "") + row.prompt
         return texts
 
-    assert whole(2) == whole(100_000)
+    assert whole(2) == whole(100_000) == whole(3, prompts_only=True)
     assert all(text.endswith(template.header) for text in whole(2).values())
 
 

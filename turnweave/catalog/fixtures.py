@@ -66,6 +66,10 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_chats(turns(spark, sf_dir))
 
 
+def prompt_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble_chats(turns(spark, sf_dir), prompts_only=True)
+
+
 def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered_turns(turns(spark, sf_dir))
 

@@ -307,7 +307,7 @@ SQL_EVALUATED_SCORES = ", ".join(
 
 @query(_sql_summary("0::BIGINT", f"(SELECT conv_id, {SQL_EVALUATED_SCORES} FROM {SQL_EVALUATED})"))
 def judge_evaluation(spark, sf_dir):
-    examples = fx.chats(spark, sf_dir).withColumn("id", F.col("conv_id"))
+    examples = fx.prompt_chats(spark, sf_dir).withColumn("id", F.col("conv_id"))
     _, _, summary = evaluate(
         examples, ("stub-generator", stubs.generator), ("stub-judge", stubs.judge)
     )

@@ -50,12 +50,12 @@ def prune_assistant(spark, sf_dir):
 
 @query(fx.sql_prompts(fx.SQL_PLAIN_LINE, fx.SQL_PLAIN_HEADER))
 def prompt_plain(spark, sf_dir):
-    return fx.chats(spark, sf_dir).transform(messages_to_prompt(chat.PLAIN, KEYS))
+    return fx.prompt_chats(spark, sf_dir).transform(messages_to_prompt(chat.PLAIN, KEYS))
 
 
 @query(fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER))
 def prompt_chatml(spark, sf_dir):
-    return fx.chats(spark, sf_dir).transform(messages_to_prompt(chat.CHATML, KEYS))
+    return fx.prompt_chats(spark, sf_dir).transform(messages_to_prompt(chat.CHATML, KEYS))
 
 
 @query(
@@ -64,7 +64,7 @@ def prompt_chatml(spark, sf_dir):
 FROM {PARTS} GROUP BY conv_id, part"""
 )
 def prompt_messages(spark, sf_dir):
-    prompts = fx.chats(spark, sf_dir).transform(messages_to_prompt(None, KEYS))
+    prompts = fx.prompt_chats(spark, sf_dir).transform(messages_to_prompt(None, KEYS))
     return prompts.withColumn("prompt", _listed(F.col("prompt")))
 
 
@@ -78,7 +78,7 @@ FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})""",
     name="messages_to_prompt",
 )
 def prompts_with_metadata(spark, sf_dir):
-    return fx.with_metadata(fx.chats(spark, sf_dir)).transform(messages_to_prompt(keys=KEYS))
+    return fx.with_metadata(fx.prompt_chats(spark, sf_dir)).transform(messages_to_prompt(keys=KEYS))
 
 
 @query(
@@ -87,7 +87,7 @@ FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})""",
     name="messages_to_query",
 )
 def queries_only(spark, sf_dir):
-    return fx.with_metadata(fx.chats(spark, sf_dir)).transform(messages_to_query(keys=KEYS))
+    return fx.with_metadata(fx.prompt_chats(spark, sf_dir)).transform(messages_to_query(keys=KEYS))
 
 
 @query(
@@ -98,7 +98,7 @@ def transform_by_name(spark, sf_dir):
     transform = transform_from_spec(
         {"type": "messages_to_query", "keys": KEYS, "return_field": "asked", "keep_metadata": True}
     )
-    return fx.with_metadata(fx.chats(spark, sf_dir)).transform(transform)
+    return fx.with_metadata(fx.prompt_chats(spark, sf_dir)).transform(transform)
 
 
 @query(

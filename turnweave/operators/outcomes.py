@@ -33,7 +33,8 @@ def finished_runs(lines: DataFrame, run: str = "run_id", order: str = "line_no")
 
 def run_outcomes(runs: DataFrame, finished: DataFrame, run: str = "run_id") -> DataFrame:
     """Runs, one row each, with ``success`` or ``failure``."""
-    done = finished.select(run)
-    won = runs.join(done, run, "left_semi").withColumn("outcome", F.lit("success"))
-    lost = runs.join(done, run, "left_anti").withColumn("outcome", F.lit("failure"))
-    return won.unionByName(lost)
+    done = finished.select(run).distinct().withColumn("_done", F.lit(True))
+    return runs.join(done, run, "left").select(
+        *runs.columns,
+        F.when(F.col("_done"), F.lit("success")).otherwise(F.lit("failure")).alias("outcome"),
+    )

@@ -12,16 +12,24 @@ from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+SHUFFLE_BYTES = 256 << 20
+
 # A side is only hinted for broadcast when it is known to hold no more rows than this.
 BROADCAST_ROWS = 100_000
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings that results depend on.
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the SQL settings that results depend on, and size shuffles.
 
     Judge replies with a repeated key keep its last value; Spark rejects them by default.
+    With ``input_bytes`` a shuffle starts from enough partitions for all of the input, about
+    ``SHUFFLE_BYTES`` each; adaptive execution merges them where less arrives.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    if input_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // SHUFFLE_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLE_BYTES))
     return spark
 
 

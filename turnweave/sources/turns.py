@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnweave.functions.chat import is_assistant
 from turnweave.functions.numbers import floor_div
 from turnweave.session import broadcast_if_small, materialize
 
@@ -51,19 +52,27 @@ def continued_parts(
 
 
 def assemble_chats(
-    turns: DataFrame, names: TurnColumns = DEFAULT_COLUMNS, span: int = SPAN
+    turns: DataFrame,
+    names: TurnColumns = DEFAULT_COLUMNS,
+    span: int = SPAN,
+    prompts_only: bool = False,
 ) -> DataFrame:
     """Rows ``(chat, part, ends, messages)``.
 
     A chat of up to ``span`` turns is one row, part 0. A longer one is several rows
     in order; ``ends`` marks the last, and prompts rendered from the parts join up to
     the prompt of the whole chat.
+
+    ``prompts_only`` leaves assistant turns out. Their texts, most of the bytes of a
+    chat, then take no part in the shuffle; every chat keeps its rows.
     """
     entry = F.struct(
         F.col(names.turn).alias("turn"),
         F.col(names.role).alias("role"),
         F.col(names.content).alias("content"),
     )
+    if prompts_only:
+        entry = F.when(~is_assistant(F.col(names.role)), entry)
     bodies = (
         turns.withColumn("part", turn_part(F.col(names.turn), span))
         .groupBy(names.chat, "part")
