@@ -57,23 +57,24 @@ def _field(parsed: Column, group: str, key: str) -> Column:
     return F.try_variant_get(parsed, f'$[0].{group}["{quoted}"]', "variant")
 
 
-def _score(parsed: Column, key: str, rubric: Rubric) -> Column:
-    """A number or boolean, clamped to the scale; anything else is null."""
-    field = _field(parsed, "scores", key)
-    value = F.when(
+def _number(field: Column) -> Column:
+    """The value of a number or boolean; null for anything else."""
+    return F.when(
         F.schema_of_variant(field).rlike(NUMBER_TYPES), F.try_variant_get(field, "$", "double")
     )
-    low, high = F.lit(float(rubric.scale_min)), F.lit(float(rubric.scale_max))
-    # least/greatest skip nulls, so an unread score must not reach them.
-    return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)) + F.lit(0.0))
 
 
-def _reason(parsed: Column, key: str) -> Column:
-    field = _field(parsed, "reasons", key)
-    text = F.when(
+def _text(field: Column) -> Column:
+    return F.when(
         F.schema_of_variant(field) == F.lit("STRING"), F.try_variant_get(field, "$", "string")
     )
-    return F.coalesce(tx.strip(text), F.lit(""))
+
+
+def clamp(value: Column, rubric: Rubric) -> Column:
+    """A score within the rubric's scale, never a negative zero."""
+    low, high = F.lit(float(rubric.scale_min)), F.lit(float(rubric.scale_max))
+    # least/greatest skip nulls, so an unread score must not reach them.
+    return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)) + F.lit(0.0))
 
 
 def weighted_mean(values: dict[str, Column], rubric: Rubric) -> Column:
@@ -104,12 +105,25 @@ def read_replies(df: DataFrame, rubric: Rubric, raw: str = "raw") -> DataFrame:
     staged = df.withColumn("_reply", F.try_parse_json(document)).withColumn(
         "_reply", F.when(one, F.col("_reply"))
     )
-    reply = F.col("_reply")
-    scores = [(key, _score(reply, key, rubric)) for key in rubric.keys]
-    reasons = [(key, _reason(reply, key)) for key in rubric.keys]
-    read = staged.withColumns(
-        {"scores": _literal_map(scores, "double"), "reasons": _literal_map(reasons, "string")}
-    ).drop("_reply")
+    # In steps, so that no field is extracted twice.
+    reply, places = F.col("_reply"), range(len(rubric.keys))
+    fields = {f"_score_{i}": _field(reply, "scores", key) for i, key in enumerate(rubric.keys)}
+    fields |= {f"_reason_{i}": _field(reply, "reasons", key) for i, key in enumerate(rubric.keys)}
+    values = {f"_score_{i}": _number(F.col(f"_score_{i}")) for i in places}
+    values |= {f"_reason_{i}": _text(F.col(f"_reason_{i}")) for i in places}
+    scores = [(key, clamp(F.col(f"_score_{i}"), rubric)) for i, key in enumerate(rubric.keys)]
+    reasons = [
+        (key, F.coalesce(tx.strip(F.col(f"_reason_{i}")), F.lit("")))
+        for i, key in enumerate(rubric.keys)
+    ]
+    read = (
+        staged.withColumns(fields)
+        .withColumns(values)
+        .withColumns(
+            {"scores": _literal_map(scores, "double"), "reasons": _literal_map(reasons, "string")}
+        )
+        .drop("_reply", *fields)
+    )
     found = {key: F.col("scores")[key] for key in rubric.keys}
     return read.withColumn("overall", weighted_mean(found, rubric))
 

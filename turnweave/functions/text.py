@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns whose results must agree with Python's ``re`` and ``str.strip`` (fixed values).
-# Java's \s is ASCII unless (?U) is set, and even then omits the separators 0x1C-0x1F.
-WHITESPACE = r"[\s\x1c-\x1f]"
-THINK_BLOCK = rf"(?sU)<think>.*?</think>{WHITESPACE}*"
-LEADING_WHITESPACE = rf"(?U)^{WHITESPACE}+"
-OUTER_WHITESPACE = rf"(?U)^{WHITESPACE}+|{WHITESPACE}+\z"
-JSON_OBJECT = r"\{[\s\S]*\}"
+# What Python's ``re`` and ``str.strip`` count as whitespace (fixed values). Java's \s and
+# Spark's trim without characters cover less.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# Fixed values.
+THINK_BLOCK = rf"(?s)<think>.*?</think>[{SPACES}]*"
+# [\s\S] in place of the dot would match the same and take many times as long.
+JSON_OBJECT = r"(?s)\{.*\}"
 THINK_THEN_ANSWER = r"(?s)^<think>(?!.*<think>).*?</think>.*\S"
 THINK_ONLY = r"(?s)^<think>(?!.*<think>).*?</think>"
 
@@ -22,11 +27,11 @@ def strip_think(text: Column) -> Column:
 
 
 def lstrip(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(LEADING_WHITESPACE), F.lit(""))
+    return F.ltrim(text, F.lit(SPACES))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(OUTER_WHITESPACE), F.lit(""))
+    return F.btrim(text, F.lit(SPACES))
 
 
 def isolate_json(text: Column) -> Column:
