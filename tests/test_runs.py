@@ -78,7 +78,7 @@ def test_log_stream_reports_each_run_once(spark, tmp_path):
     sink, progress = str(tmp_path / "sink"), str(tmp_path / "progress")
 
     def run_stream():
-        runs.write_available(runs.completions(stream_run_logs(spark, f"{logs}/*")), sink, progress)
+        runs.write_available(runs.completions(stream_run_logs(spark, f"{logs}/*", 2)), sink, progress)
         return sorted(r.run_id for r in spark.read.parquet(sink).collect())
 
     assert run_stream() == ["r1"]

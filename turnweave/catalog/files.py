@@ -36,7 +36,7 @@ def _examples_file(spark, sf_dir):
 
 @query(
     f"""SELECT conv_id, part, string_agg(role || '=' || text, '|' ORDER BY turn) AS messages,
-  substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key, NULL::VARCHAR AS reference_solution
+  substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key, '' AS reference_solution
 FROM (SELECT *, turn // {SPAN} AS part FROM conversations) GROUP BY conv_id, part"""
 )
 def jsonl_roundtrip(spark, sf_dir):
@@ -47,7 +47,7 @@ def jsonl_roundtrip(spark, sf_dir):
         "part",
         F.array_join(lines, "|").alias("messages"),
         "answer_key",
-        "reference_solution",
+        F.coalesce("reference_solution", F.lit("")).alias("reference_solution"),
     )
 
 

@@ -86,13 +86,13 @@ def run_outcome(spark, sf_dir):
 
 @query(
     f"""SELECT run_id, day, CASE WHEN bool_or({SAVED}) THEN 'success' ELSE 'failure' END AS outcome
-FROM (SELECT user_id AS run_id, CAST(ts AS DATE) AS day, {fx.LOG_LINE} AS value FROM events)
+FROM (SELECT user_id AS run_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {fx.LOG_LINE} AS value FROM events)
 GROUP BY run_id, day"""
 )
 def run_outcome_daily(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events")
     lines = events.select(
-        F.struct("user_id", F.to_date("ts").alias("day")).alias("run_id"),
+        F.struct("user_id", F.to_date("ts").cast("string").alias("day")).alias("run_id"),
         F.col("event_id").alias("line_no"),
         F.expr(fx.LOG_LINE).alias("value"),
     )

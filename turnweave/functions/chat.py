@@ -61,12 +61,6 @@ def render_prompt(messages: Column, template: ChatTemplate, ends: Column | None
     return F.concat(F.array_join(pieces, ""), header)
 
 
-def chat_text(messages: Column, template: ChatTemplate) -> Column:
-    """Messages as one string without the closing header."""
-    pieces = F.transform(messages, lambda m: message_text(template, m["role"], m["content"]))
-    return F.array_join(pieces, "")
-
-
 def last_user_text(messages: Column, prompt: Column | None = None) -> Column:
     """The newest user message; with no user turn, all contents joined by a space.
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 SHUFFLE_BYTES = 256 << 20
+HOTSPOT_METHOD_BYTES = 8000
 
 # A side is only hinted for broadcast when it is known to hold no more rows than this.
 BROADCAST_ROWS = 100_000
@@ -26,6 +27,7 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     ``SHUFFLE_BYTES`` each; adaptive execution merges them where less arrives.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(HOTSPOT_METHOD_BYTES))
     if input_bytes is not None:
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // SHUFFLE_BYTES))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
