@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
+from turnweave.llm.fingerprints import neighbour_fingerprints
+from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
+from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +63,43 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         items_digest().alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffix sums over the encoded lengths of all documents."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    return suffix_sums(length_histogram(with_token_counts(docs)))
+
+
+RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+#: Hosts whose pages are listed.
+SPAM = "spam|pills|casino"
+
+_URL_PARTS = r"^[\s\S]*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
+_SQL_RULES = "[" + ", ".join(f"{{'verdict': '{r.verdict}', 'h': '{r.host}', 'p': '{r.path}'}}" for r in RULES) + "]"
+
+
+@query(f"""WITH parts AS (SELECT page_id, {LOWER.format(f"regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 1)")} AS host,
+  regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 2) AS path,
+  regexp_replace(regexp_replace(regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 3), '(^|&)(utm_[a-z]+|ref)=[^&]*', '', 'g'), '^&', '') AS q
+  FROM pages),
+keyed AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
+  || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS k FROM parts),
+listed AS (SELECT DISTINCT k FROM keyed WHERE regexp_matches(host, '{SPAM}')),
+fits AS (SELECT page_id, arg_max(r, len(r.h || r.p)) AS r FROM (SELECT page_id, host, path, unnest({_SQL_RULES}) AS r FROM keyed)
+  WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY page_id)
+SELECT page_id, host, path, r.h || r.p AS rule,
+  coalesce(r.verdict, CASE WHEN k IN (SELECT k FROM listed WHERE k IS NOT NULL) THEN 'block' ELSE 'allow' END) AS verdict
+FROM keyed LEFT JOIN fits USING (page_id)""")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page; listed are the canonical URLs of spam hosts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listing = pages.where(host_of(F.col("url")).rlike(SPAM)).select(canonical(F.col("url")))
+    return filter_urls(pages, listing, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and their likeness."""
+    return neighbour_fingerprints(table(spark, sf_dir, "documents"))
