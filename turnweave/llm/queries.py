@@ -9,7 +9,9 @@ from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
 from turnweave.llm.fingerprints import neighbour_fingerprints
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
+from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
+from turnweave.session import materialize
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -69,7 +71,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suffix sums over the encoded lengths of all documents."""
     docs = table(spark, sf_dir, "documents").select("text")
-    return suffix_sums(length_histogram(with_token_counts(docs)))
+    return suffix_sums(materialize(length_histogram(with_token_counts(docs)), "token-lengths"))
 
 
 RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
@@ -103,3 +105,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness."""
     return neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model of the labelled ones outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
