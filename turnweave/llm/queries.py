@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
 from turnweave.llm.fingerprints import neighbour_fingerprints
+from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
@@ -113,3 +114,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT doc_id, {sql_words("text", VISIBLE)} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reached ON reached.a = d.doc_id GROUP BY ALL""")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and group of similar documents of each document."""
+    return similar_groups(table(spark, sf_dir, "documents"))
