@@ -23,13 +23,15 @@ from turnweave.llm.frames import with_arrow_columns
 from turnweave.llm.words import ALPHANUMERIC, Words, mix, slices, words_of
 
 #: Labelled documents of each class that training may see, at most; those of the least hashes.
-SAMPLE_PER_CLASS = 2500
+SAMPLE_PER_CLASS = 1500
 #: Longer texts are left out of that sample.
 SAMPLE_BYTES = 1 << 19
 FOLDS, HELD_OUT = 5, 0
 ONE_IN, LEAST = 50, 2
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
+#: Words and texts looked at together, so that training needs little memory besides its sample.
+WORD_BLOCK, TEXT_BLOCK = 20_000, 64
 DIMENSIONS = 12
 ROUNDS, EPOCHS, BATCH, RATE = 4, 2, 512, 0.3
 
@@ -52,7 +54,8 @@ class Bags:
 
     def word_sums(self, values: np.ndarray) -> np.ndarray:
         """Mean of ``values`` over each word's rows."""
-        sums = np.concatenate([[0.0], np.cumsum(values[self.rows], dtype=np.float64)])
+        sums = np.zeros(len(self.rows) + 1)
+        np.cumsum(values[self.rows], out=sums[1:])
         return (sums[self.first[1:]] - sums[self.first[:-1]]) / np.maximum(np.diff(self.first), 1)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
@@ -72,17 +75,19 @@ def bags_of(texts: pa.Array) -> Bags:
 
 def gram_rows(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the n-grams of some words, marked at both ends, and of the words themselves."""
-    spelled = lists_of_bytes(words, chosen)
-    letters = words_of_letters(spelled)
-    owners, hashes = [np.arange(len(chosen))], [letters.whole()]
-    for n in GRAMS:
-        places, found = letters.windows(n)
-        owners.append(np.searchsorted(letters.first, places, side="right") - 1)
-        hashes.append(found)
-    owner, hashed = np.concatenate(owners), np.concatenate(hashes)
-    order = np.argsort(owner, kind="stable")
-    rows = (hashed[order] % np.uint64(BUCKETS)).astype(np.int64)
-    return rows, np.searchsorted(owner[order], np.arange(len(chosen) + 1))
+    made, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for at in range(0, len(chosen), WORD_BLOCK):
+        some = chosen[at : at + WORD_BLOCK]
+        letters = words_of_letters(lists_of_bytes(words, some))
+        owners, hashes = [np.arange(len(some))], [letters.whole()]
+        for n in GRAMS:
+            places, found = letters.windows(n)
+            owners.append(np.searchsorted(letters.first, places, side="right") - 1)
+            hashes.append(found)
+        owner, hashed = np.concatenate(owners), np.concatenate(hashes)
+        made.append((hashed[np.argsort(owner, kind="stable")] % np.uint64(BUCKETS)).astype(np.int32))
+        counts.append(np.bincount(owner, minlength=len(some)))
+    return np.concatenate(made), np.cumsum(np.concatenate(counts))
 
 
 def lists_of_bytes(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,14 +190,19 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
 
 def first_choice(bags: Bags, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
     """For each word, how much more often toxic texts have its most telling n-gram than clean ones."""
-    owner, number = bags.distinct()
-    counts = np.diff(bags.first)[number]
-    starts = np.repeat(bags.first[:-1][number] - (np.cumsum(counts) - counts), counts)
-    rows = bags.rows[starts + np.arange(counts.sum())]
-    key = np.unique(np.repeat(owner, counts) * BUCKETS + rows)
-    text, row = key // BUCKETS, key % BUCKETS
-    found = np.bincount(row[toxic[text]], minlength=BUCKETS).astype(float)
-    expected = np.bincount(row[clean[text]], minlength=BUCKETS) * (toxic.sum() / clean.sum())
+    owners, numbers = bags.distinct()
+    found, clear = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for text in range(0, len(toxic), TEXT_BLOCK):
+        low, high = np.searchsorted(owners, [text, text + TEXT_BLOCK])
+        number = numbers[low:high]
+        counts = np.diff(bags.first)[number]
+        starts = np.repeat(bags.first[:-1][number] - (np.cumsum(counts) - counts), counts)
+        rows = bags.rows[starts + np.arange(counts.sum())]
+        key = np.unique(np.repeat(owners[low:high], counts) * BUCKETS + rows)
+        owner, row = key // BUCKETS, key % BUCKETS
+        found += np.bincount(row[toxic[owner]], minlength=BUCKETS)
+        clear += np.bincount(row[clean[owner]], minlength=BUCKETS)
+    expected = clear * (toxic.sum() / clean.sum())
     telling = (found - expected) / np.sqrt(found + expected + 1) * np.abs(np.log((found + 1) / (expected + 1)))
     out = np.full(len(bags.first) - 1, -np.inf)
     filled = np.flatnonzero(np.diff(bags.first))
