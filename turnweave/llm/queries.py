@@ -9,6 +9,7 @@ from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
 from turnweave.llm.fingerprints import neighbour_fingerprints
 from turnweave.llm.ngram_join import similar_groups
+from turnweave.llm.pseudonyms import found, pseudonymize
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
@@ -128,3 +129,10 @@ FROM d LEFT JOIN n USING (doc_id) JOIN reached ON reached.a = d.doc_id GROUP BY
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and group of similar documents of each document."""
     return similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for its personal values, and how many were looked at."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("n_found", found("text"))
+    return pseudonymize(docs)
