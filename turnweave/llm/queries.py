@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
 from turnweave.llm.fingerprints import neighbour_fingerprints
+from turnweave.llm.licenses import TEMPLATES, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.pseudonyms import found, pseudonymize
+from turnweave.llm.sentence_fst import decode_pieces, encode_pieces
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
@@ -136,3 +138,30 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for its personal values, and how many were looked at."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("n_found", found("text"))
     return pseudonymize(docs)
+
+
+@query()
+def op9_sentence_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = decode_pieces(encode_pieces(docs))
+    return decoded.select("doc_id", "n_pieces", "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+_SQL_TEMPLATES = "[" + ", ".join(f"{{'label': '{t.label}', 'base': {t.base}, 'o': {t.offset}, 'k': {t.key}, 'n': {t.words}}}" for t in TEMPLATES) + "]"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
+tries AS (SELECT doc_id, w, unnest({_SQL_TEMPLATES}) AS t FROM d),
+found AS (SELECT doc_id, w, t, unnest(list_filter(range(1, greatest(len(w) - len(t.k) + 2, 1)), lambda p: w[p:p + len(t.k) - 1] = t.k)) AS p FROM tries),
+places AS (SELECT doc_id, t.label, t.base, p - 1 AS b,
+  len(list_filter(range(1, len(t.n) + 1), lambda k: p - t.o + k - 1 > 0 AND w[p - t.o + k - 1] = t.n[k])) / len(t.n) AS s FROM found),
+sums AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(b) FILTER (base) AS f, max(b) FILTER (base) AS l,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(s) AS s
+  FROM places GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, f AS first_word, l AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(s, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN sums USING (doc_id)""")
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "places")
