@@ -12,6 +12,7 @@ from turnweave.llm.licenses import TEMPLATES, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.pseudonyms import found, pseudonymize
 from turnweave.llm.sentence_fst import decode_pieces, encode_pieces
+from turnweave.llm.substring_dedup import remove_repeats
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
@@ -165,3 +166,17 @@ FROM d LEFT JOIN sums USING (doc_id)""")
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "places")
+
+
+@query(f"""WITH d AS (SELECT doc_id, {sql_words("text", VISIBLE, lower=False)} AS w FROM documents),
+p AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+r AS (SELECT doc_id, p FROM p WHERE s IN (SELECT s FROM p GROUP BY s HAVING count(*) > 1)),
+gone AS (SELECT doc_id, list(DISTINCT x) AS x FROM (SELECT doc_id, unnest(range(p, p + 35)) AS x FROM r) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(v, ' ' ORDER BY i) AS k FROM (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS i FROM d) t
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(x) AS x FROM gone) g WHERE g.doc_id = t.doc_id AND g.x = t.i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(x), 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that stand in a passage repeated anywhere, and what is kept."""
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

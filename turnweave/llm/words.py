@@ -114,9 +114,12 @@ class Words:
         counts = np.maximum(self.counts - (n - 1), 0)
         skipped = np.cumsum(counts) - counts
         places = np.arange(counts.sum()) + np.repeat(self.first[:-1] - skipped, counts)
-        sums = self.sums()
-        _, down = _WORDS.to(total)
-        return places, mix((sums[places + n] - sums[places]) * down[places] + _U(n))
+        return places, self.hashes_at(places, n)
+
+    def hashes_at(self, places: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the ``n`` words from each place on."""
+        sums, (_, down) = self.sums(), _WORDS.to(len(self.hashes) + 1)
+        return mix((sums[places + n] - sums[places]) * down[places] + _U(n))
 
     def sums(self) -> np.ndarray:
         if not hasattr(self, "_sums"):
