@@ -36,6 +36,8 @@ SUM_FAN = 256
 BUCKET_ENTRIES = 1_000_000
 #: From twice the mean of the counters plus this on, a shingle may be too frequent for one task.
 HOT_COUNT = 10_000
+#: Lists of a shingle with more classes are compared in blocks within tasks, by short profiles.
+LONG_LIST, LIST_BLOCK, BRIEF = 32, 1024, 64
 #: Rows of 16 bytes that may be broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -47,8 +49,8 @@ def _schema(**fields: T.DataType) -> T.StructType:
 
 
 SETS = _schema(key=_LONG, n=_INT, grams=_BIN)
-PREFIXES = _schema(doc_id=_LONG, key=_LONG, n=_INT, hot_from=_INT, prefix=T.ArrayType(_LONG), profile=_BIN)
-ENTRIES = _schema(gram=_LONG, key=_LONG, n=_INT, pos=_INT)
+PREFIXES = _schema(doc_id=_LONG, key=_LONG, n=_INT, weight=_INT, hot_from=_INT, prefix=T.ArrayType(_LONG), profile=_BIN)
+ENTRIES = _schema(gram=_LONG, key=_LONG, n=_INT, weight=_INT, pos=_INT)
 
 
 class ShingleSets:
@@ -114,8 +116,8 @@ def shingle_counts(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
 
 
 def profile(grams: np.ndarray) -> bytes:
-    """How many of a set's shingles lie in each of equal ranges of hashes, about eight in one."""
-    bits = max(2, int(len(grams) // 8).bit_length())
+    """How many of a set's shingles lie in each of equal ranges of hashes, one to three in one."""
+    bits = max(2, int(len(grams) // 2).bit_length())
     return np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16).tobytes()
 
 
@@ -129,8 +131,24 @@ def most_common(a: bytes, b: bytes) -> int:
     return int(np.minimum(x, y).sum())
 
 
+def brief(whole: bytes) -> bytes:
+    """A profile in ``BRIEF`` ranges of one byte each; all 255, which rules nothing out, if a count
+    does not fit."""
+    counts = np.frombuffer(whole, np.uint16).astype(np.int64)
+    if len(counts) > BRIEF:
+        counts = counts.reshape(BRIEF, -1).sum(axis=1)
+    elif len(counts) < BRIEF:
+        # Few shingles: each may be anywhere in its range's part.
+        return b"\xff" * BRIEF
+    return counts.astype(np.uint8).tobytes() if counts.max() < 255 else b"\xff" * BRIEF
+
+
 def prefixes(docs: DataFrame, counts: np.ndarray, doc_id: str, text: str, shingle: int, threshold: Fraction) -> DataFrame:
-    """One row per document: its class, set size, prefix in rare-first order and profile."""
+    """One row per document: its class, set size, prefix in rare-first order and profile.
+
+    ``weight`` grows with the frequency of its prefix shingles: of near copies, the one with the fewest
+    shingles of its own has the most of it.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(counts)
     hot = 2 * float(counts.mean()) + HOT_COUNT
 
@@ -142,12 +160,14 @@ def prefixes(docs: DataFrame, counts: np.ndarray, doc_id: str, text: str, shingl
             rank = np.arange(len(order)) - np.repeat(sets.first[:-1], sets.counts)
             size = prefix_length(sets.counts, threshold)
             chosen = order[rank < size[sets.owner]]
+            weight = np.bincount(sets.owner[chosen], 16 * np.log2(1.0 + often[chosen]), minlength=len(size))
             calm = np.bincount(sets.owner[chosen], often[chosen] < hot, minlength=len(size))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     pa.array(sets.keys(), pa.int64()),
                     pa.array(sets.counts, pa.int32()),
+                    pa.array(weight.astype(np.int32), pa.int32()),
                     pa.array(calm.astype(np.int32), pa.int32()),
                     lists(sets.grams[chosen].view(np.int64), size, pa.int64()),
                     pa.array([profile(sets.grams[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:])], pa.binary()),
@@ -185,7 +205,7 @@ def shared_entries(table: DataFrame) -> DataFrame:
         bucket = (mix(grams) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        key, n = batch.column("key").to_numpy()[rows], batch.column("n").to_numpy()[rows]
+        key, *sizes = (batch.column(c).to_numpy()[rows] for c in ("key", "n", "weight"))
         out: list[list] = [[], [], []]
         for b in np.flatnonzero(np.diff(edges)).tolist():
             some = order[edges[b] : edges[b + 1]]
@@ -194,47 +214,49 @@ def shared_entries(table: DataFrame) -> DataFrame:
             body = [np.ascontiguousarray(raw), index.astype(np.uint16), np.minimum(pos[some], 65535).astype(np.uint16)]
             out[0].append(b)
             out[1].append(b"".join(x.tobytes() for x in body))
-            out[2].append(key[docs].tobytes() + n[docs].astype(np.int32).tobytes())
+            out[2].append(key[docs].tobytes() + b"".join(x[docs].astype(np.int32).tobytes() for x in sizes))
         kinds = [pa.int32(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["bucket", "entries", "classes"])
 
     def meet(rows: pa.Table) -> pa.Table:
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
         for entries, classes in zip(rows.column("entries"), rows.column("classes")):
             entries, classes = entries.as_buffer(), classes.as_buffer()
-            m, d = entries.size // 10, classes.size // 12
+            m, d = entries.size // 10, classes.size // 16
             raw = np.frombuffer(entries, np.uint8)
             grams = np.zeros((m, 8), np.uint8)
             grams[:, :6] = raw[: 6 * m].reshape(-1, 6)
             index = raw[6 * m : 8 * m].view(np.uint16)
-            key, n = np.frombuffer(classes, np.int64, d), np.frombuffer(classes, np.int32, d, 8 * d)
-            for part, values in zip(parts, (grams.reshape(-1).view(np.uint64), key[index], n[index], raw[8 * m :].view(np.uint16))):
+            key = np.frombuffer(classes, np.int64, d)
+            n, weight = np.frombuffer(classes, np.int32, 2 * d, 8 * d).reshape(2, d)
+            columns = (grams.reshape(-1).view(np.uint64), key[index], n[index], weight[index], raw[8 * m :].view(np.uint16))
+            for part, values in zip(parts, columns):
                 part.append(values)
-        gram, key, n, pos = (np.concatenate(p) for p in parts)
-        order = np.lexsort((key, gram))
-        gram, key, n, pos = gram[order], key[order], n[order], pos[order]
+        whole = [np.concatenate(p) for p in parts]
+        order = np.lexsort((whole[1], whole[0]))
+        gram, key = whole[0][order], whole[1][order]
         fresh = np.ones(len(gram), bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])
-        gram, key, n, pos = gram[fresh], key[fresh], n[fresh], pos[fresh]
+        gram, key, n, weight, pos = (x[order][fresh] for x in whole)
         same = gram[1:] == gram[:-1]
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        columns = [gram[shared].view(np.int64), key[shared], n[shared].astype(np.int32), pos[shared].astype(np.int32)]
+        columns = [gram[shared].view(np.int64), key[shared], *(x[shared].astype(np.int32) for x in (n, weight, pos))]
         # The bucket is part of what tells shingles apart.
         columns[0] = mix(columns[0].view(np.uint64) ^ mix(np.full(len(columns[0]), rows.column("bucket")[0].as_py(), np.uint64))).view(np.int64)
         return pa.table([pa.array(c) for c in columns], names=ENTRIES.names)
 
     calm = (
         table.where("hot_from > 0")
-        .select("key", "n", "hot_from", "prefix")
+        .select("key", "n", "weight", "hot_from", "prefix")
         .mapInArrow(pack, _schema(bucket=_INT, entries=_BIN, classes=_BIN))
         .groupBy("bucket")
         .applyInArrow(meet, ENTRIES)
     )
     hot = (
         table.where(F.size("prefix") > F.col("hot_from"))
-        .select("key", "n", "hot_from", F.posexplode("prefix").alias("pos", "gram"))
+        .select("key", "n", "weight", "hot_from", F.posexplode("prefix").alias("pos", "gram"))
         .where("pos >= hot_from")
-        .select("gram", "key", "n", "pos")
+        .select("gram", "key", "n", "weight", "pos")
         .dropDuplicates(["gram", "key"])
     )
     return calm.unionByName(hot)
@@ -248,8 +270,11 @@ def may_be_similar(na: Column, pa_: Column, nb: Column, pb: Column, threshold: F
 
 
 def leader_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
-    """Rows ``(a, b)``: for each class the leader with which it shares most prefix shingles."""
-    leaders = entries.groupBy("gram").agg(F.min(F.struct("key", "n", "pos")).alias("lead"))
+    """Rows ``(a, b)``: for each class the leader with which it shares most prefix shingles.
+
+    A shingle's leader is the class of the greatest weight in its list: the one in the middle of near copies.
+    """
+    leaders = entries.groupBy("gram").agg(F.max(F.struct("weight", "key", "n", "pos")).alias("lead"))
     met = entries.join(leaders, "gram").where(
         (F.col("key") != F.col("lead.key"))
         & may_be_similar(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), threshold)
@@ -258,22 +283,26 @@ def leader_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
     return counted.groupBy("b").agg(F.max(F.struct("common", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
 
-def open_pairs(entries: DataFrame, labels: DataFrame, threshold: Fraction) -> DataFrame:
-    """Rows ``(a, b)``: all pairs of classes that meet in a prefix and are not connected yet.
+def open_pairs(entries: DataFrame, labels: DataFrame, table: DataFrame, threshold: Fraction) -> DataFrame:
+    """Rows ``(a, b)``: pairs of classes that meet in a prefix and are not connected yet.
 
-    In each shingle's list, classes outside its largest component meet all others; the large
-    component is not paired with itself.
+    In a shingle's list, classes outside its largest component meet all others; the large
+    component is not paired with itself. Long lists make no rows of pairs: see ``in_blocks``.
     """
     named = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = materialize(named, "named-entries")
     per_label = named.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size"))
-    mixed = (
+    mixed = materialize(
         per_label.groupBy("gram")
-        .agg(F.max(F.struct("size", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .select("gram", F.col("major.label").alias("major"))
+        .agg(
+            F.max(F.struct("size", "label"))["label"].alias("major"),
+            F.count(F.lit(1)).alias("labels"),
+            F.sum("size").alias("size"),
+        )
+        .where("labels > 1"),
+        "open-shingles",
     )
-    here = named.join(mixed, "gram")
+    here = named.join(mixed.where(F.col("size") <= LONG_LIST), "gram")
     x = here.select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "label", "major")])
     y = here.where("label <> major").select("gram", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "pos", "label")])
     met = x.join(y, "gram").where(
@@ -281,7 +310,56 @@ def open_pairs(entries: DataFrame, labels: DataFrame, threshold: Fraction) -> Da
         & ((F.col("x_label") == F.col("x_major")) | (F.col("x_key") < F.col("y_key")))
         & may_be_similar(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), threshold)
     )
-    return met.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
+    short = met.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b"))
+    long = in_blocks(named.join(mixed.where(F.col("size") > LONG_LIST), "gram"), table, threshold)
+    return short.unionByName(long).distinct()
+
+
+def in_blocks(rows: DataFrame, table: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs from long lists that pass all filters, short profiles included.
+
+    A list is dealt to blocks of about ``LIST_BLOCK`` classes, and every two blocks meet in a task of
+    their own, where pairs are compared as arrays; only those that pass become rows.
+    """
+    p, q = threshold.numerator, threshold.denominator
+
+    def shorten(batches):
+        for batch in batches:
+            made = [brief(x.as_py()) for x in batch.column("profile")]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.binary())], ["key", "brief"])
+
+    wanted = broadcast_if_small(rows.select("key").distinct(), BROADCAST_IDS)
+    profiles = table.select("key", "profile").join(wanted, "key").dropDuplicates(["key"]).mapInArrow(shorten, _schema(key=_LONG, brief=_BIN))
+    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    dealt = (
+        rows.join(profiles, "key")
+        .withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("key"), blocks).cast("int")})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "n", "pos", "label", "brief")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        own, key, n, pos, label = (group.column(c).to_numpy() for c in ("own", "key", "n", "pos", "label"))
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        shape = np.frombuffer(b"".join(x.as_py() for x in group.column("brief")), np.uint8).reshape(-1, BRIEF)
+        inside = bool(group.column("low")[0].as_py() == group.column("high")[0].as_py())
+        found: list[list[np.ndarray]] = [[], []]
+        for i in range(len(key)):
+            others = np.flatnonzero((label != label[i]) & (key > key[i]) & (inside | (own != own[i])))
+            sizes = n[others] + n[i]
+            fits = (np.minimum(n[others], n[i]) * q >= np.maximum(n[others], n[i]) * p) & (
+                np.minimum(n[others] - pos[others], n[i] - pos[i]) * (p + q) >= sizes * p
+            )
+            others, sizes = others[fits], sizes[fits]
+            if len(others):
+                common = np.minimum(shape[others], shape[i]).sum(axis=1, dtype=np.int64)
+                others = others[(common * (p + q) >= sizes * p) | (shape[others, 0] == 255) | (shape[i, 0] == 255)]
+                found[0].append(np.full(len(others), key[i]))
+                found[1].append(key[others])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in found)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.groupBy("gram", "low", "high").applyInArrow(compare, _schema(a=_LONG, b=_LONG))
 
 
 class Verifier:
@@ -384,7 +462,7 @@ def similar_groups(
     tried = materialize(leader_pairs(entries, threshold), "leader-pairs")
     links = materialize(verifier.links(tried), "leader-links")
     labels = components(links)
-    rest = open_pairs(entries, labels, threshold).join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = open_pairs(entries, labels, table, threshold).join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialize(verifier.links(rest), "further-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
