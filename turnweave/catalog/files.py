@@ -16,13 +16,10 @@ from turnweave.schemas import CHAT_EXAMPLE, JUDGE_RESULT, PREDICTION, SUMMARY
 from turnweave.session import shared_folder
 from turnweave.sources import jsonl, sinks
 from turnweave.sources.rubrics import BUILT_IN
-from turnweave.sources.turns import SPAN
 
 KEYED = T.StructType(
     [
         T.StructField("conv_id", T.LongType()),
-        T.StructField("part", T.LongType()),
-        T.StructField("ends", T.BooleanType()),
         *CHAT_EXAMPLE.fields,
     ]
 )
@@ -35,16 +32,15 @@ def _examples_file(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, string_agg(role || '=' || text, '|' ORDER BY turn) AS messages,
+    f"""SELECT conv_id, string_agg(role || '=' || text, '|' ORDER BY turn) AS messages,
   substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key, '' AS reference_solution
-FROM (SELECT *, turn // {SPAN} AS part FROM conversations) GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def jsonl_roundtrip(spark, sf_dir):
     read = jsonl.read_jsonl(spark, _examples_file(spark, sf_dir), KEYED)
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit("="), m["content"]))
     return read.select(
         "conv_id",
-        "part",
         F.array_join(lines, "|").alias("messages"),
         "answer_key",
         F.coalesce("reference_solution", F.lit("")).alias("reference_solution"),
@@ -52,32 +48,30 @@ def jsonl_roundtrip(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, prompt, substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key,
+    f"""SELECT conv_id, prompt, substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key,
   concat('chunk', conv_id % 4 + 1) AS source_file
 FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})"""
 )
 def jsonl_transform(spark, sf_dir):
-    transform = messages_to_prompt(keys=("conv_id", "part"))
+    transform = messages_to_prompt(keys=("conv_id",))
     read = jsonl.read_transformed(spark, _examples_file(spark, sf_dir), transform, KEYED)
-    return read.select("conv_id", "part", "prompt", "answer_key", "source_file")
+    return read.select("conv_id", "prompt", "answer_key", "source_file")
 
 
 @query(
-    f"""SELECT count(*) AS n_rows, count(*) AS n_ids, 0::BIGINT AS first_id, count(*) - 1 AS last_id
-FROM (SELECT DISTINCT conv_id, turn // {SPAN} FROM conversations)"""
+    f"""SELECT row_number() OVER (ORDER BY conv_id) - 1 AS id, conv_id, prompt
+FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})"""
 )
 def jsonl_numbered(spark, sf_dir):
-    numbered = file_order_ids(jsonl.read_jsonl(spark, _examples_file(spark, sf_dir), KEYED))
-    return numbered.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("id").alias("n_ids"),
-        F.min("id").alias("first_id"),
-        F.max("id").alias("last_id"),
-    )
+    """Rows numbered in the order of files and lines, which here is that of the chats."""
+    path = shared_folder(spark, "ordered-examples")
+    sinks.write_examples(fx.chats(spark, sf_dir).orderBy("conv_id"), path)
+    numbered = file_order_ids(jsonl.read_jsonl(spark, path, KEYED))
+    return numbered.transform(messages_to_prompt(keys=("id", "conv_id"), metadata=()))
 
 
 @query(
-    f"""SELECT conv_id, part, e::INT AS epoch, prompt AS query,
+    f"""SELECT conv_id, e::INT AS epoch, prompt AS query,
   {fx.sql_think_format("completion")} AS reward_1, round({fx.sql_think_format("completion")} * 0.5, 6) AS reward
 FROM (SELECT *, '<think>' || length(prompt) || '</think>' || chr(10) || 'Re: ' || prompt AS completion
   FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})), range(1, 3) r(e)"""
@@ -88,7 +82,7 @@ def rollouts_from_file(spark, sf_dir):
             {
                 "path": _examples_file(spark, sf_dir),
                 "type": "messages_to_query",
-                "keys": ("conv_id", "part"),
+                "keys": ("conv_id",),
             }
         ],
         "rewards": {"reward_funcs": ["think_format_reward"], "reward_weights": [0.5]},
@@ -97,7 +91,7 @@ def rollouts_from_file(spark, sf_dir):
     scored = rollouts_from_settings(
         spark, settings, ("stub-generator", stubs.generator), schema=KEYED
     )
-    return scored.select("conv_id", "part", "epoch", "query", "reward_1", F.round("reward", 6).alias("reward"))
+    return scored.select("conv_id", "epoch", "query", "reward_1", F.round("reward", 6).alias("reward"))
 
 
 @query(

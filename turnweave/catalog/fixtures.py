@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from turnweave.session import configure
 from turnweave.sources.rubrics import BUILT_IN
-from turnweave.sources.turns import SPAN, answered_turns, assemble_chats
+from turnweave.sources.turns import answered_turns, assemble_chats
 
 KEYS = ("format_compliance", "helpfulness", "correctness", "reasoning_quality", "style_clarity", "safety")
 
@@ -137,11 +137,10 @@ SQL_LOG_LINES = f"""SELECT user_id AS run_id, event_id AS line_no, {LOG_LINE} AS
 
 
 def sql_prompts(line: str, header: str, where: str = "role <> 'assistant'") -> str:
-    """Prompts per chat part from one SQL expression for a turn's text."""
-    return f"""SELECT conv_id, part,
-    coalesce(string_agg({line}, '' ORDER BY turn) FILTER ({where}), '')
-      || CASE WHEN part = max(part) OVER (PARTITION BY conv_id) THEN {header} ELSE '' END AS prompt
-  FROM (SELECT *, turn // {SPAN} AS part FROM conversations) GROUP BY conv_id, part"""
+    """Prompts of whole chats from one SQL expression for a turn's text."""
+    return f"""SELECT conv_id,
+    coalesce(string_agg({line}, '' ORDER BY turn) FILTER ({where}), '') || {header} AS prompt
+  FROM conversations GROUP BY conv_id"""
 
 
 SQL_CHATML_LINE = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"

@@ -61,6 +61,7 @@ def _request(spark, sf_dir, rubric, local):
     )
 
 
+# The lines of a rubric's categories in a request.
 CATEGORY_LINES = """Categories:
 - format_compliance (1.0): Does the answer follow required output format (e.g., <think>...</think> then final answer)?
 - helpfulness (1.0): Is the response relevant, useful, and appropriately scoped to the user query?
@@ -265,11 +266,12 @@ def judge_decisions(spark, sf_dir):
 FROM ({fx.SQL_ANSWERED})"""
 )
 def zip_predictions(spark, sf_dir):
-    numbered = dense_ids(
-        fx.answered(spark, sf_dir), "conv_id", "turn", carry=("prompt", "completion")
-    )
-    queries = numbered.select("id", F.col("prompt").alias("query"))
-    return zip_by_id(queries, numbered.select("id", "completion"))
+    """Prompts and completions as two tables by key, numbered without their texts, and zipped."""
+    answered = materialize(fx.answered(spark, sf_dir), "answered")
+    numbered = dense_ids(answered, "conv_id", "turn")
+    queries = answered.join(numbered, ["conv_id", "turn"]).select("id", F.col("prompt").alias("query"))
+    given = answered.join(numbered, ["conv_id", "turn"]).select("id", "completion")
+    return zip_by_id(queries, given)
 
 
 SQL_STUB_SIZE = f"length({QUESTION})"
@@ -282,10 +284,9 @@ SQL_STUB_SIZE = f"length({QUESTION})"
   FROM (SELECT conv_id, turn, {SQL_STUB_SIZE} AS size FROM ({fx.SQL_ANSWERED})))"""
 )
 def judge_stub(spark, sf_dir):
-    request = judging.judge_messages(F.col("prompt"), F.col("completion"), BUILT_IN)
-    raw = fx.answered(spark, sf_dir).select(
-        "conv_id", "turn", models.judge("stub-judge", stubs.judge, request).alias("raw")
-    )
+    question = judging.judge_question(F.col("prompt"), F.col("completion"))
+    reply = models.judge_question("stub-judge", stubs.judge, question, judging.judge_instructions(BUILT_IN))
+    raw = fx.answered(spark, sf_dir).select("conv_id", "turn", reply.alias("raw"))
     results = judging.read_replies(materialize(raw, "replies"), BUILT_IN)
     return results.select(
         "conv_id",

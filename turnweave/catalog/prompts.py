@@ -8,10 +8,9 @@ from turnweave.functions import chat
 from turnweave.operators import ids, training
 from turnweave.operators.preferences import PreferenceFormat, map_preferences
 from turnweave.operators.transforms import messages_to_prompt, messages_to_query, transform_from_spec
-from turnweave.sources.turns import SPAN, latest_user_text
+from turnweave.sources.turns import latest_user_text
 
-PARTS = f"(SELECT *, turn // {SPAN} AS part FROM conversations)"
-KEYS = ("conv_id", "part")
+KEYS = ("conv_id",)
 
 
 def _listed(messages):
@@ -20,10 +19,10 @@ def _listed(messages):
 
 
 @query(
-    f"""SELECT conv_id, part, count(*) AS n_turns,
+    f"""SELECT conv_id, count(*) AS n_turns,
   string_agg(role, ',' ORDER BY turn) AS roles,
   string_agg(text, '|' ORDER BY turn) AS contents
-FROM {PARTS} GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def chat_assemble(spark, sf_dir):
     return fx.chats(spark, sf_dir).select(
@@ -35,9 +34,9 @@ def chat_assemble(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, count(*) FILTER (role <> 'assistant') AS n_kept,
+    f"""SELECT conv_id, count(*) FILTER (role <> 'assistant') AS n_kept,
   coalesce(string_agg(role, ',' ORDER BY turn) FILTER (role <> 'assistant'), '') AS roles
-FROM {PARTS} GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def prune_assistant(spark, sf_dir):
     kept = chat.without_assistant(F.col("messages"))
@@ -59,9 +58,9 @@ def prompt_chatml(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part,
+    f"""SELECT conv_id,
   coalesce(string_agg(role || '=' || text, '|' ORDER BY turn) FILTER (role <> 'assistant'), '') AS prompt
-FROM {PARTS} GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def prompt_messages(spark, sf_dir):
     prompts = fx.prompt_chats(spark, sf_dir).transform(messages_to_prompt(None, KEYS))
@@ -73,7 +72,7 @@ SQL_METADATA = """substr('ABCD', CAST(conv_id % 4 AS INT) + 1, 1) AS answer_key,
 
 
 @query(
-    f"""SELECT conv_id, part, prompt, {SQL_METADATA}
+    f"""SELECT conv_id, prompt, {SQL_METADATA}
 FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})""",
     name="messages_to_prompt",
 )
@@ -82,7 +81,7 @@ def prompts_with_metadata(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, prompt AS query
+    f"""SELECT conv_id, prompt AS query
 FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})""",
     name="messages_to_query",
 )
@@ -91,7 +90,7 @@ def queries_only(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, prompt AS asked, {SQL_METADATA}
+    f"""SELECT conv_id, prompt AS asked, {SQL_METADATA}
 FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})"""
 )
 def transform_by_name(spark, sf_dir):
@@ -102,22 +101,18 @@ def transform_by_name(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, 0::BIGINT AS part, max_by(text, turn) FILTER (role = 'user') AS user_text
-FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role = 'user') > 0
-UNION ALL
-SELECT conv_id, part, string_agg(text, ' ' ORDER BY turn)
-  || CASE WHEN part < max(part) OVER (PARTITION BY conv_id) THEN ' ' ELSE '' END
-FROM {PARTS} WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'user')
-GROUP BY conv_id, part"""
+    """SELECT conv_id,
+  coalesce(max_by(text, turn) FILTER (role = 'user'), string_agg(text, ' ' ORDER BY turn)) AS user_text
+FROM conversations GROUP BY conv_id"""
 )
 def last_user_text(spark, sf_dir):
     return latest_user_text(fx.turns(spark, sf_dir))
 
 
 @query(
-    f"""SELECT conv_id, part,
+    f"""SELECT conv_id,
   coalesce(max_by(text, turn) FILTER (role = 'user'), string_agg(text, ' ' ORDER BY turn)) AS user_text
-FROM {PARTS} GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def last_user_text_of_messages(spark, sf_dir):
     found = chat.last_user_text(F.col("messages")).alias("user_text")
@@ -163,11 +158,11 @@ def _pairs(spark, sf_dir):
 
 
 @query(
-    f"""SELECT conv_id, part, count(*) AS n_turns,
+    f"""SELECT conv_id, count(*) AS n_turns,
   count(*) FILTER (role = 'assistant') AS n_trained,
   string_agg(CASE WHEN role = 'assistant' THEN '1' ELSE '0' END, '' ORDER BY turn) AS mask,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS trained_chars
-FROM {PARTS} GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 )
 def role_mask(spark, sf_dir):
     marked = fx.chats(spark, sf_dir).withColumn("marked", chat.train_mask(F.col("messages")))

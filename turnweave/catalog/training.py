@@ -58,7 +58,7 @@ def steps_per_epoch(spark, sf_dir):
 
 @query(
     """SELECT conv_id, turn,
-  CASE WHEN CAST('0x' || substr(md5(CAST(conv_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 200
+  CASE WHEN CAST('0x' || substr(md5(CAST(conv_id AS VARCHAR)), 1, 8) AS BIGINT) < 0.02 * 4294967296
     THEN 'validation' ELSE 'train' END AS split
 FROM conversations"""
 )
@@ -89,18 +89,22 @@ def completion_cap(spark, sf_dir):
 
 
 # Small packs and shards, so that the test tables fill several of them.
-PACK, BLOCK = 2048, 64
+PACK, SHARD_ROWS = 2048, 64
 
-SQL_LENGTHS = r"""SELECT conv_id, sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS n_tokens
-FROM conversations GROUP BY conv_id"""
-SQL_PACKED = f"""WITH RECURSIVE rows_ AS (
-  SELECT conv_id, n_tokens, conv_id // {BLOCK} AS shard,
-    row_number() OVER (PARTITION BY conv_id // {BLOCK} ORDER BY conv_id) AS n FROM ({SQL_LENGTHS})),
+
+def sql_packed(key: str) -> str:
+    """Packing of the chats' lengths under a key made of ``conv_id``."""
+    lengths = rf"""SELECT {key} AS k, sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS n_tokens
+      FROM conversations GROUP BY conv_id"""
+    return f"""WITH RECURSIVE lengths AS ({lengths}),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY k) AS n FROM (
+  SELECT k, n_tokens, CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 8) AS BIGINT)
+    % (SELECT greatest(1, (count(*) + {SHARD_ROWS} - 1) // {SHARD_ROWS}) FROM lengths) AS shard FROM lengths)),
 walk AS (
-  SELECT conv_id, n_tokens, shard, n, 0::BIGINT AS pack, 0::BIGINT AS pos, 0::BIGINT AS "offset"
+  SELECT k, n_tokens, shard, n, 0::BIGINT AS pack, 0::BIGINT AS pos, 0::BIGINT AS "offset"
   FROM rows_ WHERE n = 1
   UNION ALL
-  SELECT r.conv_id, r.n_tokens, r.shard, r.n,
+  SELECT r.k, r.n_tokens, r.shard, r.n,
     CASE WHEN w."offset" + w.n_tokens + r.n_tokens > {PACK} THEN w.pack + 1 ELSE w.pack END,
     CASE WHEN w."offset" + w.n_tokens + r.n_tokens > {PACK} THEN 0 ELSE w.pos + 1 END,
     CASE WHEN w."offset" + w.n_tokens + r.n_tokens > {PACK} THEN 0 ELSE w."offset" + w.n_tokens END
@@ -108,26 +112,47 @@ walk AS (
 """
 
 
-def _packed(spark, sf_dir):
+# Keys far apart, and keys that are strings.
+SPARSE, NAMED = "conv_id * 1000003", "'chat-' || CAST(conv_id AS VARCHAR)"
+
+
+def _packed(spark, sf_dir, key):
     lengths = fx.turns(spark, sf_dir).groupBy("conv_id").agg(
         F.sum(tokens.word_count(F.col("text"))).alias("n_tokens")
     )
-    return training.pack_sequences(lengths, "conv_id", sequence_len=PACK, block=BLOCK)
+    keyed = lengths.select(key.alias("k"), "n_tokens")
+    return training.pack_sequences(keyed, "k", sequence_len=PACK, shard_rows=SHARD_ROWS)
 
 
-@query(
-    f"""{SQL_PACKED} SELECT conv_id, n_tokens, shard, pack, pos, "offset", n_tokens <= {PACK} AS fits
+def _sparse():
+    return F.col("conv_id") * 1000003
+
+
+def _sql_walk(key):
+    return f"""{sql_packed(key)} SELECT k, n_tokens, shard, pack, pos, "offset", n_tokens <= {PACK} AS fits
 FROM walk"""
-)
+
+
+@query(_sql_walk("conv_id"))
 def sample_packing(spark, sf_dir):
-    return _packed(spark, sf_dir)
+    return _packed(spark, sf_dir, F.col("conv_id"))
+
+
+@query(_sql_walk(SPARSE))
+def sample_packing_sparse(spark, sf_dir):
+    return _packed(spark, sf_dir, _sparse())
+
+
+@query(_sql_walk(NAMED))
+def sample_packing_named(spark, sf_dir):
+    return _packed(spark, sf_dir, F.concat(F.lit("chat-"), F.col("conv_id").cast("string")))
 
 
 @query(
-    f"""{SQL_PACKED} SELECT shard, pack, count(*) AS n_sequences, sum(n_tokens)::BIGINT AS used,
+    f"""{sql_packed(SPARSE)} SELECT shard, pack, count(*) AS n_sequences, sum(n_tokens)::BIGINT AS used,
   ({PACK} - sum(n_tokens))::BIGINT AS pad, round(sum(n_tokens) / {float(PACK)}::DOUBLE, 6) AS fill
 FROM walk WHERE n_tokens <= {PACK} GROUP BY shard, pack"""
 )
 def pack_padding(spark, sf_dir):
-    padded = training.pack_padding(_packed(spark, sf_dir), sequence_len=PACK)
+    padded = training.pack_padding(_packed(spark, sf_dir, _sparse()), sequence_len=PACK)
     return padded.withColumn("fill", F.round("fill", 6))

@@ -48,17 +48,10 @@ def message_text(template: ChatTemplate, role: Column, content: Column) -> Colum
     return template.render(F.coalesce(role, F.lit("user")), F.coalesce(content, F.lit("")))
 
 
-def render_prompt(messages: Column, template: ChatTemplate, ends: Column | None = None) -> Column:
-    """Messages as one string that ends where the assistant starts.
-
-    ``ends`` is false on rows that hold an earlier part of a long conversation; only
-    the last part carries the header.
-    """
+def render_prompt(messages: Column, template: ChatTemplate) -> Column:
+    """Messages as one string that ends where the assistant starts."""
     pieces = F.transform(messages, lambda m: message_text(template, m["role"], m["content"]))
-    header = F.lit(template.header)
-    if ends is not None:
-        header = F.when(ends, header).otherwise(F.lit(""))
-    return F.concat(F.array_join(pieces, ""), header)
+    return F.concat(F.array_join(pieces, ""), F.lit(template.header))
 
 
 def last_user_text(messages: Column, prompt: Column | None = None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as tx
@@ -94,12 +94,19 @@ def _literal_map(pairs: list[tuple[str, Column]], value_type: str) -> Column:
     return F.create_map(*[part for key, value in pairs for part in (F.lit(key), value)])
 
 
+def check_settings(spark: SparkSession) -> None:
+    """Replies with a repeated key are only read under the setting that ``configure`` makes."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        raise ValueError("call turnweave.session.configure first: replies may repeat a key")
+
+
 def read_replies(df: DataFrame, rubric: Rubric, raw: str = "raw") -> DataFrame:
     """Add ``scores``, ``reasons`` and ``overall`` from the judge's raw text.
 
     The reply is parsed once into a variant. It is wrapped in brackets first: trailing
     text inside the braces then makes the document invalid, as it should.
     """
+    check_settings(df.sparkSession)
     document = F.concat(F.lit("["), tx.isolate_json(F.col(raw)), F.lit("]"))
     one = F.size(F.try_variant_get("_reply", "$", "array<variant>")) == 1
     staged = df.withColumn("_reply", F.try_parse_json(document)).withColumn(

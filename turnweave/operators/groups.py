@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnweave.session import broadcast_if_small
+
 # Groups with more rows are met in slices of this size.
 SLICE_ROWS = 1_000_000
 
@@ -32,7 +34,7 @@ def group_advantage(
         F.stddev_pop(reward).alias("_std"),
         F.ceil(F.count(F.lit(1)) / F.lit(slice_rows)).cast("bigint").alias("_slices"),
     )
-    large = statistics.where("_slices > 1").select(group, F.col("_slices").alias("_large"))
+    large = statistics.where("_slices > 1").select(F.col(group).alias("_hot"), F.col("_slices").alias("_large"))
     copies = statistics.select(
         F.col(group).alias("_group"),
         "_mean",
@@ -40,9 +42,9 @@ def group_advantage(
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1)).alias("_copy"),
     )
     sliced = (
-        rollouts.join(F.broadcast(large), group, "left")
+        rollouts.join(broadcast_if_small(large), F.col(group).eqNullSafe(F.col("_hot")), "left")
         .withColumn("_slice", F.pmod(F.xxhash64(*row), F.coalesce("_large", F.lit(1))))
-        .drop("_large")
+        .drop("_hot", "_large")
     )
     same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_copy"))
     distance = F.col(reward) - F.col("_mean")

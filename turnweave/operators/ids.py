@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnweave.functions.numbers import floor_div
-from turnweave.session import checkpointed
+from turnweave.session import broadcast_if_small, checkpointed
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
@@ -56,12 +60,35 @@ def file_order_ids(df: DataFrame) -> DataFrame:
             F.monotonically_increasing_id().alias("_place"),
         )
     )
-    shifts = _first_ids(placed, "_file", "_block")
+    # One row per split.
+    shifts = broadcast_if_small(_first_ids(placed, "_file", "_block"))
     return placed.join(shifts, ["_file", "_block"]).select(
         (F.col("_place") + F.col("_shift")).alias("id"), *df.columns
     )
 
 
+def first_of_files(spark: SparkSession, files: Sequence[str], read: Callable[[str], DataFrame], limit: int) -> DataFrame:
+    """The first ``limit`` rows in the order of files and lines, with ``id`` from 0.
+
+    Files are opened one after another until there are enough, and of each only as many of its splits
+    as are needed are read. The rows, as many as the limit says, are gathered to be numbered and come
+    back as a local table; nothing else is written.
+    """
+    tables, found = [], 0
+    for file in files:
+        if found >= limit:
+            break
+        # take() of a scan reads splits in order, and stops.
+        tables.append(read(file).limit(limit - found).toArrow())
+        found += tables[-1].num_rows
+    if not found:
+        return read(list(files)).limit(0).select(F.lit(0).cast("bigint").alias("id"), "*")
+    rows = pa.concat_tables(tables)
+    rows = rows.add_column(0, "id", pa.array(range(rows.num_rows), pa.int64()))
+    schema = T.StructType([T.StructField("id", T.LongType()), *read(files[0]).schema.fields])
+    return spark.createDataFrame(rows, schema)
+
+
 def zip_by_id(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     """Pair rows of two sides that share a key; rows without a partner fall away."""
     return left.join(right, key, "inner")

@@ -8,11 +8,14 @@ with :func:`turnweave.session.materialize` before using them twice.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +43,16 @@ def generation_options(given: dict | None = None) -> dict:
     return {k: v for k, v in merged.items() if v is not None}
 
 
+def with_options(factory: Callable[..., Batch], options: dict | None) -> Factory:
+    """A factory that builds its model with sampling options, if any are given."""
+    return factory if options is None else partial(factory, **generation_options(options))
+
+
+def identity(name: str, factory: Factory) -> str:
+    """The name and a digest of the factory: another factory of that name is another model."""
+    return f"{name}-{hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()}"
+
+
 def once_per_worker(name: str, factory: Factory) -> Batch:
     """Build a model at its first use in this Python worker and keep it."""
     # Functions arrive by value, so only sys.modules outlives a task.
@@ -62,16 +75,25 @@ def _in_batches(model: Batch, inputs: list, size: int) -> list:
 
 
 def call_model(
-    name: str, factory: Factory, inputs: Column, result: T.DataType, batch_size: int
+    name: str,
+    factory: Factory,
+    inputs: Column,
+    result: T.DataType,
+    batch_size: int,
+    prepare: Callable[[object], object] | None = None,
 ) -> Column:
-    """A model's outputs for a column, ``batch_size`` rows per call."""
-    size = max(1, batch_size)
+    """A model's outputs for a column, ``batch_size`` rows per call.
+
+    ``prepare`` makes a model's input of a column's value, there where the model is.
+    """
+    size, key = max(1, batch_size), identity(name, factory)
 
     @F.pandas_udf(result)
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = once_per_worker(name, factory)
+        model = once_per_worker(key, factory)
         for batch in batches:
-            yield pd.Series(_in_batches(model, batch.tolist(), size), dtype=object)
+            values = batch.tolist() if prepare is None else [prepare(value) for value in batch]
+            yield pd.Series(_in_batches(model, values, size), dtype=object)
 
     return call.asNondeterministic()(inputs)
 
@@ -88,6 +110,20 @@ def judge(name: str, factory: Factory, request: Column, batch_size: int = 1) ->
     return call_model(name, factory, request, T.StringType(), batch_size)
 
 
+def judge_question(
+    name: str, factory: Factory, question: Column, instructions: str, batch_size: int = 1
+) -> Column:
+    """Raw judge replies to questions under the same instructions.
+
+    The instructions travel with the task, not with every row.
+    """
+
+    def request(text: str) -> list[dict]:
+        return [{"role": "system", "content": instructions}, {"role": "user", "content": text}]
+
+    return call_model(name, factory, question, T.StringType(), batch_size, request)
+
+
 def reward_logits(
     name: str, factory: Factory, messages: Column, batch_size: int = REWARD_BATCH
 ) -> Column:

@@ -40,10 +40,20 @@ def fill(template: str) -> Column:
     return F.concat(*columns) if columns else F.lit("")
 
 
+def named_format(name: str) -> PreferenceFormat:
+    """The format of a dataset type; every type that begins with ``user_defined`` takes the fields
+    as they are unless templates are given."""
+    if name in PRESETS:
+        return PRESETS[name]
+    if name.startswith("user_defined"):
+        return PreferenceFormat()
+    raise KeyError(f"unknown format {name!r}; known: {sorted(PRESETS)}")
+
+
 def map_preferences(pairs: DataFrame, shape: PreferenceFormat | str = PreferenceFormat()) -> DataFrame:
     """Fill the templates; other columns stay. ``complete`` is false if a field is missing."""
     if isinstance(shape, str):
-        shape = PRESETS[shape]
+        shape = named_format(shape)
     filled = {name: fill(getattr(shape, name)) for name in FIELDS}
     complete = F.col("prompt").isNotNull() & F.col("chosen").isNotNull() & F.col("rejected").isNotNull()
     return pairs.withColumns({**filled, "complete": complete})

@@ -1,15 +1,18 @@
 """Reward functions and their weighted sum.
 
-A reward function is ``f(prompt, completion, **columns) -> Column``.
+A reward function is ``f(prompt, completion, **columns) -> Column``. Prompts and completions
+may be texts or message lists; what the functions here need of either is read by its type.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from dataclasses import dataclass
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnweave.functions import chat, rewards
 from turnweave.operators import models
@@ -18,8 +21,45 @@ from turnweave.operators.transforms import find
 RewardFunction = Callable[..., Column]
 
 
-def think_format_reward(prompt: Column, completion: Column, **_: Column) -> Column:
-    return rewards.think_format(chat.completion_text(completion))
+@dataclass(frozen=True)
+class Value:
+    """A prompt or completion column and whether it holds message lists."""
+
+    column: Column
+    messages: bool = False
+
+    @classmethod
+    def of(cls, df: DataFrame, name: str) -> Value:
+        return cls(F.col(name), isinstance(df.schema[name].dataType, T.ArrayType))
+
+    def user_text(self) -> Column:
+        """A text prompt whole; of a list the newest user message."""
+        return chat.last_user_text(self.column) if self.messages else self.column
+
+    def text(self) -> Column:
+        nothing = F.lit(None).cast("string")
+        return chat.completion_text(nothing, self.column) if self.messages else chat.completion_text(self.column)
+
+    def answer(self) -> Column:
+        nothing = F.lit(None).cast("string")
+        return chat.normalize_completion(nothing, self.column) if self.messages else chat.normalize_completion(self.column)
+
+
+def typed(function: Callable[..., Column]) -> RewardFunction:
+    """A reward function over values that know their type, also callable with plain text columns."""
+
+    @wraps(function)
+    def reward(prompt: Column | Value, completion: Column | Value, **columns: Column) -> Column:
+        prompt, completion = (x if isinstance(x, Value) else Value(x) for x in (prompt, completion))
+        return function(prompt, completion, **columns)
+
+    reward.takes_values = True
+    return reward
+
+
+@typed
+def think_format_reward(prompt: Value, completion: Value, **_: Column) -> Column:
+    return rewards.think_format(completion.text())
 
 
 def helpfulness_reward(
@@ -31,11 +71,10 @@ def helpfulness_reward(
 ) -> RewardFunction:
     """The score a reward model gives to the answer without its think blocks."""
 
-    def reward(prompt: Column, completion: Column, **_: Column) -> Column:
+    @typed
+    def reward(prompt: Value, completion: Value, **_: Column) -> Column:
         resolved = rewards.reward_model_format(F.lit(model_id), F.lit(style))
-        asked = rewards.reward_model_messages(
-            prompt, chat.normalize_completion(completion), resolved
-        )
+        asked = rewards.reward_model_messages(prompt.user_text(), completion.answer(), resolved)
         return rewards.last_logit(models.reward_logits(name, factory, asked, batch_size))
 
     return reward
@@ -63,13 +102,21 @@ def with_reward(
     completion: str = "completion",
     columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``reward_1`` … ``reward_n`` and their weighted sum ``reward``."""
+    """Add ``reward_1`` … ``reward_n`` and their weighted sum ``reward``.
+
+    ``columns`` are handed to every function by name.
+    """
     extra = {name: F.col(name) for name in columns}
+    values = Value.of(df, prompt), Value.of(df, completion)
+
+    def scored_by(function: RewardFunction) -> Column:
+        given = values if getattr(function, "takes_values", False) else (v.column for v in values)
+        return function(*given, **extra).cast("double")
+
     names = [f"reward_{i}" for i in range(1, len(functions) + 1)]
     scored = df.withColumns(
         {
-            name: function(F.col(prompt), F.col(completion), **extra).cast("double")
-            for name, (function, _) in zip(names, functions)
+            name: scored_by(function) for name, (function, _) in zip(names, functions)
         }
     )
     weighed = [F.col(name) * F.lit(weight) for name, (_, weight) in zip(names, functions)]

@@ -11,20 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnweave.functions import tokens
-from turnweave.functions.numbers import floor_div
 
-BUCKETS = 10_000
+HASHES = 1 << 32
 
 
-def split_bucket(key: Column) -> Column:
-    """A stable bucket 0 … 9999 of a key, from the first 32 bits of its MD5."""
+def stable_hash(key: Column) -> Column:
+    """A number below 2**32 that depends on the key alone: the first 32 bits of its MD5."""
     digits = F.substring(F.md5(key.cast("string").cast("binary")), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") % BUCKETS
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def with_split(df: DataFrame, key: str, val_set_size: float = 0.02) -> DataFrame:
     """Add ``split``. It depends on the key alone, not on partitioning or order."""
-    held_out = split_bucket(F.col(key)) < round(val_set_size * BUCKETS)
+    held_out = stable_hash(F.col(key)) < F.lit(val_set_size * HASHES)
     return df.withColumn("split", F.when(held_out, "validation").otherwise("train"))
 
 
@@ -102,19 +101,20 @@ def _pack_partition(
 
 
 def pack_sequences(
-    df: DataFrame, key: str, length: str = "n_tokens", sequence_len: int = 2048, block: int = 4096
+    df: DataFrame, key: str, length: str = "n_tokens", sequence_len: int = 2048, shard_rows: int = 4096
 ) -> DataFrame:
     """Put sequences into packs of ``sequence_len`` tokens: ``(shard, pack, pos, offset)``.
 
-    Sequences are taken in key order within a shard, a block of ``block`` consecutive
-    integer keys; a new pack starts when the next one does not fit. Shards grow in
-    number with the data, not in size, and each is packed as its rows stream by. The
-    result depends on ``block``. A sequence longer than a pack gets its own,
-    with ``fits`` false.
+    Shards are by a hash of the key, which may be of any type that casts to a string, and about
+    ``shard_rows`` rows each, however the keys are spread; they grow in number with the data,
+    not in size. Sequences are taken in key order within a shard; a new pack starts when the next
+    one does not fit. Each shard is packed as its rows stream by. The result depends on
+    ``shard_rows``. A sequence longer than a pack gets its own, with ``fits`` false. The key has to
+    tell rows apart: all rows of one key are in one shard.
     """
-    sharded = df.select(key, length).withColumn(
-        "shard", floor_div(F.col(key), block)
-    )
+    narrow = df.select(key, length)
+    shards = max(1, -(-narrow.count() // shard_rows))
+    sharded = narrow.withColumn("shard", stable_hash(F.col(key)) % shards)
     ordered = sharded.repartition("shard").sortWithinPartitions("shard", key)
     kinds = dict(ordered.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ordered.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from importlib import import_module
 
 from pyspark.sql import DataFrame
@@ -18,18 +18,18 @@ def messages_to_prompt(
     template: chat.ChatTemplate | None = chat.CHATML,
     keys: tuple[str, ...] = (),
     metadata: tuple[str, ...] = METADATA_COLUMNS,
+    **_: object,
 ) -> Transform:
     """``messages`` → ``prompt``, with the metadata columns the input has.
 
     Assistant turns are dropped. With no template the prompt stays a message list.
-    A boolean column ``ends``, where present, says which rows close a chat.
+    Options that only other transforms know are ignored.
     """
 
     def apply(df: DataFrame) -> DataFrame:
         asked = chat.without_assistant(F.col("messages"))
         if template is not None:
-            ends = F.col("ends") if "ends" in df.columns else None
-            asked = chat.render_prompt(asked, template, ends)
+            asked = chat.render_prompt(asked, template)
         carried = [c for c in metadata if c in df.columns]
         return df.select(*keys, asked.alias("prompt"), *carried)
 
@@ -42,20 +42,22 @@ def messages_to_query(
     ppo: bool = True,
     return_field: str | None = None,
     keep_metadata: bool = False,
+    remove_columns: Sequence[str] | None = None,
 ) -> Transform:
     """The same under the name ``query`` and without metadata.
 
     ``return_field`` names the output; ``"prompt"``, or ``ppo=False``, keeps metadata.
+    ``remove_columns`` are columns of the result that go.
     """
     field = return_field or ("query" if ppo else "prompt")
 
     def apply(df: DataFrame) -> DataFrame:
         prompts = messages_to_prompt(template, keys)(df)
         if field == "prompt":
-            return prompts
+            return prompts.drop(*(remove_columns or ()))
         carried = METADATA_COLUMNS if keep_metadata else ()
         kept = [c for c in prompts.columns if c in carried]
-        return prompts.select(*keys, F.col("prompt").alias(field), *kept)
+        return prompts.select(*keys, F.col("prompt").alias(field), *kept).drop(*(remove_columns or ()))
 
     return apply
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from turnweave.functions import chat, judging
 from turnweave.operators import models
-from turnweave.operators.ids import file_order_ids, first_rows
+from turnweave.operators.ids import file_order_ids, first_of_files, first_rows
 from turnweave.operators.summary import summarize
-from turnweave.session import materialize
+from turnweave.session import configure, materialize
 from turnweave.sources import sinks
 from turnweave.sources.jsonl import read_jsonl
 from turnweave.sources.rubrics import BUILT_IN, Rubric, load_rubric
@@ -26,37 +26,48 @@ def evaluate(
     batch_size: int = models.GENERATION_BATCH,
     local_judge: bool = False,
     partitions: int | None = None,
+    options: dict | None = None,
+    mode: str = sinks.MODE,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(predictions, results, summary)`` for examples with ``id`` and ``messages``.
 
-    Completions and raw replies are written before anything reads them, so neither
-    model is asked twice when a later step is run again. ``partitions`` sets how many
-    calls may run at once; by default it follows the size of the input.
+    Completions, raw replies and what was read from them are written before anything uses them, so
+    neither model is asked twice when a later step is run again. ``partitions`` sets how many
+    calls may run at once; by default it follows the size of the input, or, after a ``limit``, the
+    number of tasks the cluster runs. ``options`` are sampling options for the generator's factory.
+    What is in ``output_dir`` is replaced; with ``mode="error"`` an output that exists fails the call
+    before a model is asked.
     """
+    spark = examples.sparkSession
+    judging.check_settings(spark)
+    outputs = {n: f"{output_dir}/{n}" for n in ("predictions.jsonl", "judge_results.jsonl", "summary.json")}
+    if output_dir is not None and mode in ("error", "errorifexists"):
+        taken = [path for path in outputs.values() if not sinks.is_free(spark, path)]
+        if taken:
+            raise FileExistsError(f"already there: {', '.join(taken)}")
+    if partitions is None and limit is not None:
+        partitions = max(1, min(limit, spark.sparkContext.defaultParallelism))
 
     def spread(df: DataFrame) -> DataFrame:
         return df if partitions is None else df.repartition(partitions, "id")
 
     chosen = first_rows(examples, limit, "id")
-    ends = F.col("ends") if "ends" in examples.columns else None
     prompts = chosen.select(
         "id",
-        chat.render_prompt(chat.without_assistant(F.col("messages")), template, ends).alias("query"),
+        chat.render_prompt(chat.without_assistant(F.col("messages")), template).alias("query"),
     )
-    predictions = materialize(
-        spread(prompts).withColumn("completion", models.generate(*generator, F.col("query"), batch_size)),
-        "predictions",
-    )
-    request = judging.judge_messages(F.col("query"), F.col("completion"), rubric, local_judge)
-    raw = materialize(
-        spread(predictions).select("id", models.judge(*judge, request).alias("raw")), "replies"
-    )
-    results = judging.read_replies(raw, rubric)
+    name, factory = generator
+    completion = models.generate(name, models.with_options(factory, options), F.col("query"), batch_size)
+    predictions = materialize(spread(prompts).withColumn("completion", completion), "predictions")
+    question = judging.judge_question(F.col("query"), F.col("completion"))
+    reply = models.judge_question(*judge, question, judging.judge_instructions(rubric, local_judge))
+    raw = materialize(spread(predictions).select("id", reply.alias("raw")), "replies")
+    results = materialize(judging.read_replies(raw, rubric), "judge-results")
     summary = summarize(results, rubric)
     if output_dir is not None:
-        sinks.write_predictions(predictions, f"{output_dir}/predictions.jsonl")
-        sinks.write_judge_results(results, f"{output_dir}/judge_results.jsonl")
-        sinks.write_summary(summary, f"{output_dir}/summary.json")
+        sinks.write_predictions(predictions, outputs["predictions.jsonl"], mode)
+        sinks.write_judge_results(results, outputs["judge_results.jsonl"], mode)
+        sinks.write_summary(summary, outputs["summary.json"], mode)
     return predictions, results, summary
 
 
@@ -70,8 +81,17 @@ def evaluate_file(
     limit: int | None = None,
     **options,
 ) -> DataFrame:
-    """Evaluate the examples of JSON Lines files, numbered in input order; the summary."""
-    examples = file_order_ids(read_jsonl(spark, data))
+    """Evaluate the examples of JSON Lines files, numbered in input order; the summary.
+
+    With a ``limit`` only as much of the files is read as the first rows need.
+    """
+    configure(spark)
+    examples = read_jsonl(spark, data)
+    if limit is None:
+        examples = file_order_ids(examples)
+    else:
+        files = sorted(examples.inputFiles())
+        examples = first_of_files(spark, files, lambda file: read_jsonl(spark, file), limit)
     rubric = load_rubric(spark, rubric_path)
     _, _, summary = evaluate(
         examples, generator, judge, output_dir, rubric, limit=limit, **options

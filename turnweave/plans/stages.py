@@ -22,6 +22,9 @@ DEFAULT_DATASETS = (
     ("dpo", 1, "chunk4"),
 )
 
+# Places that a plan beyond the bound for broadcasts is dealt to.
+SALTS = 16
+
 MANIFEST = T.StructType(
     [
         T.StructField("alg", T.StringType()),
@@ -90,6 +93,13 @@ def missing_datasets(plan: DataFrame, manifest: DataFrame) -> DataFrame:
 def stage_rows(plan: DataFrame, rows: DataFrame) -> DataFrame:
     """The training rows of each stage: ``rows`` has ``alg`` and ``chunk``.
 
-    Rows stay where they are; the plan, a few rows per mask, goes to them.
+    Rows stay where they are; the plan, a few rows per mask, goes to them. A plan too large for
+    that is dealt to ``SALTS`` places by hash, and each row to all of them, so that the few
+    chunks' keys do not hold all of a join.
     """
-    return rows.join(broadcast_if_small(plan), ["alg", "chunk"])
+    hinted = broadcast_if_small(plan)
+    if hinted is not plan:
+        return rows.join(hinted, ["alg", "chunk"])
+    place = F.pmod(F.xxhash64(*plan.columns), F.lit(SALTS)).cast("int").alias("_place")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_place")
+    return rows.select("*", everywhere).join(plan.select("*", place), ["alg", "chunk", "_place"]).drop("_place")

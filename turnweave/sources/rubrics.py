@@ -6,6 +6,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.session import local_table
@@ -169,9 +170,6 @@ RUBRIC_ROW = T.StructType(
     ]
 )
 
-# A rubric is a hand-written file; more categories than this is taken for a mistake.
-MAX_CATEGORIES = 1_000
-
 
 def load_rubric(spark: SparkSession, path: str | None = None) -> Rubric:
     """The rubric of one JSON file on any file system Spark reads, or the built-in one."""
@@ -180,10 +178,29 @@ def load_rubric(spark: SparkSession, path: str | None = None) -> Rubric:
     files = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(files) != 1:
         raise ValueError(f"expected one rubric file at {path}")
-    rubric = Rubric.from_json(files[0].value)
-    if len(rubric.categories) > MAX_CATEGORIES:
-        raise ValueError(f"rubric at {path} has more than {MAX_CATEGORIES} categories")
-    return rubric
+    return Rubric.from_json(files[0].value)
+
+
+RUBRIC_FILE = T.StructType(
+    [
+        T.StructField("version", T.StringType()),
+        T.StructField("scale", T.StructType([T.StructField("min", T.DoubleType()), T.StructField("max", T.DoubleType())])),
+        T.StructField("categories", RUBRIC_ROW["categories"].dataType),
+        T.StructField("judge_instructions", T.StringType()),
+    ]
+)
+
+
+def read_rubrics(spark: SparkSession, path: str) -> DataFrame:
+    """One row per JSON rubric file under a path: the file's name without its ending, scale, categories."""
+    files = spark.read.schema(RUBRIC_FILE).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
+    return files.select(
+        name.alias("rubric_id"),
+        F.col("scale.min").alias("scale_min"),
+        F.col("scale.max").alias("scale_max"),
+        "categories",
+    )
 
 
 def rubric_table(spark: SparkSession, rubrics: dict[str, Rubric]) -> DataFrame:

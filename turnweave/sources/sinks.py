@@ -1,30 +1,47 @@
-"""JSON Lines sinks. Each writes a directory of part files."""
+"""JSON Lines sinks. Each writes a directory of part files; what was there is replaced, unless
+another mode is asked for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.schemas import SUMMARY
 
 
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    predictions.select("id", "query", "completion").write.json(path)
+MODE = "overwrite"
 
 
-def write_judge_results(results: DataFrame, path: str) -> None:
+def is_free(spark: SparkSession, path: str) -> bool:
+    """Whether nothing is at a path yet."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return True
+    return False
+
+
+def write_predictions(predictions: DataFrame, path: str, mode: str = MODE) -> None:
+    predictions.select("id", "query", "completion").write.mode(mode).json(path)
+
+
+def write_judge_results(results: DataFrame, path: str, mode: str = MODE) -> None:
     """Scores that could not be read are written as ``null``, not left out."""
     (
         results.select("scores", "reasons", "id", "overall")
-        .write.option("ignoreNullFields", "false")
+        .write.mode(mode)
+        .option("ignoreNullFields", "false")
         .json(path)
     )
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
+def write_summary(summary: DataFrame, path: str, mode: str = MODE) -> None:
     """One object per run."""
     extra = [c for c in summary.columns if c not in SUMMARY.names]
-    summary.select(*extra, *SUMMARY.names).write.json(path)
+    summary.select(*extra, *SUMMARY.names).write.mode(mode).json(path)
 
 
 def write_examples(examples: DataFrame, path: str) -> None:

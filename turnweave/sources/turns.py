@@ -1,8 +1,9 @@
 """Chats stored one turn per row.
 
-A chat is usually a handful of turns, but nothing stops one id from holding a third
-of the table. Every function here therefore groups by ``(chat, turn // span)``, so a
-group never holds more than ``span`` turns, and long chats are spread over many tasks.
+A chat becomes one row, as an example in a file is one row: grouping it needs as much memory
+as that one value. Where no whole chat is asked for, nothing is gathered: the next turn of a turn is
+found within ``(chat, turn // span)``, and the newest user message is an aggregate, so a chat that
+holds a third of the table is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -16,8 +17,12 @@ from turnweave.functions.chat import is_assistant
 from turnweave.functions.numbers import floor_div
 from turnweave.session import broadcast_if_small, materialize
 
+# Turns looked at together when a turn's next one is sought.
 SPAN = 1024
 
+# A row cannot hold more; a chat beyond it fails with its id.
+MOST_BYTES = 1 << 30
+
 
 @dataclass(frozen=True)
 class TurnColumns:
@@ -34,72 +39,50 @@ def turn_part(turn: Column, span: int) -> Column:
     return floor_div(turn, span)
 
 
-def continued_parts(
-    turns: DataFrame, names: TurnColumns = DEFAULT_COLUMNS, span: int = SPAN
-) -> DataFrame:
-    """Rows ``(chat, part)`` for every part that has a later one.
-
-    Only turns from ``span`` on are read, a filter that reaches the scan; with ordinary
-    chats nothing is left of it and the join that uses it goes away at run time.
-    """
-    first, last = F.lit(0).cast("bigint"), turn_part(F.max(names.turn), span)
-    return (
-        turns.where(F.col(names.turn) >= span)
-        .groupBy(names.chat)
-        .agg(last.alias("last"))
-        .select(names.chat, F.explode(F.sequence(first, F.col("last") - 1)).alias("part"))
-    )
+def _whole(chat: str, bytes_: Column, value: Column, most: int) -> Column:
+    """``value``, or an error that names the chat if its texts are too large for one row."""
+    message = F.concat(F.lit("chat "), F.col(chat).cast("string"), F.lit(f" has more than {most} bytes of text"))
+    return F.when(F.coalesce(bytes_, F.lit(0)) <= most, value).otherwise(F.raise_error(message))
 
 
 def assemble_chats(
     turns: DataFrame,
     names: TurnColumns = DEFAULT_COLUMNS,
-    span: int = SPAN,
     prompts_only: bool = False,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
-    """Rows ``(chat, part, ends, messages)``.
-
-    A chat of up to ``span`` turns is one row, part 0. A longer one is several rows
-    in order; ``ends`` marks the last, and prompts rendered from the parts join up to
-    the prompt of the whole chat.
+    """Rows ``(chat, messages)``, one per chat, its messages by turn.
 
     ``prompts_only`` leaves assistant turns out. Their texts, most of the bytes of a
-    chat, then take no part in the shuffle; every chat keeps its rows.
+    chat, then take no part in the shuffle; every chat keeps its row.
     """
     entry = F.struct(
         F.col(names.turn).alias("turn"),
         F.col(names.role).alias("role"),
         F.col(names.content).alias("content"),
     )
+    size = F.octet_length(names.content)
     if prompts_only:
-        entry = F.when(~is_assistant(F.col(names.role)), entry)
-    bodies = (
-        turns.withColumn("part", turn_part(F.col(names.turn), span))
-        .groupBy(names.chat, "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(
-            names.chat,
-            "part",
-            F.transform(
-                "entries", lambda e: F.struct(e["role"].alias("role"), e["content"].alias("content"))
-            ).alias("messages"),
-        )
+        asked = ~is_assistant(F.col(names.role))
+        entry, size = F.when(asked, entry), F.when(asked, size)
+    messages = F.transform(
+        "_entries", lambda e: F.struct(e["role"].alias("role"), e["content"].alias("content"))
     )
-    # Same key as the grouping above: only the other, mostly empty side moves.
-    more = continued_parts(turns, names, span).withColumn("more", F.lit(True))
-    return bodies.join(more, [names.chat, "part"], "left").select(
-        names.chat, "part", F.col("more").isNull().alias("ends"), "messages"
+    return (
+        turns.groupBy(names.chat)
+        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"), F.sum(size).alias("_bytes"))
+        .select(names.chat, _whole(names.chat, F.col("_bytes"), messages, most_bytes).alias("messages"))
     )
 
 
 def latest_user_text(
-    turns: DataFrame, names: TurnColumns = DEFAULT_COLUMNS, span: int = SPAN
+    turns: DataFrame, names: TurnColumns = DEFAULT_COLUMNS, most_bytes: int = MOST_BYTES
 ) -> DataFrame:
-    """Rows ``(chat, part, user_text)``: each chat's newest user message.
+    """Rows ``(chat, user_text)``: each chat's newest user message.
 
-    Chats with no user turn give all their contents joined by spaces, one row per part.
-    One message per chat is written to the shared folder, so that the texts are grouped
-    a second time only for chats that need it.
+    Chats with no user turn give all their contents joined by spaces. One message per chat
+    is written to the shared folder, so that the texts are grouped a second time only for
+    chats that need it.
     """
     role, content, turn = F.col(names.role), F.col(names.content), F.col(names.turn)
     from_user = role == F.lit("user")
@@ -108,37 +91,22 @@ def latest_user_text(
             F.max_by(
                 F.when(from_user, F.struct(F.coalesce(content, F.lit("")).alias("text"))),
                 F.when(from_user, turn),
-            ).alias("newest"),
-            turn_part(F.max(turn), span).alias("last_part"),
+            ).alias("newest")
         ),
         "newest-user",
     )
-    found = newest.where("newest IS NOT NULL").select(
-        names.chat, F.lit(0).cast("bigint").alias("part"), F.col("newest.text").alias("user_text")
-    )
-    without = newest.where("newest IS NULL")
+    found = newest.where("newest IS NOT NULL").select(names.chat, F.col("newest.text").alias("user_text"))
+    without = newest.where("newest IS NULL").select(names.chat)
     if without.isEmpty():
         return found
-    without = broadcast_if_small(
-        without.select(
-            names.chat,
-            "last_part",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part")).alias("part"),
-        )
-    )
     entry = F.struct(turn.alias("turn"), F.coalesce(content, F.lit("")).alias("content"))
     joined = (
-        turns.withColumn("part", turn_part(turn, span))
-        .join(without, [names.chat, "part"])
-        .groupBy(names.chat, "part", "last_part")
-        .agg(F.sort_array(F.collect_list(entry))["content"].alias("contents"))
+        turns.join(broadcast_if_small(without), names.chat)
+        .groupBy(names.chat)
+        .agg(F.sort_array(F.collect_list(entry))["content"].alias("_contents"), F.sum(F.octet_length(content)).alias("_bytes"))
         .select(
             names.chat,
-            "part",
-            F.concat(
-                F.array_join("contents", " "),
-                F.when(F.col("part") < F.col("last_part"), F.lit(" ")).otherwise(F.lit("")),
-            ).alias("user_text"),
+            _whole(names.chat, F.col("_bytes"), F.array_join("_contents", " "), most_bytes).alias("user_text"),
         )
     )
     return found.unionByName(joined)
@@ -182,10 +150,14 @@ def with_next_turn(
     inside = Window.partitionBy(names.chat, "part").orderBy(names.turn)
     head = F.struct(*[F.col(column).alias(field) for field, column in fields.items()])
     later = turns.where(F.col(names.turn) >= span).withColumn("part", part)
-    heads = later.groupBy(names.chat, "part").agg(F.min_by(head, names.turn).alias("border"))
-    before = previous_parts(later.select(names.chat, "part").distinct(), names.chat, span)
-    borders = heads.join(before, [names.chat, "part"]).select(
-        names.chat, F.col("previous").alias("part"), "border"
+    # Numbers alone find the first turns of later parts; their texts are fetched by key.
+    heads = later.groupBy(names.chat, "part").agg(F.min(names.turn).alias(names.turn))
+    before = previous_parts(heads.select(names.chat, "part"), names.chat, span)
+    borders = (
+        heads.join(before, [names.chat, "part"])
+        .select(names.chat, names.turn, "previous")
+        .join(later, [names.chat, names.turn])
+        .select(names.chat, F.col("previous").alias("part"), head.alias("border"))
     )
     # Leads of plain columns: a lead of a struct would shuffle every text twice.
     leads = {f"_{field}": F.lead(column).over(inside) for field, column in fields.items()}
