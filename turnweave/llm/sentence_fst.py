@@ -30,7 +30,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BYTE_WEIGHT = 40.0
 #: Encodings of short stretches that a worker keeps.
-KEPT, KEPT_BYTES = 400_000, 48
+KEPT, KEPT_BYTES = 100_000, 32
+#: Rows decoded before they are passed on.
+DECODED_ROWS = 512
 
 ADDED = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType())])
 
@@ -179,11 +181,13 @@ def decode_pieces(docs: DataFrame, pieces: str = "piece_ids", name: str = "decod
 
     def make(batches):
         transducer = load(model)
-        for batch in batches:
-            column = batch.column(pieces)
-            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-            some = column.is_valid().to_pylist()
-            texts = [transducer.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], some)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], schema.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, DECODED_ROWS):
+                batch = whole.slice(at, DECODED_ROWS)
+                column = batch.column(pieces)
+                values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+                some = column.is_valid().to_pylist()
+                texts = [transducer.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], some)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], schema.names)
 
     return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(make, schema)
