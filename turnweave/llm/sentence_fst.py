@@ -15,6 +15,7 @@ no other path.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -29,7 +30,7 @@ from turnweave.llm.words import EXACT, _hashes, flat, lists, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BYTE_WEIGHT = 40.0
-#: Encodings of short stretches that a worker keeps.
+#: Encodings of short stretches that a worker keeps, up to twice as many.
 KEPT, KEPT_BYTES = 100_000, 32
 #: Rows decoded before they are passed on.
 DECODED_ROWS = 512
@@ -38,56 +39,71 @@ ADDED = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
 
 
 class Transducer:
-    """Pieces and bytes of a model as a transducer from characters to numbers."""
+    """Pieces and bytes of a model as a transducer from characters to numbers.
+
+    A state is a list of the arcs by character, and the weight and number with which a piece ends
+    there and leads back to the start, or infinity.
+    """
 
     def __init__(self, pieces: Iterable[tuple[int, str, float]], bytes_: dict[int, int]):
         """``pieces``: number, characters and weight; ``bytes_``: numbers of the byte pieces."""
         self.start: dict = {}
+        self.longest = 1
         self.bytes = bytes_
         self.spelled: dict[int, bytes] = {number: bytes([value]) for value, number in bytes_.items()}
         for number, piece, weight in pieces:
-            state = self.start
+            arcs, state = self.start, None
             for character in piece:
-                state = state.setdefault(character, {})
-            if "" not in state or (weight, number) < state[""]:
-                state[""] = (weight, number)
+                state = arcs.setdefault(character, [{}, math.inf, -1])
+                arcs = state[0]
+            if state and (weight, number) < (state[1], state[2]):
+                state[1], state[2] = weight, number
+            self.longest = max(self.longest, len(piece))
             self.spelled[number] = piece.encode()
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def shortest(self, text: str) -> list[int]:
-        """Numbers along the least path; among equal ones the one with longer pieces at the end."""
-        size = len(text)
+        """Numbers along the least path; among equal ones that whose last piece begins first."""
+        size, start, longest = len(text), self.start, self.longest
         best = [0.0] + [math.inf] * size
-        back: list[tuple[int, list[int]]] = [(0, [])] * (size + 1)
+        back, last = [0] * (size + 1), [-1] * (size + 1)
         for at in range(size):
-            here = best[at]
-            state, to = self.start, at
-            while to < size:
-                state = state.get(text[to])
+            here, arcs, to = best[at], start, at
+            for character in text[at : at + longest]:
+                state = arcs.get(character)
                 if state is None:
                     break
                 to += 1
-                final = state.get("")
-                if final is not None and here + final[0] < best[to]:
-                    best[to] = here + final[0]
-                    back[to] = (at, [final[1]])
-            raw = text[at].encode()
-            if here + BYTE_WEIGHT * len(raw) < best[at + 1]:
-                best[at + 1] = here + BYTE_WEIGHT * len(raw)
-                back[at + 1] = (at, [self.bytes[b] for b in raw])
-        path: list[list[int]] = []
+                arcs, weight, number = state
+                if here + weight < best[to]:
+                    best[to], back[to], last[to] = here + weight, at, number
+            # Only where no piece ends behind the character its bytes may be the better way.
+            if best[at + 1] > here + BYTE_WEIGHT:
+                weight = BYTE_WEIGHT * len(text[at].encode())
+                if here + weight < best[at + 1]:
+                    best[at + 1], back[at + 1], last[at + 1] = here + weight, at, -1
+        path: list[int] = []
         while size:
-            size, numbers = back[size]
-            path.append(numbers)
-        return [number for numbers in reversed(path) for number in numbers]
-
-    def encode(self, stretch: bytes) -> list[int]:
+            number, begin = last[size], back[size]
+            if number >= 0:
+                path.append(number)
+            else:
+                path += [self.bytes[b] for b in reversed(text[begin].encode())]
+            size = begin
+        path.reverse()
+        return path
+
+    def encode(self, stretch: bytes) -> bytes:
+        """The numbers of a stretch as 32-bit values. Short stretches are kept, recent ones longest."""
         found = self.kept.get(stretch)
         if found is None:
-            found = self.shortest(stretch.decode())
+            found = self.older.get(stretch)
+            if found is None:
+                found = array("i", self.shortest(stretch.decode())).tobytes()
             if len(stretch) <= KEPT_BYTES:
                 if len(self.kept) >= KEPT:
-                    self.kept.clear()
+                    self.older, self.kept = self.kept, {}
                 self.kept[stretch] = found
         return found
 
@@ -152,8 +168,8 @@ def encode_batch(texts: pa.Array, transducer: Transducer) -> tuple[np.ndarray, n
     _, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
     raw = data.tobytes()
     encoded = [transducer.encode(raw[a:b]) for a, b in zip(starts[sample].tolist(), ends[sample].tolist())]
-    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    pieces = np.fromiter((n for e in encoded for n in e), np.int32, sizes.sum())
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    pieces = np.frombuffer(b"".join(encoded), np.int32)
     begin = np.cumsum(sizes) - sizes
     counts = sizes[number]
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
