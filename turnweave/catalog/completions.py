@@ -143,6 +143,37 @@ def weighted_reward(spark, sf_dir):
     )
 
 
+SQL_LISTED = f"""SELECT conv_id, turn, prompt, completion, {fx.sql_normalized('completion')} AS answer
+FROM (SELECT conv_id, turn, prompt, {fx.COMPLETION.replace('text', 'completion')} AS completion FROM ({fx.SQL_ANSWERED}))"""
+
+
+@query(
+    f"""SELECT conv_id, turn, {fx.sql_think_format('completion')} AS reward_1,
+  round((length(prompt) + 9 + 0.5::DOUBLE * (length(answer) + 19)) % 97, 6) AS reward_2,
+  (conv_id % 4 = 0)::INT::DOUBLE AS reward_3 FROM ({SQL_LISTED})"""
+)
+def rewards_of_messages(spark, sf_dir):
+    """Rewards of prompts and completions that are message lists, and of a column besides."""
+
+    def keyed(prompt, completion, answer_key):
+        return (answer_key == "A").cast("double")
+
+    answered = fx.answered(spark, sf_dir).withColumn(
+        "completion", F.expr(fx.COMPLETION.replace("text", "completion"))
+    )
+    one = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    listed = fx.with_metadata(answered).select(
+        "conv_id",
+        "turn",
+        "answer_key",
+        F.array(one("system", F.lit("Answer.")), one("user", F.col("prompt"))).alias("prompt"),
+        F.array(one("assistant", F.col("completion"))).alias("completion"),
+    )
+    functions = ["think_format_reward", helpfulness_reward("stub-scorer", stubs.scorer), keyed]
+    scored = with_reward(listed, load_rewards(functions), columns=["answer_key"])
+    return scored.select("conv_id", "turn", "reward_1", F.round("reward_2", 6).alias("reward_2"), "reward_3")
+
+
 SQL_GROUPS = f"""SELECT conv_id, turn, reward, reward - avg(reward) OVER w AS distance,
   stddev_pop(reward) OVER w AS std
 FROM (SELECT conv_id, turn, reward_1 + 0.2::DOUBLE * reward_2 AS reward FROM ({SQL_REWARDS}))

@@ -24,6 +24,15 @@ COMPLETION = """CASE (conv_id + turn) % 6
   ELSE text END"""
 
 
+# A category that only the rubric with a scale of its own knows.
+EXTRA_KEY = "depth"
+
+# A turn's text within a JSON string.
+JSON_TEXT = "text"
+for _plain, _escaped in ((92, "chr(92) || chr(92)"), (34, "chr(92) || chr(34)"), (10, "chr(92) || 'n'"), (13, "chr(92) || 'r'"), (9, "chr(92) || 't'")):
+    JSON_TEXT = f"replace({JSON_TEXT}, chr({_plain}), {_escaped})"
+
+
 def _score(i: int) -> str:
     return f"CAST((conv_id * 7 + turn * 3 + {i * 5}) % 9 - 1 AS STRING)"
 
@@ -31,22 +40,23 @@ def _score(i: int) -> str:
 def _body(changed: dict[str, str | None] = {}) -> str:
     """A reply as a SQL expression; ``changed`` replaces values, ``None`` leaves one out."""
     values = {key: changed.get(key, _score(i)) for i, key in enumerate(KEYS)}
+    values[EXTRA_KEY] = "CAST((conv_id * 5 + turn) % 14 - 1 AS STRING)"
     fields = [f"""'"{key}":' || {value}""" for key, value in values.items() if value]
     scores = " || ',' || ".join(fields)
     return (
         f"""'{{"scores":{{' || {scores} || """
-        f"""'}},"reasons":{{"helpfulness":"  r' || {_score(1)} || ' "}}}}'"""
+        f"""'}},"reasons":{{"helpfulness":"  r' || {_score(1)} || ' ' || {JSON_TEXT} || '. "}}}}'"""
     )
 
 
 REPLY = f"""CASE (conv_id * 7 + turn * 3) % 12
   WHEN 0 THEN '{{"scores":{{"format_compliance":' || {_score(0)}
-  WHEN 1 THEN 'Verdict:' || chr(10) || {_body()} || chr(10) || 'Done.'
+  WHEN 1 THEN 'Verdict: ' || text || chr(10) || {_body()} || chr(10) || text || ' Done.'
   WHEN 2 THEN {_body({"correctness": "'" + '"4"' + "'"})}
   WHEN 3 THEN {_body({"safety": "'null'"})}
   WHEN 4 THEN {_body({"helpfulness": "'true'"})}
   WHEN 5 THEN {_body()} || ' x {{"a":1}}'
-  WHEN 6 THEN 'not json at all'
+  WHEN 6 THEN 'not json at all: ' || text
   WHEN 7 THEN {_body({"style_clarity": None})}
   WHEN 8 THEN '{{"scores":[1,2]}}'
   WHEN 9 THEN {_body({"reasoning_quality": _score(3) + " || '.5'"})}
@@ -169,7 +179,7 @@ def sql_think_format(text: str) -> str:
     )
 
 
-def sql_scores(replies: str = SQL_REPLIES, low: float = 0, high: float = 5) -> str:
+def sql_scores(replies: str = SQL_REPLIES, low: float = 0, high: float = 5, keys: tuple[str, ...] = KEYS) -> str:
     """Rows ``(conv_id, turn, j, ok, s_<key>...)`` from replies."""
 
     def score(key: str) -> str:
@@ -182,7 +192,7 @@ def sql_scores(replies: str = SQL_REPLIES, low: float = 0, high: float = 5) -> s
             f" THEN greatest({low}::DOUBLE, least({high}::DOUBLE, {number})) + 0.0 END::DOUBLE AS s_{key}"
         )
 
-    scores = ",\n    ".join(score(key) for key in KEYS)
+    scores = ",\n    ".join(score(key) for key in keys)
     return f"""SELECT *, {scores} FROM (
     SELECT *, regexp_extract(raw, '\\{{[\\s\\S]*\\}}') AS j FROM ({replies}))"""
 

@@ -1,6 +1,7 @@
 """Judge requests, replies, and summaries."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnweave.catalog import fixtures as fx
 from turnweave.catalog import stubs
@@ -15,22 +16,43 @@ from turnweave.operators.summary import (
     summarize,
 )
 from turnweave.plans.evaluation import evaluate
-from turnweave.session import broadcast_if_small, materialize
-from turnweave.sources.rubrics import BUILT_IN, GENERAL, SHIPPED, rubric_table
+from turnweave.session import broadcast_if_small, local_table, materialize, shared_folder
+from turnweave.sources.rubrics import BUILT_IN, GENERAL, SHIPPED, Category, Rubric, read_rubrics, rubric_table
 
 WEIGHTS = fx.weights_of()
+TEXT = T.StructType([T.StructField("value", T.StringType())])
 SCORES = f"({fx.sql_scores()})"
 QUESTION = "'PROMPT:' || chr(10) || prompt || chr(10) || chr(10) || 'ANSWER:' || chr(10) || completion"
-RUBRIC_OF_ROW = "CASE conv_id % 3 WHEN 0 THEN 'general' WHEN 1 THEN 'format_style' ELSE 'math_reasoning' END"
+RUBRIC_OF_ROW = """CASE conv_id % 4 WHEN 0 THEN 'general' WHEN 1 THEN 'format_style'
+  WHEN 2 THEN 'math_reasoning' ELSE 'ten_point' END"""
+
+TEN_POINT = Rubric(
+    (
+        Category("correctness", 2.0, "Is the answer right?"),
+        Category(fx.EXTRA_KEY, 1.0, "Does the answer go to the bottom of the question?"),
+    ),
+    "Score each category from 1 to 10.",
+    scale_min=1,
+    scale_max=10,
+)
+RUBRICS = SHIPPED | {"ten_point": TEN_POINT}
 
 
 def sql_rubrics() -> str:
     rows = [
-        f"('{name}', {i}::INT, '{c.key}', {c.weight}::DOUBLE)"
-        for name, rubric in SHIPPED.items()
-        for i, c in enumerate(rubric.categories)
+        f"('{name}', {i}::INT, '{c.key}', {c.weight}::DOUBLE, {r.scale_min}::DOUBLE, {r.scale_max}::DOUBLE)"
+        for name, r in RUBRICS.items()
+        for i, c in enumerate(r.categories)
     ]
-    return f"(VALUES {', '.join(rows)}) r(rubric_id, pos, key, weight)"
+    return f"(VALUES {', '.join(rows)}) r(rubric_id, pos, key, weight, low, high)"
+
+
+def _rubric_files(spark):
+    """Every rubric written to a file of its own folder and read again."""
+    folder = shared_folder(spark, "rubrics")
+    for name, rubric in RUBRICS.items():
+        local_table(spark, [{"value": rubric.to_json()}], TEXT).coalesce(1).write.text(f"{folder}/{name}")
+    return read_rubrics(spark, f"{folder}/*", r"/([^/]+)/[^/]+$")
 
 
 @query(
@@ -41,7 +63,7 @@ JOIN {sql_rubrics()} USING (rubric_id) GROUP BY ALL"""
 def rubric_scan(spark, sf_dir):
     wanted = fx.replies(spark, sf_dir).select(F.expr(RUBRIC_OF_ROW).alias("rubric_id"))
     counted = wanted.groupBy("rubric_id").agg(F.count(F.lit(1)).alias("n_samples"))
-    rubrics = broadcast_if_small(rubric_table(spark, SHIPPED))
+    rubrics = broadcast_if_small(_rubric_files(spark))
     return counted.join(rubrics, "rubric_id").select(
         "rubric_id", F.posexplode("categories").alias("pos", "category"), "n_samples"
     ).select("rubric_id", "pos", "category.key", "category.weight", "n_samples")
@@ -135,32 +157,36 @@ def judge_overall(spark, sf_dir):
     return _results(spark, sf_dir).select("conv_id", "turn", overall)
 
 
-SQL_LONG = f"""SELECT conv_id, turn, {RUBRIC_OF_ROW} AS rubric_id, u.key, u.score
-FROM {SCORES}, LATERAL (VALUES {', '.join(f"('{k}', s_{k})" for k in fx.KEYS)}) u(key, score)"""
+ALL_KEYS = (*fx.KEYS, fx.EXTRA_KEY)
+SQL_LONG = f"""SELECT conv_id, turn, rubric_id, key, weight,
+  CASE WHEN score IS NOT NULL THEN greatest(low, least(high, score)) END AS score
+FROM (SELECT conv_id, turn, {RUBRIC_OF_ROW} AS rubric_id, u.key, u.score
+  FROM ({fx.sql_scores(low=-1e9, high=1e9, keys=ALL_KEYS)}), LATERAL (VALUES {', '.join(f"('{k}', s_{k})" for k in ALL_KEYS)}) u(key, score))
+JOIN {sql_rubrics()} USING (rubric_id, key)"""
 
 
 @query(
     f"""SELECT conv_id, turn, rubric_id,
   round(sum(coalesce(score, 0.0) * weight) / sum(weight), 6) + 0.0 AS overall
-FROM ({SQL_LONG}) JOIN {sql_rubrics()} USING (rubric_id, key) GROUP BY conv_id, turn, rubric_id"""
+FROM ({SQL_LONG}) GROUP BY conv_id, turn, rubric_id"""
 )
 def judge_overall_by_rubric(spark, sf_dir):
-    scored = _results(spark, sf_dir).withColumn("rubric_id", F.expr(RUBRIC_OF_ROW))
-    rubrics = broadcast_if_small(rubric_table(spark, SHIPPED))
-    overall = judging.overall_by_categories(F.col("scores"), F.col("categories"))
-    return scored.drop("overall").join(rubrics, "rubric_id").select(
-        "conv_id", "turn", "rubric_id", fx.rounded(overall).alias("overall")
-    )
+    scored = _by_rubric(spark, sf_dir)
+    return scored.select("conv_id", "turn", "rubric_id", fx.rounded(F.col("overall")).alias("overall"))
+
+
+def _by_rubric(spark, sf_dir):
+    named = fx.replies(spark, sf_dir).withColumn("rubric_id", F.expr(RUBRIC_OF_ROW))
+    return judging.read_replies_by_rubric(named, rubric_table(spark, RUBRICS))
 
 
 SQL_KEY_MEANS = f"""SELECT rubric_id, key, weight, coalesce(avg(score), 0.0) AS mean,
   count(score) AS scored
-FROM ({SQL_LONG}) JOIN {sql_rubrics()} USING (rubric_id, key) GROUP BY rubric_id, key, weight"""
+FROM ({SQL_LONG}) GROUP BY rubric_id, key, weight"""
 
 
 def _means_by_rubric(spark, sf_dir):
-    scored = _results(spark, sf_dir).withColumn("rubric_id", F.expr(RUBRIC_OF_ROW))
-    return category_means_by_rubric(scored, rubric_table(spark, SHIPPED), ("rubric_id",))
+    return category_means_by_rubric(_by_rubric(spark, sf_dir), rubric_table(spark, RUBRICS), ("rubric_id",))
 
 
 @query(f"SELECT rubric_id, key, weight, round(mean, 6) + 0.0 AS mean, scored FROM ({SQL_KEY_MEANS})")
@@ -248,7 +274,7 @@ RAISED = """concat('{"scores":{"format_compliance":', CAST(CASE WHEN conv_id % 8
   ',"correctness":', CAST(CASE WHEN conv_id % 8 = 3 THEN 2 ELSE 4 END AS STRING),
   ',"reasoning_quality":', CAST(CASE WHEN conv_id % 8 IN (1, 4) THEN 3 ELSE 5 END AS STRING),
   ',"style_clarity":', CAST(CASE WHEN conv_id % 8 = 5 THEN 3 ELSE 4 END AS STRING),
-  ',"safety":', CAST(CASE WHEN conv_id % 8 = 6 THEN 3 ELSE 4 END AS STRING), '}}')"""
+  ',"safety":', CAST(CASE WHEN conv_id % 8 = 6 THEN 3 ELSE 4 END AS STRING), '},"reasons":{"helpfulness":"', """ + fx.JSON_TEXT + """, '"}}')"""
 SQL_RAISED = f"(SELECT conv_id, turn, {RAISED} AS raw FROM conversations WHERE role = 'assistant')"
 
 

@@ -65,8 +65,8 @@ SQL_DEFAULT_SERIES = "SELECT * FROM (VALUES (1::INT, 0::INT), (2::INT, 6::INT))
 
 
 @query(
-    f"""SELECT conv_id, turn, alg, chunk, series, stage, run_id, base_model FROM (
-  SELECT conv_id, turn, alg, 'chunk' || (conv_id % 4 + 1) AS chunk
+    f"""SELECT conv_id, turn, text, alg, chunk, series, stage, run_id, base_model FROM (
+  SELECT conv_id, turn, text, alg, 'chunk' || (conv_id % 4 + 1) AS chunk
   FROM conversations, (VALUES ('sft'), ('dpo')) a(alg) WHERE role = 'user')
 JOIN (SELECT p.*, m.chunk FROM ({sql_plan(SQL_DEFAULT_SERIES, '')}) p
   JOIN {sql_manifest()} USING (alg, dataset_idx)) USING (alg, chunk)"""
@@ -80,9 +80,10 @@ def stage_rows(spark, sf_dir):
     rows = fx.turns(spark, sf_dir).where("role = 'user'").select(
         "conv_id",
         "turn",
+        "text",
         F.explode(F.array(F.lit("sft"), F.lit("dpo"))).alias("alg"),
         F.expr("concat('chunk', conv_id % 4 + 1)").alias("chunk"),
     )
     return stages.stage_rows(plan, rows).select(
-        "conv_id", "turn", "alg", "chunk", "series", "stage", "run_id", "base_model"
+        "conv_id", "turn", "text", "alg", "chunk", "series", "stage", "run_id", "base_model"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.functions import text as tx
+from turnweave.session import broadcast_if_small
 from turnweave.sources.rubrics import Rubric
 
 # Fixed values.
@@ -135,6 +136,32 @@ def read_replies(df: DataFrame, rubric: Rubric, raw: str = "raw") -> DataFrame:
     return read.withColumn("overall", weighted_mean(found, rubric))
 
 
+def read_replies_by_rubric(df: DataFrame, rubrics: DataFrame, raw: str = "raw") -> DataFrame:
+    """As :func:`read_replies`, where each row names its rubric in ``rubric_id``.
+
+    Keys, weights and scale are those of the row's rubric; rows that name no known one fall away.
+    """
+    check_settings(df.sparkSession)
+    document = F.concat(F.lit("["), tx.isolate_json(F.col(raw)), F.lit("]"))
+    one = F.size(F.try_variant_get("_reply", "$", "array<variant>")) == 1
+    known = rubrics.select("rubric_id", *[F.col(c).alias(f"_{c}") for c in ("scale_min", "scale_max", "categories")])
+    staged = df.join(broadcast_if_small(known), "rubric_id").withColumn("_reply", F.try_parse_json(document))
+    staged = staged.withColumn("_reply", F.when(one, F.col("_reply"))).withColumns(
+        {f"_{group}": F.try_variant_get("_reply", f"$[0].{group}", "map<string,variant>") for group in ("scores", "reasons")}
+    )
+
+    def clamped(value: Column) -> Column:
+        low, high = F.col("_scale_min"), F.col("_scale_max")
+        return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)) + F.lit(0.0))
+
+    keys = F.transform("_categories", lambda c: c["key"])
+    scores = F.transform("_categories", lambda c: clamped(_number(F.col("_scores")[c["key"]])))
+    reasons = F.transform("_categories", lambda c: F.coalesce(tx.strip(_text(F.col("_reasons")[c["key"]])), F.lit("")))
+    read = staged.withColumns({"scores": F.map_from_arrays(keys, scores), "reasons": F.map_from_arrays(keys, reasons)})
+    overall = overall_by_categories(F.col("scores"), F.col("_categories"))
+    return read.withColumn("overall", overall).drop("_reply", "_scores", "_reasons", "_scale_min", "_scale_max", "_categories")
+
+
 def overall_by_categories(scores: Column, categories: Column) -> Column:
     """Per-sample overall with the weights taken from a rubric row."""
     weights = F.aggregate(categories, F.lit(0.0), lambda a, c: a + c["weight"])

@@ -53,6 +53,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/turnweave/{label}-{uuid.uuid4().hex}"
 
 
+def clear_shared(spark: SparkSession) -> bool:
+    """Delete everything this library wrote to the shared folder; results not yet stored elsewhere
+    cannot be read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/turnweave")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a result once and read it back.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,15 @@ class Rubric:
     def total_weight(self) -> float:
         return float(sum(c.weight for c in self.categories))
 
+    def to_json(self) -> str:
+        body = {
+            "version": self.version,
+            "scale": {"min": self.scale_min, "max": self.scale_max},
+            "categories": [asdict(c) for c in self.categories],
+            "judge_instructions": self.judge_instructions,
+        }
+        return json.dumps(body)
+
     @classmethod
     def from_json(cls, text: str) -> Rubric:
         body = json.loads(text)
@@ -191,12 +200,14 @@ RUBRIC_FILE = T.StructType(
 )
 
 
-def read_rubrics(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON rubric file under a path: the file's name without its ending, scale, categories."""
+def read_rubrics(spark: SparkSession, path: str, named: str = r"([^/]+?)(?:\.[^./]*)?$") -> DataFrame:
+    """One row per JSON rubric file under a path: id, scale, categories.
+
+    ``named`` finds the id in a file's path; by default it is the file's name without its ending.
+    """
     files = spark.read.schema(RUBRIC_FILE).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
     return files.select(
-        name.alias("rubric_id"),
+        F.regexp_extract(F.col("_metadata.file_path"), named, 1).alias("rubric_id"),
         F.col("scale.min").alias("scale_min"),
         F.col("scale.max").alias("scale_max"),
         "categories",
