@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnweave.llm.frames import with_arrow_columns
+from turnweave.llm.frames import bounded_batches, by_place, with_arrow_columns
 from turnweave.llm.words import ALPHANUMERIC, lists, slices, words_of
 from turnweave.session import materialize
 
@@ -284,7 +284,7 @@ def _pass(docs: DataFrame, matcher, text: str, first: bool) -> DataFrame:
         for batch, made in make(batches):
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made[c] for c in ADDED.names], schema.names)
 
-    return docs.mapInArrow(again, schema)
+    return bounded_batches(docs).mapInArrow(again, schema)
 
 
 def is_contaminated(min_share: int = MIN_SHARE):
@@ -300,20 +300,21 @@ def decontaminate(
     goes, with what stands between the span's words. One of which no word is left goes itself.
     Other documents, among them null and empty texts, stay unchanged.
     """
-    names = docs.columns
-    marked = contamination(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text")), items, "_text", **settings)
+    placed = by_place(docs)
+    place = f"c{docs.columns.index(text)}"
+    marked = contamination(placed, items, place, **settings)
     marked = marked.where(~(is_contaminated(min_share) & (F.col("n_hit") == F.col("n_words"))))
 
     def make(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, place):
             yield batch, {"_cut": cut(batch)}
 
     def cut(batch: pa.RecordBatch) -> pa.Array:
         rows = batch.column("_cutting").to_numpy(zero_copy_only=False).nonzero()[0]
-        texts = batch.column("_text").to_pylist() if len(rows) else []
+        texts = batch.column(place)
         out: list[str | None] = [None] * batch.num_rows
         for row in rows.tolist():
-            words = words_of(pa.array([texts[row]], pa.string()), ALPHANUMERIC)
+            words = words_of(texts.slice(row, 1), ALPHANUMERIC)
             spans = batch.column("spans")[row].as_py()
             data, at, kept = words.data.tobytes(), 0, []
             for begin, end in zip(spans[::2], spans[1::2]):
@@ -323,9 +324,9 @@ def decontaminate(
         return pa.array(out, pa.string())
 
     marked = marked.withColumn("_cutting", is_contaminated(min_share))
-    done = with_arrow_columns(marked, "_text", T.StructType([T.StructField("_cut", T.StringType())]), make)
-    value = F.when(F.col("_cutting"), F.col("_cut"))
-    return done.select(*[(F.coalesce(value, F.col("_row").getField(c)) if c == text else F.col("_row").getField(c)).alias(c) for c in names])
+    done = with_arrow_columns(marked, place, T.StructType([T.StructField("_cut", T.StringType())]), make)
+    value = F.when(F.col("_cutting"), F.col("_cut")).otherwise(F.col(place))
+    return done.withColumn(place, value).select(*placed.columns).toDF(*docs.columns)
 
 
 def items_digest():

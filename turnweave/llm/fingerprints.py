@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnweave.llm.frames import with_arrow_columns
+from turnweave.llm.frames import bounded_batches, with_arrow_columns
 from turnweave.llm.words import FOLDED, slices, words_of
 
 K = 128
@@ -190,4 +190,4 @@ def neighbour_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str =
                     RESULT.names,
                 )
 
-    return ordered.mapInArrow(run, RESULT)
+    return bounded_batches(ordered).mapInArrow(run, RESULT)

@@ -11,6 +11,20 @@ from pyspark.sql import types as T
 
 Made = dict[str, pa.Array]
 
+#: What goes to a Python worker at once. Spark's own bound is by rows, however long their texts are.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Have the session hand rows to Python in batches of at most ``BATCH_BYTES``, or one row."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns named ``c0``, ``c1`` and so on, so that none can clash with an added one."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
 
 def kept_columns(df: DataFrame, added: T.StructType, text: str) -> list[str]:
     """The columns that stay; an added column takes the place of one of the same name,
@@ -35,4 +49,4 @@ def with_arrow_columns(
             columns = [batch.column(c) for c in keep] + [made[c] for c in added.names]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *added.names])
 
-    return df.select(*[F.col(f"`{c}`") for c in read]).mapInArrow(run, schema)
+    return bounded_batches(df).select(*[F.col(f"`{c}`") for c in read]).mapInArrow(run, schema)

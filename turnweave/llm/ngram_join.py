@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnweave.llm.frames import bounded_batches
 from turnweave.llm.words import FOLDED, lists, mix, slices, words_of
 from turnweave.session import broadcast_if_small, materialize
 
@@ -454,7 +455,7 @@ def similar_groups(
     Rows with a null id take part and never name a group, unless all of it is without id; rows of
     one id are judged by their own texts. An empty table gives no rows.
     """
-    docs = docs.select(doc_id, text)
+    docs = bounded_batches(docs).select(doc_id, text)
     counts = shingle_counts(docs, text, shingle)
     table = materialize(prefixes(docs, counts, doc_id, text, shingle, threshold), "prefixes")
     entries = materialize(shared_entries(table), "shared-shingles")

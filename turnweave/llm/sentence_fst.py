@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnweave.llm.frames import with_arrow_columns
+from turnweave.llm.frames import bounded_batches, with_arrow_columns
 from turnweave.llm.words import EXACT, _hashes, flat, lists, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -206,4 +206,4 @@ def decode_pieces(docs: DataFrame, pieces: str = "piece_ids", name: str = "decod
                 texts = [transducer.decode(values[a:b].tolist()) if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], some)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(make, schema)
+    return bounded_batches(docs).select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(make, schema)

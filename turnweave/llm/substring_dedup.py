@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnweave.llm.frames import bounded_batches
 from turnweave.llm.words import EXACT, Words, lists, slices, words_of
 from turnweave.session import materialize, shared_folder
 
@@ -137,7 +138,7 @@ def _chunked(docs: DataFrame) -> DataFrame:
             [pa.array([number], pa.int64()), lists(columns[0], count, pa.int64()), lists(columns[1], count, pa.string())], CHUNKS.names
         )
 
-    return docs.mapInArrow(pack, CHUNKS)
+    return bounded_batches(docs).mapInArrow(pack, CHUNKS)
 
 
 def _stored(chunks: DataFrame, buckets: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnweave.llm.frames import with_arrow_columns
+from turnweave.llm.frames import by_place, with_arrow_columns
 from turnweave.llm.words import ALPHANUMERIC, Words, mix, slices, words_of
 
 #: Labelled documents of each class that training may see, at most; those of the least hashes.
@@ -301,7 +301,6 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are not predicted to be toxic, with the columns they came with."""
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    scored = score_toxicity(packed, fit(docs, labels, doc_id, text), "_text")
-    return scored.where("predicted = 0").select(*[F.col("_row").getField(c).alias(c) for c in names])
+    placed = by_place(docs)
+    scored = score_toxicity(placed, fit(docs, labels, doc_id, text), f"c{docs.columns.index(text)}")
+    return scored.where("predicted = 0").select(*placed.columns).toDF(*docs.columns)
