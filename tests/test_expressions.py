@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnweave.functions import chat, decisions, judging, rewards, stages, text, tokens
-from turnweave.operators.training import split_bucket
+from turnweave.operators.training import stable_hash
 from turnweave.sources.rubrics import BUILT_IN, FORMAT_STYLE, GENERAL, MATH_REASONING, Category, Rubric
 
 
@@ -150,12 +150,12 @@ def test_word_count(spark):
     assert values(spark, ["a  b\nc", "", " ", None], tokens.word_count) == [3, 0, 0, 0]
 
 
-def test_split_bucket_is_md5(spark):
+def test_stable_hash_is_md5(spark):
     import hashlib
 
     keys = ["0", "17", "é"]
-    expected = [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) % 10000 for k in keys]
-    assert values(spark, keys, split_bucket) == expected
+    expected = [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) for k in keys]
+    assert values(spark, keys, stable_hash) == expected
 
 
 def test_stage_algorithms(spark):

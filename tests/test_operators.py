@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -13,9 +14,12 @@ from pyspark.sql import functions as F
 from turnweave.catalog import stubs
 from turnweave.operators import ids, models, rewards, training
 from turnweave.operators.groups import group_advantage
+from turnweave.functions.judging import read_replies
 from turnweave.operators.preferences import PreferenceFormat, incomplete, map_preferences
 from turnweave.operators.transforms import messages_to_query, transform_from_spec
 from turnweave.plans.evaluation import evaluate, evaluate_file
+from turnweave.plans.rollouts import rollouts_from_settings
+from turnweave.session import configure
 from turnweave.sources import jsonl
 from turnweave.sources.rubrics import BUILT_IN
 
@@ -118,7 +122,7 @@ def test_packs_lose_no_row_and_never_overflow(spark):
     draw = np.random.default_rng(3)
     lengths = [(int(k), int(n)) for k, n in enumerate(draw.integers(0, 130, 3000))]
     frame = spark.createDataFrame(lengths, "id long, n_tokens long").repartition(9)
-    packed = training.pack_sequences(frame, "id", sequence_len=100, block=256).collect()
+    packed = training.pack_sequences(frame, "id", sequence_len=100, shard_rows=256).collect()
     assert sorted(r.id for r in packed) == list(range(3000))
     packs = defaultdict(list)
     for r in packed:
@@ -129,11 +133,26 @@ def test_packs_lose_no_row_and_never_overflow(spark):
         else:
             assert len(rows) == 1
     padded = training.pack_padding(
-        training.pack_sequences(frame, "id", sequence_len=100, block=256), sequence_len=100
+        training.pack_sequences(frame, "id", sequence_len=100, shard_rows=256), sequence_len=100
     )
     assert all(r.used + r.pad == 100 and 0 <= r.pad for r in padded.collect())
 
 
+def test_packing_depends_on_no_gaps_between_keys(spark):
+    """Sparse and named keys fill packs as dense ones do."""
+    fills = []
+    for key in ("id", "id * 1000003", "concat('k', id)"):
+        frame = spark.range(1000).selectExpr(f"{key} AS k", "10L AS n_tokens")
+        packed = training.pack_sequences(frame, "k", sequence_len=2048)
+        fills.append(training.pack_padding(packed).agg(F.avg("fill")).first()[0])
+    assert min(fills) > 0.9
+
+
+def test_small_validation_shares(spark):
+    split = training.with_split(spark.range(200_000), "id", 0.00005).groupBy("split").count().collect()
+    assert 1 <= {r.split: r["count"] for r in split}["validation"] <= 40
+
+
 # groups ----------------------------------------------------------------------------------
 
 
@@ -220,7 +239,59 @@ def test_model_is_built_once_per_worker():
     assert len(built) == 1
 
 
+def test_models_of_one_name(spark):
+    """A second factory under a name is another model, and sampling options reach it."""
+
+    def factory(word, **options):
+        return lambda batch: [f"{word} {options.get('temperature')}"] * len(batch)
+
+    one = spark.range(1).select(F.lit("x").alias("p"))
+    said = []
+    for word, options in (("a", None), ("b", None), ("b", {"temperature": 0.1})):
+        built = models.with_options(partial(factory, word), options)
+        said.append(one.select(models.generate("same", built, F.col("p")).alias("s")).first().s)
+    assert said == ["a None", "b None", "b 0.1"]
+
+
+def test_message_lists_in_rewards(spark):
+    kind = "array<struct<role:string,content:string>>"
+    rows = [([("system", "s"), ("user", "ab")], [("assistant", "<think>x</think> cd")]), ([], [])]
+    frame = spark.createDataFrame(rows, f"prompt {kind}, completion {kind}")
+    plain = rewards.helpfulness_reward("stub-scorer", stubs.scorer, model_id="acme/rm")
+    found = rewards.with_reward(frame, rewards.load_rewards([plain, "think_format_reward"])).collect()
+    assert [(r.reward_1, r.reward_2) for r in found] == [(2 + 0.5 * 2, 1.0), (0.0, 0.0)]
+
+
+def test_settings_of_rollouts(spark, tmp_path):
+    """All datasets are read, columns reach the rewards, and scores are not asked for twice."""
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text(f'{{"messages": [{{"role": "user", "content": "{name}"}}], "answer_key": "{name}"}}\n')
+    seen = []
+
+    def keyed(prompt, completion, **columns):
+        seen.append(sorted(columns))
+        return F.lit(1.0)
+
+    config = {
+        "datasets": [
+            {"path": str(tmp_path / "a.jsonl"), "type": "messages_to_query", "keep_metadata": True},
+            {"path": str(tmp_path / "b.jsonl"), "type": "messages_to_prompt", "unknown": 1, "template": None},
+        ][:1]
+        + [{"path": str(tmp_path / "b.jsonl"), "type": "messages_to_query", "remove_columns": ["messages"]}],
+        "rewards": {"reward_funcs": ["keyed"]},
+        "generate": {"max_new_tokens": 3},
+    }
+
+    def generator(**options):
+        return lambda batch: [str(options["max_new_tokens"])] * len(batch)
+
+    scored = rollouts_from_settings(spark, config, ("counted", generator), {"keyed": keyed})
+    assert {r.completion for r in scored.collect()} == {"3"} and scored.count() == 2
+    assert "answer_key" in seen[0] and "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_generation_options():
+    # The defaults.
     assert models.generation_options({"top_k": "None", "max_new_tokens": 5}) == {
         "max_new_tokens": 5,
         "do_sample": True,
@@ -252,6 +323,41 @@ def test_evaluation_writes_all_outputs(spark, tmp_path):
     assert set(results.first().scores) == set(BUILT_IN.keys)
 
 
+def test_outputs_that_exist(spark, tmp_path):
+    """They are replaced, or found before a model is asked."""
+    examples = spark.createDataFrame([(0, [("user", "q")])], "id long, messages array<struct<role:string,content:string>>")
+    calls = [("stub-generator", stubs.generator), ("stub-judge", stubs.judge)]
+    for _ in range(2):
+        evaluate(examples, *calls, output_dir=str(tmp_path / "o"))
+    assert spark.read.json(f"{tmp_path}/o/predictions.jsonl").count() == 1
+
+    def never():
+        raise AssertionError("asked")
+
+    with pytest.raises(FileExistsError):
+        evaluate(examples, ("never", never), ("never", never), output_dir=str(tmp_path / "o"), mode="error")
+
+
+def test_replies_need_their_setting(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        with pytest.raises(ValueError, match="configure"):
+            read_replies(spark.createDataFrame([("x",)], "raw string"), BUILT_IN)
+    finally:
+        configure(spark)
+
+
+def test_first_of_files(spark, tmp_path):
+    """Rows come in the order of files and lines, and later files stay closed."""
+    for name, size in (("b", 5), ("a", 3)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"source_file": "{name}{i}"}}\n' for i in range(size)))
+    (tmp_path / "c.jsonl").write_text("not json\n")
+    files = [str(tmp_path / f"{n}.jsonl") for n in "abc"]
+    for limit, wanted in ((5, ["a0", "a1", "a2", "b0", "b1"]), (8, [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(5)]), (0, [])):
+        found = ids.first_of_files(spark, files, lambda f: jsonl.read_jsonl(spark, f), limit)
+        assert [(r.id, r.source_file) for r in found.orderBy("id").collect()] == list(enumerate(wanted))
+
+
 def test_evaluation_of_a_file(spark, tmp_path):
     data = tmp_path / "eval.jsonl"
     lines = [f'{{"messages": [{{"role": "user", "content": "q{i}"}}]}}' for i in range(5)]
@@ -297,6 +403,10 @@ def test_preference_formats(spark):
     assert tuple(rows[0]) == (1, "[p|p]", "c $1 \\ {other}", "p: r", True)
     assert tuple(rows[1]) == (2, None, "c $1 \\ {other}", None, False)
     assert [r.id for r in incomplete(map_preferences(frame)).collect()] == [2]
+    named = map_preferences(frame, "user_defined.anything").orderBy("id").first()
+    assert tuple(named) == (1, "p", "c", "r", True)
+    with pytest.raises(KeyError):
+        map_preferences(frame, "unheard.of")
 
 
 # files -----------------------------------------------------------------------------------

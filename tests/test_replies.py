@@ -7,13 +7,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from turnweave.functions.judging import read_replies
+from turnweave.functions.judging import read_replies, read_replies_by_rubric
 from turnweave.operators.summary import (
     category_means_by_rubric,
     overall_mean_by_rubric,
     summarize,
 )
-from turnweave.sources.rubrics import BUILT_IN, Category, Rubric, rubric_table
+from turnweave.sources.rubrics import BUILT_IN, Category, Rubric, read_rubrics, rubric_table
 
 RUBRIC = Rubric((Category("h", 1.0, "?"), Category("g o.o$d", 3, "?")), "Judge.")
 
@@ -158,3 +158,31 @@ def test_local_clamp(spark):
     assert [r.overall for r in read(spark, [scored("9"), scored("-9"), "x"], rubric)] == [3.0, 1.0, 0.0]
     weightless = Rubric((Category("h", 0, "?"),), "Judge.")
     assert read(spark, [scored("4")], weightless)[0].overall == 0.0
+
+
+def test_a_rubric_per_row(spark):
+    ten = Rubric((Category("h", 1, "?"), Category("deep", 3, "?")), "Judge.", 1, 10)
+    rows = [("five", scored("9")), ("ten", scored("9")), ("ten", '{"scores": {"deep": 0, "h": "x"}, "reasons": {"deep": " so "}}'), ("ten", "none")]
+    frame = spark.createDataFrame(rows, "rubric_id string, raw string")
+    table = rubric_table(spark, {"five": RUBRIC, "ten": ten})
+    found = {r.raw + r.rubric_id: r for r in read_replies_by_rubric(frame, table).collect()}
+    assert found[rows[0][1] + "five"].scores == {"h": 5.0, "g o.o$d": None}
+    assert found[rows[1][1] + "ten"].scores == {"h": 9.0, "deep": None}
+    row = found[rows[2][1] + "ten"]
+    assert (row.scores, row.reasons, row.overall) == ({"h": None, "deep": 1.0}, {"h": "", "deep": "so"}, 3 / 4)
+    assert found["noneten"].scores == {"h": None, "deep": None} and found["noneten"].overall == 0.0
+
+
+def test_per_row_reading_agrees_with_one_rubric(spark):
+    frame = spark.createDataFrame([(raw,) for raw in CASES], "raw string").withColumn("rubric_id", F.lit("r"))
+    single = {r.raw: r for r in read_replies(frame, RUBRIC).collect()}
+    for row in read_replies_by_rubric(frame, rubric_table(spark, {"r": RUBRIC})).collect():
+        assert (row.scores, row.reasons) == (single[row.raw].scores, single[row.raw].reasons), row.raw
+
+
+def test_rubric_files(spark, tmp_path):
+    (tmp_path / "mine.json").write_text(RUBRIC.to_json())
+    row = read_rubrics(spark, str(tmp_path)).first()
+    assert (row.rubric_id, row.scale_min, row.scale_max) == ("mine", 0.0, 5.0)
+    assert [(c.key, c.weight) for c in row.categories] == [("h", 1.0), ("g o.o$d", 3.0)]
+    assert Rubric.from_json(RUBRIC.to_json()) == RUBRIC

@@ -1,4 +1,4 @@
-"""Grouping by parts of a chat gives what grouping whole chats would."""
+"""Chats stored by turn: whole chats, newest user messages, next turns."""
 
 import random
 
@@ -45,31 +45,36 @@ def by_chat(rows):
     return chats
 
 
-@pytest.mark.parametrize("span", [1, 3, 1024])
-def test_parts_hold_every_turn_in_order(turns, rows, span):
-    parts = assemble_chats(turns, span=span).orderBy("conv_id", "part").collect()
-    joined = {}
-    for row in parts:
-        joined.setdefault(row.conv_id, []).extend(tuple(m) for m in row.messages)
-        assert len(row.messages) <= span
-    assert joined == {c: [tuple(t[1:]) for t in ts] for c, ts in by_chat(rows).items()}
-    closing = [(r.conv_id, r.part) for r in parts if r.ends]
-    assert closing == [(c, ts[-1][0] // span) for c, ts in sorted(by_chat(rows).items())]
+def test_one_row_per_chat(turns, rows):
+    chats = assemble_chats(turns).collect()
+    assert len(chats) == len(by_chat(rows))
+    found = {r.conv_id: [tuple(m) for m in r.messages] for r in chats}
+    assert found == {c: [tuple(t[1:]) for t in ts] for c, ts in by_chat(rows).items()}
 
 
 @pytest.mark.parametrize("template", [chat.PLAIN, chat.CHATML])
-def test_prompts_of_parts_join_up(turns, template):
-    def whole(span, prompts_only=False):
-        prompts = assemble_chats(turns, span=span, prompts_only=prompts_only).transform(
-            messages_to_prompt(template, ("conv_id", "part"))
-        )
-        texts = {}
-        for row in prompts.orderBy("conv_id", "part").collect():
-            texts[row.conv_id] = texts.get(row.conv_id, "") + row.prompt
-        return texts
+def test_prompts_without_answers(turns, rows, template):
+    def prompts(prompts_only):
+        asked = assemble_chats(turns, prompts_only=prompts_only).transform(messages_to_prompt(template, ("conv_id",)))
+        return {r.conv_id: r.prompt for r in asked.collect()}
 
-    assert whole(2) == whole(100_000) == whole(3, prompts_only=True)
-    assert all(text.endswith(template.header) for text in whole(2).values())
+    assert prompts(True) == prompts(False)
+    assert len(prompts(True)) == len(by_chat(rows))
+    assert all(text.count(template.header) == 1 and text.endswith(template.header) for text in prompts(True).values())
+
+
+def test_turn_numbers_may_be_anything(spark):
+    """Turns numbered by time stamps make one row and no more work."""
+    stamps = [(1, 0, "user", "a"), (1, 1_700_000_000_000_000, "assistant", "b"), (1, 1_800_000_000_000_000, "user", "c")]
+    turns = spark.createDataFrame(stamps, "conv_id long, turn long, role string, text string")
+    assert [len(r.messages) for r in assemble_chats(turns).collect()] == [3]
+    assert [r.user_text for r in latest_user_text(turns).collect()] == ["c"]
+    assert {r.turn: r.next and r.next.content for r in with_next_turn(turns).collect()} == {0: "b", stamps[1][1]: "c", stamps[2][1]: None}
+
+
+def test_a_chat_too_large_for_a_row_is_named(turns):
+    with pytest.raises(Exception, match="chat [0-9]+ has more than 3 bytes"):
+        assemble_chats(turns, most_bytes=3).collect()
 
 
 @pytest.mark.parametrize("span", [1, 2, 7, 1024])
@@ -91,21 +96,16 @@ def test_answered_turns_under_other_names(spark, turns):
     assert mine == {tuple(r) for r in answered_turns(turns).collect()}
 
 
-@pytest.mark.parametrize("span", [2, 1024])
-def test_latest_user_text(turns, rows, span):
-    texts = {}
-    found = latest_user_text(turns, span=span).orderBy("conv_id", "part").collect()
-    for row in found:
-        texts[row.conv_id] = texts.get(row.conv_id, "") + row.user_text
+def test_latest_user_text(turns, rows):
+    found = latest_user_text(turns).collect()
     expected = {}
     for chat_id, listed in by_chat(rows).items():
         said = [text or "" for _, role, text in listed if role == "user"]
         expected[chat_id] = said[-1] if said else " ".join(text or "" for *_, text in listed)
-    assert texts == expected
+    assert {r.conv_id: r.user_text for r in found} == expected and len(found) == len(expected)
 
 
-def test_ordinary_chats_need_one_shuffle(spark):
-    """With no chat beyond one part, the look at later parts leaves the plan."""
+def test_chats_need_one_shuffle(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     chats = assemble_chats(turns)
     chats.collect()
