@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from turnweave.llm.decontaminate import decontaminate
 from turnweave.llm.ngram_join import one_of_each_group
 from turnweave.llm.pseudonyms import pseudonymize
-from turnweave.llm.sentence_fst import decode_pieces, encode_pieces
+from turnweave.llm.sentence_fst import encode_pieces
 from turnweave.llm.toxicity import drop_toxic
 from turnweave.session import materialize
 
@@ -51,7 +51,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each text as pieces, and the text that they decode to."""
     names = [c for c in docs.columns if c not in ("text", "piece_ids", "n_pieces")]
-    decoded = decode_pieces(encode_pieces(docs), name="_decoded")
+    decoded = encode_pieces(docs, decoded="_decoded")
     return decoded.select(*[F.col(f"`{c}`") for c in names], F.col("_decoded").alias("text"), "piece_ids", "n_pieces")
 
 

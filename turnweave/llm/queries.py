@@ -11,7 +11,7 @@ from turnweave.llm.fingerprints import neighbour_fingerprints
 from turnweave.llm.licenses import TEMPLATES, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.pseudonyms import found, pseudonymize
-from turnweave.llm.sentence_fst import decode_pieces, encode_pieces
+from turnweave.llm.sentence_fst import encode_pieces
 from turnweave.llm.substring_dedup import remove_repeats
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
@@ -145,7 +145,7 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentence_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, and whether they decode to its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = decode_pieces(encode_pieces(docs))
+    decoded = encode_pieces(docs, decoded="decoded")
     return decoded.select("doc_id", "n_pieces", "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 

@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BYTE_WEIGHT = 40.0
 #: Encodings of short stretches that a worker keeps, up to twice as many.
-KEPT, KEPT_BYTES = 100_000, 32
+KEPT, KEPT_BYTES = 60_000, 32
 #: Rows decoded before they are passed on.
 DECODED_ROWS = 512
 
@@ -107,6 +107,10 @@ class Transducer:
                 self.kept[stretch] = found
         return found
 
+    def forget(self) -> None:
+        """Give up what is kept, as a worker lives on after its task."""
+        self.kept, self.older = {}, {}
+
     def decode(self, numbers: Iterable[int]) -> str:
         """The text of an encoding; bytes that are no text on their own become replacement marks."""
         whole = b"".join(map(self.spelled.__getitem__, numbers))
@@ -177,17 +181,27 @@ def encode_batch(texts: pa.Array, transducer: Transducer) -> tuple[np.ndarray, n
     return pieces[np.repeat(begin[number], counts) + within], np.diff(total[first])
 
 
-def encode_pieces(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFrame:
-    """Add ``piece_ids`` and ``n_pieces``. Null and empty texts have no pieces. Columns of these
-    names are replaced; rows are not moved."""
+def encode_pieces(docs: DataFrame, text: str = "text", model: str = MODEL, decoded: str | None = None) -> DataFrame:
+    """Add ``piece_ids`` and ``n_pieces``, and under the name ``decoded`` the text they decode to.
+
+    Null and empty texts have no pieces and decode to an empty text. Columns of these names are
+    replaced; rows are not moved.
+    """
+    added = ADDED if decoded is None else T.StructType([*ADDED, T.StructField(decoded, T.StringType())])
 
     def make(batches):
         transducer = load(model)
         for batch in slices(batches, text):
             numbers, counts = encode_batch(batch.column(text), transducer)
-            yield batch, {"piece_ids": lists(numbers, counts, pa.int32()), "n_pieces": pa.array(counts, pa.int64())}
-
-    return with_arrow_columns(docs, text, ADDED, make)
+            made = {"piece_ids": lists(numbers, counts, pa.int32()), "n_pieces": pa.array(counts, pa.int64())}
+            if decoded is not None:
+                ends = np.cumsum(counts).tolist()
+                texts = [transducer.decode(numbers[a:b].tolist()) for a, b in zip([0, *ends], ends)]
+                made[decoded] = pa.array(texts, pa.string())
+            yield batch, made
+        transducer.forget()
+
+    return with_arrow_columns(docs, text, added, make)
 
 
 def decode_pieces(docs: DataFrame, pieces: str = "piece_ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
