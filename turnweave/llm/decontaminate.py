@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.llm.frames import bounded_batches, by_place, with_arrow_columns
-from turnweave.llm.words import ALPHANUMERIC, lists, slices, words_of
+from turnweave.llm.words import ALPHANUMERIC, Words, flat, lists, slices, words_of
 from turnweave.session import materialize
 
 WINDOW = 13
@@ -226,18 +226,24 @@ def contamination(
     documents that bear an added name are replaced. Rows are not moved: items are sent to the
     tasks, at most ``block_words`` words at a time, and each further block takes a written pass.
     """
+    out = _matched(docs, items, text, item_id, item_text, window, block_words)
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in ADDED.names], *ADDED.names)
+
+
+def _matched(
+    docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_words: int, min_share: int | None = None
+) -> DataFrame:
+    """The passes over the documents; with ``min_share`` the last one adds the text that is left of
+    contaminated documents as ``_cut``."""
     spark = docs.sparkSession
-    added = {"item_ids": "array<string>", "spans": "array<bigint>", "n_words": "bigint", "n_hit": "bigint", "longest": "bigint"}
     blocks = list(_enough(_blocks(items, item_id, item_text, window, max(block_words, window))))
     out = docs
     for number, block in enumerate(blocks):
-        out = _pass(out, spark.sparkContext.broadcast(Matcher(block, window)), text, first=number == 0)
-        if number + 1 < len(blocks):
+        last = number + 1 == len(blocks)
+        out = _pass(out, spark.sparkContext.broadcast(Matcher(block, window)), text, number == 0, min_share if last else None)
+        if not last:
             out = materialize(out, "contamination")
-    return out.select(
-        *[F.col(f"`{c}`") for c in out.columns if c not in added],
-        *[F.col(c) for c in ("n_words", "n_hit", "longest", "item_ids", "spans")],
-    )
+    return out
 
 
 def _enough(blocks: Iterator[list]) -> Iterator[list]:
@@ -250,7 +256,27 @@ def _enough(blocks: Iterator[list]) -> Iterator[list]:
         yield []
 
 
-def _pass(docs: DataFrame, matcher, text: str, first: bool) -> DataFrame:
+def without_spans(words: Words, first: int, begin: int, end: int, spans: list[tuple[int, int]]) -> str:
+    """A text's bytes from ``begin`` to ``end`` without spans of its words, which start at ``first``."""
+    kept = []
+    for a, b in spans:
+        kept.append(words.data[begin : words.starts[first + a]].tobytes())
+        begin = int(words.ends[first + b - 1])
+    return b"".join([*kept, words.data[begin:end].tobytes()]).decode()
+
+
+def _pass(docs: DataFrame, matcher, text: str, first: bool, min_share: int | None) -> DataFrame:
+    added = ADDED if min_share is None else T.StructType([*ADDED, T.StructField("_cut", T.StringType())])
+
+    def left(batch: pa.RecordBatch, words: Words, found: list) -> pa.Array:
+        offsets = flat(batch.column(text))[1]
+        out: list[str | None] = []
+        for row, (spans, _, _) in enumerate(found):
+            hit, count = sum(e - b for b, e in spans), int(words.counts[row])
+            cut = hit and hit * min_share >= count
+            out.append(without_spans(words, int(words.first[row]), int(offsets[row]), int(offsets[row + 1]), spans) if cut else None)
+        return pa.array(out, pa.string())
+
     def make(batches):
         for batch in slices(batches, text):
             words = words_of(batch.column(text), ALPHANUMERIC)
@@ -264,9 +290,11 @@ def _pass(docs: DataFrame, matcher, text: str, first: bool) -> DataFrame:
                     items |= set(batch.column("item_ids")[row].as_py())
                     longest = max(longest, batch.column("longest")[row].as_py())
                 found.append((spans, sorted(items), longest))
+            cut = {} if min_share is None else {"_cut": left(batch, words, found)}
             yield (
                 batch,
-                {
+                cut
+                | {
                     "n_words": pa.array(words.counts, pa.int64()),
                     "n_hit": pa.array([sum(e - b for b, e in s) for s, _, _ in found], pa.int64()),
                     "longest": pa.array([n for _, _, n in found], pa.int64()),
@@ -276,13 +304,13 @@ def _pass(docs: DataFrame, matcher, text: str, first: bool) -> DataFrame:
             )
 
     if first:
-        return with_arrow_columns(docs, text, ADDED, make)
+        return with_arrow_columns(docs, text, added, make)
     keep = [c for c in docs.columns if c not in ADDED.names]
-    schema = T.StructType([*(docs.schema[c] for c in keep), *ADDED])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *added])
 
     def again(batches):
         for batch, made in make(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made[c] for c in ADDED.names], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made[c] for c in added.names], schema.names)
 
     return bounded_batches(docs).mapInArrow(again, schema)
 
@@ -292,7 +320,14 @@ def is_contaminated(min_share: int = MIN_SHARE):
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, text: str = "text", min_share: int = MIN_SHARE, **settings
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_words: int = BLOCK_WORDS,
+    min_share: int = MIN_SHARE,
 ) -> DataFrame:
     """The documents without the spans that exceed the limits; columns stay as they are.
 
@@ -302,31 +337,10 @@ def decontaminate(
     """
     placed = by_place(docs)
     place = f"c{docs.columns.index(text)}"
-    marked = contamination(placed, items, place, **settings)
-    marked = marked.where(~(is_contaminated(min_share) & (F.col("n_hit") == F.col("n_words"))))
-
-    def make(batches):
-        for batch in slices(batches, place):
-            yield batch, {"_cut": cut(batch)}
-
-    def cut(batch: pa.RecordBatch) -> pa.Array:
-        rows = batch.column("_cutting").to_numpy(zero_copy_only=False).nonzero()[0]
-        texts = batch.column(place)
-        out: list[str | None] = [None] * batch.num_rows
-        for row in rows.tolist():
-            words = words_of(texts.slice(row, 1), ALPHANUMERIC)
-            spans = batch.column("spans")[row].as_py()
-            data, at, kept = words.data.tobytes(), 0, []
-            for begin, end in zip(spans[::2], spans[1::2]):
-                kept.append(data[at : words.starts[begin]])
-                at = int(words.ends[end - 1])
-            out[row] = b"".join([*kept, data[at:]]).decode()
-        return pa.array(out, pa.string())
-
-    marked = marked.withColumn("_cutting", is_contaminated(min_share))
-    done = with_arrow_columns(marked, place, T.StructType([T.StructField("_cut", T.StringType())]), make)
-    value = F.when(F.col("_cutting"), F.col("_cut")).otherwise(F.col(place))
-    return done.withColumn(place, value).select(*placed.columns).toDF(*docs.columns)
+    marked = _matched(placed, items, place, item_id, item_text, window, block_words, min_share)
+    left = marked.where(~(is_contaminated(min_share) & (F.col("n_hit") == F.col("n_words"))))
+    value = F.when(is_contaminated(min_share), F.col("_cut")).otherwise(F.col(place))
+    return left.withColumn(place, value).select(*placed.columns).toDF(*docs.columns)
 
 
 def items_digest():

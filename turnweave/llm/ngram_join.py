@@ -91,7 +91,7 @@ def shingle_counts(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
         counters = np.zeros(SLOTS, np.uint32)
         for batch in slices(batches, text):
             slot = ShingleSets(batch.column(text), shingle).grams & np.uint64(SLOTS - 1)
-            counters += np.bincount(slot.astype(np.int64), minlength=SLOTS).astype(np.uint32)
+            np.add.at(counters, slot.astype(np.int64), 1)
         if counters.any():
             yield packed(counters.reshape(-1, SLOT_BLOCK), range(SLOTS // SLOT_BLOCK))
 
