@@ -1,8 +1,12 @@
 """Ids, packing, advantages, rewards, models, transforms, preferences."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -358,6 +362,49 @@ def test_first_of_files(spark, tmp_path):
         assert [(r.id, r.source_file) for r in found.orderBy("id").collect()] == list(enumerate(wanted))
 
 
+def test_first_of_many_splits(spark, tmp_path):
+    """Splits are taken in order, and those behind the limit stay closed."""
+    for name in "abc":
+        lines = [f'{{"source_file": "{name}{i:04}"}}' for i in range(2000)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join([*lines, "not json" if name == "b" else ""]))
+    files = [str(tmp_path / f"{n}.jsonl") for n in "abc"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")  # about ten splits a file
+    try:
+        assert jsonl.read_jsonl(spark, files[1]).rdd.getNumPartitions() > 5
+        wanted = [f"{n}{i:04}" for n in "ab" for i in range(2000)]
+        for limit in (5, 700, 2000, 2300):
+            found = ids.first_of_files(spark, files, lambda f: jsonl.read_jsonl(spark, f), limit)
+            assert [(r.id, r.source_file) for r in found.orderBy("id").collect()] == list(enumerate(wanted[:limit]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+FIRST_ON_A_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from turnweave.operators import ids
+from turnweave.sources import jsonl
+spark = (SparkSession.builder.master("local-cluster[3,1,1024]").config("spark.ui.enabled", "false")
+    .config("spark.driver.host", "127.0.0.1").config("spark.sql.files.maxPartitionBytes", "5000").getOrCreate())
+for limit in (5, 900):
+    found = ids.first_of_files(spark, [sys.argv[1]], lambda f: jsonl.read_jsonl(spark, f), limit).orderBy("id").collect()
+    assert [(r.id, r.source_file) for r in found] == [(i, f"r{i}") for i in range(limit)], found[:9]
+spark.stop()
+"""
+
+
+def test_first_of_many_splits_on_a_cluster(tmp_path):
+    data = tmp_path / "many.jsonl"
+    data.write_text("".join(f'{{"source_file": "r{i}"}}\n' for i in range(6000)))
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", FIRST_ON_A_CLUSTER, str(data)],
+        cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_evaluation_of_a_file(spark, tmp_path):
     data = tmp_path / "eval.jsonl"
     lines = [f'{{"messages": [{{"role": "user", "content": "q{i}"}}]}}' for i in range(5)]

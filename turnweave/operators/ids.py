@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import accumulate, islice
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.functions.numbers import floor_div
-from turnweave.session import broadcast_if_small, checkpointed
+from turnweave.session import broadcast_if_small, checkpointed, local_table
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
@@ -67,26 +67,82 @@ def file_order_ids(df: DataFrame) -> DataFrame:
     )
 
 
+def _of_splits(rows: DataFrame, numbers: Iterable[int]):
+    """The JVM's row RDD of some partitions of a scan; the other partitions are not opened."""
+    jvm = rows.sparkSession._jvm
+    # A Scala set is the function that tells its members.
+    wanted = jvm.PythonUtils.toSeq(list(numbers)).toSet()
+    return jvm.org.apache.spark.rdd.PartitionPruningRDD.create(rows._jdf.toJavaRDD().rdd(), wanted).toJavaRDD()
+
+
+def _as_frame(rdd, rows: DataFrame) -> DataFrame:
+    """Rows of an RDD of the JVM with the columns of ``rows``."""
+    spark = rows.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(rdd, rows._jdf.schema()), spark)
+
+
+def _first_sizes(rows: DataFrame, wanted: int) -> list[int]:
+    """Row counts of a scan's first partitions, as many as hold ``wanted`` rows, or all of them.
+
+    A count stops at ``wanted``. Partitions are counted in waves that grow fourfold, as ``take()`` does.
+    """
+    splits = rows._jdf.toJavaRDD().getNumPartitions()
+    sizes: list[int] = []
+    wave, found = 1, 0
+    while found < wanted and len(sizes) < splits:
+        upto = min(splits, len(sizes) + wave)
+        some = _as_frame(_of_splits(rows, range(len(sizes), upto)), rows).select(F.lit(0))
+        for size in some.rdd.mapPartitions(lambda part: [sum(1 for _ in islice(part, wanted))]).collect():
+            if found < wanted:
+                sizes.append(size)
+                found += size
+        wave = 4 * wave
+    return sizes
+
+
 def first_of_files(spark: SparkSession, files: Sequence[str], read: Callable[[str], DataFrame], limit: int) -> DataFrame:
     """The first ``limit`` rows in the order of files and lines, with ``id`` from 0.
 
-    Files are opened one after another until there are enough, and of each only as many of its splits
-    as are needed are read. The rows, as many as the limit says, are gathered to be numbered and come
-    back as a local table; nothing else is written.
+    Files are opened one after another until there are enough rows, and of each only its first splits,
+    which are counted in order. Only the counts come to the driver: rows are numbered in the task that
+    reads their split, and the last split is read as far as it is needed. Nothing is written.
     """
-    tables, found = [], 0
+    chosen, sizes = [], []
     for file in files:
+        found = sum(sizes)
         if found >= limit:
             break
-        # take() of a scan reads splits in order, and stops.
-        tables.append(read(file).limit(limit - found).toArrow())
-        found += tables[-1].num_rows
-    if not found:
+        rows = read(file)
+        some = _first_sizes(rows, limit - found)
+        if some:
+            chosen.append((rows, len(some)))
+            sizes += some
+    if not sum(sizes):
         return read(list(files)).limit(0).select(F.lit(0).cast("bigint").alias("id"), "*")
-    rows = pa.concat_tables(tables)
-    rows = rows.add_column(0, "id", pa.array(range(rows.num_rows), pa.int64()))
-    schema = T.StructType([T.StructField("id", T.LongType()), *read(files[0]).schema.fields])
-    return spark.createDataFrame(rows, schema)
+    starts = [0, *accumulate(sizes)]
+    rows, count = chosen.pop()
+    place = F.monotonically_increasing_id()
+    last = _as_frame(_of_splits(rows, [count - 1]), rows)
+    last = last.select((place + F.lit(starts[-2])).alias("id"), "*").limit(limit - starts[-2])
+    chosen.append((rows, count - 1))
+    whole = [_of_splits(x, range(n)) for x, n in chosen if n]
+    if not whole:
+        return last
+    placed = _as_frame(spark._jsc.union(_java_array(spark, whole)), rows).select(place.alias("_place"), "*")
+    parted = placed.withColumn("_partition", F.shiftrightunsigned("_place", ROW_BITS))
+    shifts = [{"_partition": i, "_shift": start - (i << ROW_BITS)} for i, start in enumerate(starts[:-2])]
+    kinds = T.StructType([T.StructField("_partition", T.LongType()), T.StructField("_shift", T.LongType())])
+    # One row per split.
+    numbered = parted.join(broadcast_if_small(local_table(spark, shifts, kinds)), "_partition")
+    return numbered.select((F.col("_place") + F.col("_shift")).alias("id"), *rows.columns).unionByName(last)
+
+
+def _java_array(spark: SparkSession, values: list):
+    """RDDs as the array that the JVM's union takes."""
+    out = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.spark.api.java.JavaRDD, len(values))
+    for i, value in enumerate(values):
+        out[i] = value
+    return out
 
 
 def zip_by_id(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:

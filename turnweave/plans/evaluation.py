@@ -15,6 +15,11 @@ from turnweave.sources.jsonl import read_jsonl
 from turnweave.sources.rubrics import BUILT_IN, Rubric, load_rubric
 
 
+def call_partitions(spark: SparkSession, limit: int) -> int:
+    """How many calls run at once after a limit."""
+    return max(1, min(limit, spark.sparkContext.defaultParallelism))
+
+
 def evaluate(
     examples: DataFrame,
     generator: tuple[str, models.Factory],
@@ -46,7 +51,7 @@ def evaluate(
         if taken:
             raise FileExistsError(f"already there: {', '.join(taken)}")
     if partitions is None and limit is not None:
-        partitions = max(1, min(limit, spark.sparkContext.defaultParallelism))
+        partitions = call_partitions(spark, limit)
 
     def spread(df: DataFrame) -> DataFrame:
         return df if partitions is None else df.repartition(partitions, "id")
@@ -92,8 +97,9 @@ def evaluate_file(
     else:
         files = sorted(examples.inputFiles())
         examples = first_of_files(spark, files, lambda file: read_jsonl(spark, file), limit)
+        if options.get("partitions") is None:
+            options["partitions"] = call_partitions(spark, limit)
     rubric = load_rubric(spark, rubric_path)
-    _, _, summary = evaluate(
-        examples, generator, judge, output_dir, rubric, limit=limit, **options
-    )
+    # The limit is met: taking it again would gather all of its rows in one task.
+    _, _, summary = evaluate(examples, generator, judge, output_dir, rubric, **options)
     return summary
