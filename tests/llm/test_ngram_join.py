@@ -66,6 +66,26 @@ def test_frequent_shingles_go_their_own_way(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == plainly(docs)
 
 
+def test_large_component_of_a_long_list_is_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", 4)
+
+    def dealt(inner, outer):
+        rows = [(7, k, 0 if k < inner else k, 0, inner, inner + outer) for k in range(inner + outer)]
+        frame = spark.createDataFrame(rows, "gram long, key long, label long, major long, major_size long, size long")
+        groups = {}
+        for r in ngram_join.dealt_to_blocks(frame).collect():
+            groups.setdefault((r.low, r.high), []).append((r.key, r.own))
+        met = set()
+        for (low, high), found in groups.items():
+            met |= {(min(a, b), max(a, b)) for a, x in found for b, y in found if a != b and (low == high or x != y)}
+        assert met == {(a, b) for b in range(inner, inner + outer) for a in range(b)}
+        return sum(map(len, groups.values()))
+
+    # Each of the component once, the one outside with each of the ten blocks and its own.
+    assert dealt(40, 1) == 40 + 11
+    dealt(9, 13)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)]
     found = components(spark.createDataFrame(chain, "a long, b long")).collect()

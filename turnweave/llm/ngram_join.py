@@ -296,11 +296,12 @@ def open_pairs(entries: DataFrame, labels: DataFrame, table: DataFrame, threshol
     mixed = materialize(
         per_label.groupBy("gram")
         .agg(
-            F.max(F.struct("size", "label"))["label"].alias("major"),
+            F.max(F.struct("size", "label")).alias("most"),
             F.count(F.lit(1)).alias("labels"),
             F.sum("size").alias("size"),
         )
-        .where("labels > 1"),
+        .where("labels > 1")
+        .select("gram", "size", F.col("most.label").alias("major"), F.col("most.size").alias("major_size")),
         "open-shingles",
     )
     here = named.join(mixed.where(F.col("size") <= LONG_LIST), "gram")
@@ -316,11 +317,32 @@ def open_pairs(entries: DataFrame, labels: DataFrame, table: DataFrame, threshol
     return short.unionByName(long).distinct()
 
 
+def dealt_to_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of long lists with the blocks ``low`` and ``high`` that meet in a task, one of them ``own``.
+
+    Classes of the list's largest component are in blocks below 0, the other ones in blocks from 0 on,
+    each of about ``LIST_BLOCK`` classes. Every block meets those from 0 on only: the large component is
+    not compared with itself, and is dealt once where one block holds all classes outside it.
+    """
+    inner = F.col("label") == F.col("major")
+    inner_blocks = F.ceil(F.col("major_size") / LIST_BLOCK).cast("int")
+    outer_blocks = F.ceil((F.col("size") - F.col("major_size")) / LIST_BLOCK).cast("int")
+    place = F.xxhash64("key")
+    own = F.when(inner, -1 - F.pmod(place, inner_blocks)).otherwise(F.pmod(place, outer_blocks)).cast("int")
+    others = F.sequence(F.when(inner, F.lit(0)).otherwise(-inner_blocks), outer_blocks - 1)
+    return (
+        rows.withColumns({"own": own, "other": others})
+        .withColumn("other", F.explode("other"))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .drop("other")
+    )
+
+
 def in_blocks(rows: DataFrame, table: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs from long lists that pass all filters, short profiles included.
 
-    A list is dealt to blocks of about ``LIST_BLOCK`` classes, and every two blocks meet in a task of
-    their own, where pairs are compared as arrays; only those that pass become rows.
+    Blocks of a list (``dealt_to_blocks``) meet two by two in a task of their own, where pairs are
+    compared as arrays; only those that pass become rows.
     """
     p, q = threshold.numerator, threshold.denominator
 
@@ -331,22 +353,16 @@ def in_blocks(rows: DataFrame, table: DataFrame, threshold: Fraction) -> DataFra
 
     wanted = broadcast_if_small(rows.select("key").distinct(), BROADCAST_IDS)
     profiles = table.select("key", "profile").join(wanted, "key").dropDuplicates(["key"]).mapInArrow(shorten, _schema(key=_LONG, brief=_BIN))
-    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    dealt = (
-        rows.join(profiles, "key")
-        .withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("key"), blocks).cast("int")})
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "n", "pos", "label", "brief")
-    )
+    dealt = dealt_to_blocks(rows.join(profiles, "key")).select("gram", "low", "high", "own", "key", "n", "pos", "label", "brief")
 
     def compare(group: pa.Table) -> pa.Table:
         own, key, n, pos, label = (group.column(c).to_numpy() for c in ("own", "key", "n", "pos", "label"))
         n, pos = n.astype(np.int64), pos.astype(np.int64)
         shape = np.frombuffer(b"".join(x.as_py() for x in group.column("brief")), np.uint8).reshape(-1, BRIEF)
-        inside = bool(group.column("low")[0].as_py() == group.column("high")[0].as_py())
+        low, high = (group.column(c)[0].as_py() for c in ("low", "high"))
         found: list[list[np.ndarray]] = [[], []]
-        for i in range(len(key)):
-            others = np.flatnonzero((label != label[i]) & (key > key[i]) & (inside | (own != own[i])))
+        for i in np.flatnonzero(own == high).tolist():
+            others = np.flatnonzero((label != label[i]) & (key > key[i] if low == high else own == low))
             sizes = n[others] + n[i]
             fits = (np.minimum(n[others], n[i]) * q >= np.maximum(n[others], n[i]) * p) & (
                 np.minimum(n[others] - pos[others], n[i] - pos[i]) * (p + q) >= sizes * p
@@ -355,8 +371,8 @@ def in_blocks(rows: DataFrame, table: DataFrame, threshold: Fraction) -> DataFra
             if len(others):
                 common = np.minimum(shape[others], shape[i]).sum(axis=1, dtype=np.int64)
                 others = others[(common * (p + q) >= sizes * p) | (shape[others, 0] == 255) | (shape[i, 0] == 255)]
-                found[0].append(np.full(len(others), key[i]))
-                found[1].append(key[others])
+                found[0].append(np.minimum(key[others], key[i]))
+                found[1].append(np.maximum(key[others], key[i]))
         a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in found)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
