@@ -86,6 +86,16 @@ def test_large_component_of_a_long_list_is_dealt_once(spark, monkeypatch):
     dealt(9, 13)
 
 
+def test_texts_of_classes_whose_rows_share_an_id(spark):
+    rows = [(i, f"a{x} b{x} c{x} d{x} e{x}") for i in (None, 3) for x in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = ngram_join.prefixes(docs, ngram_join.shingle_counts(docs, "text", 5), "doc_id", "text", 5, ngram_join.THRESHOLD)
+    verifier = ngram_join.Verifier(docs, table, "doc_id", "text", 5, ngram_join.THRESHOLD)
+    keys = table.select("key")
+    assert verifier.texts(keys).count() == 12
+    assert verifier.sets(keys).count() == 12
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)]
     found = components(spark.createDataFrame(chain, "a long, b long")).collect()

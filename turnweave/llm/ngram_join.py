@@ -50,7 +50,7 @@ def _schema(**fields: T.DataType) -> T.StructType:
 
 
 SETS = _schema(key=_LONG, n=_INT, grams=_BIN)
-PREFIXES = _schema(doc_id=_LONG, key=_LONG, n=_INT, weight=_INT, hot_from=_INT, prefix=T.ArrayType(_LONG), profile=_BIN)
+PREFIXES = _schema(doc_id=_LONG, mark=_LONG, key=_LONG, n=_INT, weight=_INT, hot_from=_INT, prefix=T.ArrayType(_LONG), profile=_BIN)
 ENTRIES = _schema(gram=_LONG, key=_LONG, n=_INT, weight=_INT, pos=_INT)
 
 
@@ -144,8 +144,13 @@ def brief(whole: bytes) -> bytes:
     return counts.astype(np.uint8).tobytes() if counts.max() < 255 else b"\xff" * BRIEF
 
 
+def located(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows ``(_id, _mark, _text)``; the mark is a hash of the text, as ids may be null or repeated."""
+    return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("_id"), F.xxhash64(F.col(f"`{text}`")).alias("_mark"), F.col(f"`{text}`").alias("_text"))
+
+
 def prefixes(docs: DataFrame, counts: np.ndarray, doc_id: str, text: str, shingle: int, threshold: Fraction) -> DataFrame:
-    """One row per document: its class, set size, prefix in rare-first order and profile.
+    """One row per document: its text's hash, class, set size, prefix in rare-first order and profile.
 
     ``weight`` grows with the frequency of its prefix shingles: of near copies, the one with the fewest
     shingles of its own has the most of it.
@@ -166,6 +171,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, doc_id: str, text: str, shingl
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
+                    batch.column("_mark"),
                     pa.array(sets.keys(), pa.int64()),
                     pa.array(sets.counts, pa.int32()),
                     pa.array(weight.astype(np.int32), pa.int32()),
@@ -176,7 +182,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, doc_id: str, text: str, shingl
                 PREFIXES.names,
             )
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    rows = located(docs, doc_id, text)
     return rows.mapInArrow(make, PREFIXES)
 
 
@@ -383,7 +389,7 @@ class Verifier:
     """Checks pairs of classes on profiles and then on full sets, computed again from the texts."""
 
     def __init__(self, docs: DataFrame, table: DataFrame, doc_id: str, text: str, shingle: int, threshold: Fraction):
-        self.docs = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("_id"), F.col(f"`{text}`").alias("_text"))
+        self.docs = located(docs, doc_id, text)
         self.table, self.shingle, self.threshold = table, shingle, threshold
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -419,11 +425,18 @@ class Verifier:
 
         return both.select("a", "b", "n_a", "n_b", "profile_a", "profile_b").mapInArrow(bound, _schema(a=_LONG, b=_LONG))
 
+    def texts(self, keys: DataFrame) -> DataFrame:
+        """Rows ``(key, _text)`` of one document of each class. Rows of one id are told apart by their
+        texts' hashes, so a document is met by one class, however many rows share its id."""
+        wanted = broadcast_if_small(keys.distinct(), BROADCAST_IDS)
+        one = F.min(F.struct("mark", "doc_id")).alias("one")
+        members = self.table.select("key", "mark", "doc_id").join(wanted, "key").groupBy("key").agg(one).select("key", "one.mark", "one.doc_id")
+        members = broadcast_if_small(materialize(members, "class-members"), BROADCAST_IDS)
+        here = (F.col("_mark") == F.col("mark")) & F.col("_id").eqNullSafe(F.col("doc_id"))
+        return self.docs.join(members, here).select("key", "_text")
+
     def sets(self, keys: DataFrame) -> DataFrame:
         """Rows ``(key, grams)`` of the given classes, each from one of its documents."""
-        wanted = broadcast_if_small(keys.distinct(), BROADCAST_IDS)
-        members = self.table.select("key", "doc_id").join(wanted, "key").groupBy("key").agg(F.min("doc_id").alias("_member"))
-        texts = self.docs.join(broadcast_if_small(materialize(members, "class-members"), BROADCAST_IDS), F.col("_id").eqNullSafe(F.col("_member")))
         shingle = self.shingle
 
         def make(batches):
@@ -434,7 +447,7 @@ class Verifier:
                 grams = [sets.grams[sets.first[i] : sets.first[i + 1]].tobytes() for i in rows.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(made[rows], pa.int64()), pa.array(grams, pa.binary())], ["key", "grams"])
 
-        found = texts.select("key", "_text").mapInArrow(make, _schema(key=_LONG, grams=_BIN))
+        found = self.texts(keys).mapInArrow(make, _schema(key=_LONG, grams=_BIN))
         return found.dropDuplicates(["key"])
 
 
