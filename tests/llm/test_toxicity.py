@@ -48,6 +48,16 @@ def test_sample_never_holds_the_fold(tables):
     assert set(texts.to_pylist()) <= rest and not set(texts.to_pylist()) & (fold - rest)
 
 
+def test_sample_of_repeated_ids_is_bounded(spark):
+    one = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(one, f"text {n % 50}") for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(one, 1)], "doc_id long, toxic int")
+    texts, marks = labelled_sample(docs, labels, per_class=20)
+    assert len(set(texts.to_pylist())) == len(texts) == 20 and marks.tolist() == [1] * 20
+    assert len(labelled_sample(docs, labels)[0]) == 50
+
+
 def test_odd_tables(odd, nothing, spark):
     labels = spark.createDataFrame([(6, 1), (6, 0), (7, 0), (8, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     model = fit(odd, labels)

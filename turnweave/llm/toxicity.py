@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from turnweave.llm.frames import by_place, with_arrow_columns
 from turnweave.llm.words import ALPHANUMERIC, Words, mix, slices, words_of
+from turnweave.session import materialize
 
 #: Labelled documents of each class that training may see, at most; those of the least hashes.
 SAMPLE_PER_CLASS = 1500
@@ -252,10 +253,11 @@ def calibrate(toxic: np.ndarray, clean: np.ndarray, steps: int = 300) -> tuple[f
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = SAMPLE_PER_CLASS
 ) -> tuple[pa.Array, np.ndarray]:
-    """Distinct texts and their labels, at most ``per_class`` documents of each class.
+    """Distinct texts and their labels, at most ``per_class`` documents and texts of each class.
 
-    Taken are the rows of the least hashes outside the held-out fold, whatever the table's order.
+    Taken are the ids of the least hashes outside the held-out fold, whatever the table's order.
     Rows with a null id or label are left out; of contradicting labels the higher one counts.
+    Where ids are repeated with more texts than that, those of the least text hashes are taken.
     """
     known = (
         labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
@@ -266,15 +268,19 @@ def labelled_sample(
     )
     order = [F.xxhash64("_id"), F.col("_id")]
     chosen = known.where("_label > 0").orderBy(*order).limit(per_class).unionAll(known.where("_label <= 0").orderBy(*order).limit(per_class))
-    rows = (
+    texts = (
         docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
         .where(F.octet_length("_text") <= SAMPLE_BYTES)
         .join(F.broadcast(chosen), "_id")
-        .toArrow()
+        .groupBy("_text")
+        .agg(F.max("_label").alias("_label"))
     )
-    best: dict[str, int] = {}
-    for value, mark in sorted(zip(rows.column("_text").to_pylist(), rows.column("_label").to_pylist())):
-        best[value] = max(mark, best.get(value, 0))
+    # Written, so that the documents are read once for both classes.
+    texts = materialize(texts, "labelled-texts")
+    order = [F.xxhash64("_text"), F.col("_text")]
+    some = texts.where("_label > 0").orderBy(*order).limit(per_class).unionAll(texts.where("_label <= 0").orderBy(*order).limit(per_class))
+    rows = some.toArrow()
+    best = dict(sorted(zip(rows.column("_text").to_pylist(), rows.column("_label").to_pylist())))
     return pa.array(list(best), pa.string()), np.array(list(best.values()), np.int64)
 
 
