@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from turnweave.llm import decontaminate as module
 from turnweave.llm.decontaminate import contamination, decontaminate, is_contaminated
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -75,3 +76,20 @@ def test_odd_tables(odd, nothing, spark):
     assert contamination(odd, items.where("false")).agg(F.sum("n_hit")).first()[0] == 0
     assert decontaminate(odd, items).count() == odd.count() - 3
     assert decontaminate(nothing, items).columns == odd.columns
+
+
+def test_blocks_come_one_at_a_time(spark, monkeypatch):
+    log, blocks, one_pass = [], module._blocks, module._pass
+
+    def counted(*args):
+        for block in blocks(*args):
+            log.append("block")
+            yield block
+
+    monkeypatch.setattr(module, "_blocks", counted)
+    monkeypatch.setattr(module, "_pass", lambda *args: log.append("pass") or one_pass(*args))
+    items = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(14))) for i in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x i0w0 " + " ".join(f"i3w{k}" for k in range(14)))], "doc_id long, text string")
+    found = contamination(docs, items, block_words=14).first()
+    assert log == ["block", "block", "pass", "block", "pass", "block", "pass", "pass"]
+    assert found.n_hit == 14 and found.item_ids == ["3"]

@@ -236,13 +236,18 @@ def _matched(
     """The passes over the documents; with ``min_share`` the last one adds the text that is left of
     contaminated documents as ``_cut``."""
     spark = docs.sparkSession
-    blocks = list(_enough(_blocks(items, item_id, item_text, window, max(block_words, window))))
-    out = docs
-    for number, block in enumerate(blocks):
-        last = number + 1 == len(blocks)
-        out = _pass(out, spark.sparkContext.broadcast(Matcher(block, window)), text, number == 0, min_share if last else None)
+    blocks = _enough(_blocks(items, item_id, item_text, window, max(block_words, window)))
+    out, block, number = docs, next(blocks), 0
+    while block is not None:
+        # Only this block and the next one are on the driver.
+        following = next(blocks, None)
+        last = following is None
+        sent = spark.sparkContext.broadcast(Matcher(block, window))
+        out = _pass(out, sent, text, number == 0, min_share if last else None)
         if not last:
             out = materialize(out, "contamination")
+            sent.unpersist()
+        block, number = following, number + 1
     return out
 
 
