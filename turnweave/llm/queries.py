@@ -11,6 +11,7 @@ from turnweave.llm.fingerprints import neighbour_fingerprints
 from turnweave.llm.licenses import TEMPLATES, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.pseudonyms import found, pseudonymize
+from turnweave.llm.resample import resample
 from turnweave.llm.sentence_fst import encode_pieces
 from turnweave.llm.substring_dedup import remove_repeats
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
@@ -32,6 +33,18 @@ def sql_words(text: str, pattern: str = ALPHANUMERIC, lower: bool = True) -> str
     return f"regexp_extract_all({LOWER.format(value) if lower else value}, '{pattern}')"
 
 
+#: The CRC-32 of some bytes, which DuckDB does not have: its table of 256 entries, and a table expression of
+#: ``(s, crc)`` for the strings ``s`` of another one.
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))"
+
+
+def sql_crc(source: str) -> str:
+    byte = "CAST('0x' || substr(hex(encode(s)), 2 * k + 1, 2) AS BIGINT)"
+    folded = "list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))"
+    return f"""SELECT s, xor({folded}, 4294967295) AS crc FROM (
+      SELECT s, list_transform(range(octet_length(encode(s))), lambda k: {byte}) AS b FROM (SELECT DISTINCT s FROM {source})), (SELECT {_CRC_TABLE} AS t)"""
+
+
 def query(sql: str | None = None):
     def register(function: Query) -> Query:
         QUERIES[function.__name__] = function
@@ -180,3 +193,23 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in a passage repeated anywhere, and what is kept."""
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS s FROM d), aims AS (SELECT unnest({sql_words("text")}) AS s FROM benchmark),
+crc AS ({sql_crc("(SELECT s FROM words UNION ALL SELECT s FROM aims)")}),
+source AS (SELECT crc % 10000 AS b, count(*) AS n FROM words JOIN crc USING (s) GROUP BY b),
+target AS (SELECT crc % 10000 AS b, count(*) AS n FROM aims JOIN crc USING (s) GROUP BY b),
+gain AS (SELECT i AS b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)
+  / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aims) + 10000)))) AS BIGINT) AS g
+  FROM range(10000) r(i) LEFT JOIN source s ON s.b = i LEFT JOIN target t ON t.b = i),
+weights AS (SELECT doc_id, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS weight FROM words JOIN crc USING (s) JOIN gain ON b = crc % 10000 GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * (SELECT count(*) FROM ranked) // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""")
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document, and the rank of those drawn towards the benchmark's words."""
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
