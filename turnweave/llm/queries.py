@@ -15,6 +15,7 @@ from turnweave.llm.resample import resample
 from turnweave.llm.sentence_fst import encode_pieces
 from turnweave.llm.substring_dedup import remove_repeats
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
+from turnweave.llm.topk import top_k
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
 from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
 from turnweave.session import materialize
@@ -213,3 +214,14 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight and score of every document, and the rank of those drawn towards the benchmark's words."""
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one by whole-number inner product."""
+    return top_k(table(spark, sf_dir, "embeddings"))
