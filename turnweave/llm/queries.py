@@ -10,6 +10,7 @@ from turnweave.llm.decontaminate import contamination, is_contaminated, items_di
 from turnweave.llm.fingerprints import neighbour_fingerprints
 from turnweave.llm.licenses import TEMPLATES, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
+from turnweave.llm.prefix_trie import prefix_trie
 from turnweave.llm.pseudonyms import found, pseudonymize
 from turnweave.llm.resample import resample
 from turnweave.llm.sentence_fst import encode_pieces
@@ -225,3 +226,23 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
 def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one by whole-number inner product."""
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, r, x) AS w FROM turns GROUP BY conv_id),
+crc AS ({sql_crc("(SELECT CAST(conv_id AS VARCHAR) AS s FROM own)")}),
+shared AS (SELECT conv_id, w, CAST(crc % 6 AS INT) AS h FROM own JOIN crc ON s = CAST(conv_id AS VARCHAR)),
+built AS (SELECT c.conv_id, list_concat(coalesce(p.w[1:h], []), c.w[h + 1:]) AS w FROM shared c LEFT JOIN own p ON p.conv_id = c.conv_id - c.conv_id % 100),
+members AS (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM built),
+nodes AS (SELECT d, w[1:d] AS k, w[1:d][1:d - 1] AS up, min(conv_id) AS conv_id, count(*) AS n,
+  string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(w) = d) AS ends FROM members GROUP BY ALL),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+trie AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN nodes.d = 0 THEN 0 ELSE (n - 1) * length(k[nodes.d].x) END AS saved
+  FROM nodes LEFT JOIN kids ON kids.up = nodes.k AND kids.d = nodes.d),
+below AS (SELECT a.d, a.k, count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved
+  FROM trie a JOIN trie b ON b.d >= a.d AND b.k[1:a.d] = a.k GROUP BY a.d, a.k)
+SELECT t.conv_id, t.d AS depth, p.conv_id AS parent_conv_id, t.n AS n_convs, t.n_children, n_leaves, below.saved AS saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+FROM trie t JOIN below ON below.d = t.d AND below.k = t.k LEFT JOIN trie p ON t.d > 0 AND p.d = t.d - 1 AND p.k = t.up""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations, with what sharing their prefixes saves."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
