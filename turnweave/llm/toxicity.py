@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnweave.llm.frames import by_place, with_arrow_columns
+from turnweave.llm.frames import bounded_batches, by_place, with_arrow_columns
 from turnweave.llm.words import ALPHANUMERIC, Words, mix, slices, words_of
-from turnweave.session import materialize
+from turnweave.session import local_table, materialize
 
 #: Labelled documents of each class that training may see, at most; those of the least hashes.
 SAMPLE_PER_CLASS = 1500
-#: Longer texts are left out of that sample.
-SAMPLE_BYTES = 1 << 19
+#: Bytes of text that training may see, half of them for either class.
+SAMPLE_BYTES = 32 << 20
 FOLDS, HELD_OUT = 5, 0
 ONE_IN, LEAST = 50, 2
 GRAMS = (3, 4, 5, 6)
@@ -40,8 +40,8 @@ ADDED = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("pre
 
 
 def held_out(doc_id: Column) -> Column:
-    """Whether a document is in the fold that is kept from training."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT
+    """Whether a document is in the fold that is kept from training. A null id counts as an empty one, which is."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
 @dataclass
@@ -251,16 +251,24 @@ def calibrate(toxic: np.ndarray, clean: np.ndarray, steps: int = 300) -> tuple[f
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = SAMPLE_PER_CLASS
-) -> tuple[pa.Array, np.ndarray]:
-    """Distinct texts and their labels, at most ``per_class`` documents and texts of each class.
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    per_class: int = SAMPLE_PER_CLASS,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
+    """Rows ``(text, label)`` of distinct texts, at most ``per_class`` documents and texts and half of
+    ``sample_bytes`` of each class.
 
     Taken are the ids of the least hashes outside the held-out fold, whatever the table's order.
     Rows with a null id or label are left out; of contradicting labels the higher one counts.
     Where ids are repeated with more texts than that, those of the least text hashes are taken.
+    A text that does not fit in what is left of its class's bytes is passed over.
     """
     known = (
-        labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
+        labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("_label"))
         .where("_id IS NOT NULL AND _label IS NOT NULL")
         .where(~held_out(F.col("_id")))
         .groupBy("_id")
@@ -269,24 +277,46 @@ def labelled_sample(
     order = [F.xxhash64("_id"), F.col("_id")]
     chosen = known.where("_label > 0").orderBy(*order).limit(per_class).unionAll(known.where("_label <= 0").orderBy(*order).limit(per_class))
     texts = (
-        docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-        .where(F.octet_length("_text") <= SAMPLE_BYTES)
+        docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text"))
+        .where("text IS NOT NULL")
         .join(F.broadcast(chosen), "_id")
-        .groupBy("_text")
-        .agg(F.max("_label").alias("_label"))
+        .groupBy("text")
+        .agg((F.max("_label") > 0).cast("int").alias("label"))
+        .withColumns({"mark": F.xxhash64("text"), "size": F.octet_length("text")})
     )
     # Written, so that the documents are read once for both classes.
     texts = materialize(texts, "labelled-texts")
-    order = [F.xxhash64("_text"), F.col("_text")]
-    some = texts.where("_label > 0").orderBy(*order).limit(per_class).unionAll(texts.where("_label <= 0").orderBy(*order).limit(per_class))
-    rows = some.toArrow()
-    best = dict(sorted(zip(rows.column("_text").to_pylist(), rows.column("_label").to_pylist())))
-    return pa.array(list(best), pa.string()), np.array(list(best.values()), np.int64)
+    taken = []
+    for one in (1, 0):
+        left = sample_bytes // 2
+        for row in texts.where(F.col("label") == one).select("mark", "size").orderBy("mark").limit(per_class).toLocalIterator():
+            if row.size <= left:
+                left -= row.size
+                taken.append({"mark": row.mark})
+    marks = local_table(docs.sparkSession, taken, T.StructType([T.StructField("mark", T.LongType())]))
+    return texts.join(F.broadcast(marks), "mark", "left_semi").select("text", "label")
+
 
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", **bounds: int) -> Model:
+    """The model of a sample of the labelled texts, whose ``bounds`` are those of ``labelled_sample``.
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    texts, marks = labelled_sample(docs, labels, doc_id, text, label)
-    return train(texts, marks > 0)
+    One task trains on the sample; only the model, one number per n-gram row, comes to the driver.
+    """
+
+    def learn(batches):
+        texts, labels = [pa.array([], pa.string())], [np.zeros(0, np.int64)]
+        for batch in batches:
+            texts.append(batch.column("text"))
+            labels.append(batch.column("label").to_numpy())
+        model = train(pa.chunked_array(texts).combine_chunks(), np.concatenate(labels) > 0)
+        made = ([model.logits.astype(np.float32).tobytes()], [model.slope], [model.offset])
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(made, (pa.binary(), pa.float64(), pa.float64()))], ["logits", "slope", "offset"])
+
+    sample = labelled_sample(docs, labels, doc_id, text, label, **bounds)
+    row = bounded_batches(sample).repartition(1).sortWithinPartitions("text").mapInArrow(learn, "logits binary, slope double, offset double").first()
+    if row is None:
+        return Model(np.zeros(BUCKETS, np.float32), 0.0, -np.inf)
+    return Model(np.frombuffer(row.logits, np.float32), row.slope, row.offset)
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -305,8 +335,8 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
     return with_arrow_columns(docs, text, ADDED, make)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds: int) -> DataFrame:
     """The documents that are not predicted to be toxic, with the columns they came with."""
     placed = by_place(docs)
-    scored = score_toxicity(placed, fit(docs, labels, doc_id, text), f"c{docs.columns.index(text)}")
+    scored = score_toxicity(placed, fit(docs, labels, doc_id, text, **bounds), f"c{docs.columns.index(text)}")
     return scored.where("predicted = 0").select(*placed.columns).toDF(*docs.columns)
