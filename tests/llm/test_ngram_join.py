@@ -116,3 +116,23 @@ def test_one_document_of_each_group(odd, nothing):
 def test_repeated_rows_of_the_id_that_stays(spark):
     rows = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (2, "a b c"), (3, "z")], "doc_id long, text string")
     assert sorted(r.doc_id for r in one_of_each_group(rows).collect()) == [1, 3]
+
+
+def test_other_texts_of_an_id_stay(spark):
+    def kept(rows, **more):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        for name in ("_dropped", "_id", "_mark", "stays", "label", "c0"):
+            frame = frame.selectExpr("*", f"'x' AS `{name}`")
+        found = one_of_each_group(frame)
+        assert found.columns == frame.columns
+        return sorted((r.doc_id, r.text) for r in found.collect())
+
+    a, u = "a b c d e f", "u v w x y z"
+    assert kept([(3, a), (5, a), (5, u)]) == [(3, a), (5, u)]
+    assert kept([(1, a), (1, u)]) == [(1, a), (1, u)]
+    assert kept([(1, a), (1, a), (1, u), (2, u), (0, "q")]) == [(0, "q"), (1, a), (1, u)]
+
+
+def test_ids_are_whole_numbers(spark):
+    with pytest.raises(TypeError):
+        similar_groups(spark.createDataFrame([("x", "a b c")], "doc_id string, text string"))

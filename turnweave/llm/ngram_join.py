@@ -28,7 +28,7 @@ from turnweave.session import broadcast_if_small, materialize
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
 
-#: Counters of the shingle counts, sent to every task: 2 bytes each. Shingles may share one, which
+#: Counters of the shingle counts, sent to every task: 4 bytes each. Shingles may share one, which
 #: blurs the order, never the result.
 SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 16
@@ -85,7 +85,7 @@ def prefix_length(n: np.ndarray, threshold: Fraction) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """For each counter, in how many documents its shingles are; at most 65535."""
+    """For each counter, in how many documents its shingles are."""
 
     def count(batches):
         counters = np.zeros(SLOTS, np.uint32)
@@ -113,7 +113,7 @@ def shingle_counts(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
     counters = np.zeros((SLOTS // SLOT_BLOCK, SLOT_BLOCK), np.uint32)
     for row in some.groupBy("block").applyInArrow(total, schema).toLocalIterator():
         counters[row.block] = np.frombuffer(zlib.decompress(row.counters), np.uint32)
-    return np.minimum(counters.reshape(-1), 65535).astype(np.uint16)
+    return counters.reshape(-1)
 
 
 def profile(grams: np.ndarray) -> bytes:
@@ -484,7 +484,15 @@ def similar_groups(
     Rows with a null id take part and never name a group, unless all of it is without id; rows of
     one id are judged by their own texts. An empty table gives no rows.
     """
-    docs = bounded_batches(docs).select(doc_id, text)
+    return labelled_rows(docs, doc_id, text, shingle, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled_rows(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: Fraction) -> DataFrame:
+    """Rows ``(doc_id, mark, n_shingles, label, component_id)``, one per document: its text's hash and its group."""
+    if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError(f"{doc_id} must be a column of whole numbers")
+    docs = bounded_batches(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    doc_id, text = "doc_id", "text"
     counts = shingle_counts(docs, text, shingle)
     table = materialize(prefixes(docs, counts, doc_id, text, shingle, threshold), "prefixes")
     entries = materialize(shared_entries(table), "shared-shingles")
@@ -503,26 +511,36 @@ def named_groups(table: DataFrame, labels: DataFrame) -> DataFrame:
     classes = table.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     groups = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_key = labelled.join(groups, "label").select("key", "component_id")
-    rows = table.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "key")
-    linked = rows.where("n_shingles > 0").join(by_key, "key").select("doc_id", "n_shingles", "component_id")
-    return linked.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    by_key = labelled.join(groups, "label").select("key", "label", "component_id")
+    rows = table.select("doc_id", "mark", F.col("n").cast("bigint").alias("n_shingles"), "key")
+    linked = rows.where("n_shingles > 0").join(by_key, "key").drop("key")
+    alone = rows.where("n_shingles = 0").drop("key").withColumns({"label": F.lit(None).cast("bigint"), "component_id": F.col("doc_id")})
+    return linked.unionByName(alone)
 
 
-def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The documents, of each group of similar ones only that of the smallest id.
+def one_of_each_group(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: Fraction = THRESHOLD
+) -> DataFrame:
+    """The documents, of each group of similar ones only one: of the rows with the smallest id that of the
+    smallest text hash, and one of those that repeat it.
 
-    Documents without shingles stay, and so do rows with a null id. Repeated rows of the id that
-    stays are one document: the first by text stays.
+    Rows without shingles stay, and so do rows with a null id. Rows are judged by their own
+    text, so other texts under a dropped row's id stay if nothing is similar to them.
     """
-    groups = materialize(similar_groups(docs, doc_id, text, **settings), "groups")
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(broadcast_if_small(dropped, BROADCAST_IDS), F.col(f"`{doc_id}`") == F.col("_dropped"), "left_anti")
-    repeated = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    if repeated.isEmpty():
-        return kept
-    again = broadcast_if_small(repeated, BROADCAST_IDS)
-    once = kept.join(again, F.col(f"`{doc_id}`") == F.col("_again"), "left_semi")
-    others = kept.join(again, F.col(f"`{doc_id}`") == F.col("_again"), "left_anti")
-    first = once.groupBy(F.col(f"`{doc_id}`").alias("_again")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.col(f"`{text}`")).alias("_row"))
-    return others.unionByName(first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
+    rows = labelled_rows(docs, doc_id, text, shingle, threshold).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    rows = materialize(rows.groupBy("label", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.count(F.lit(1)).alias("n")), "groups")
+    first = rows.groupBy("label").agg(F.min(F.struct("_id", "_mark")).alias("first"))
+    # Groups of one text need no decision.
+    judged = materialize(
+        rows.join(first, "label").select("_id", "_mark", "n", (F.struct("_id", "_mark") == F.col("first")).alias("stays")).where("NOT stays OR n > 1"),
+        "judged-texts",
+    )
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    here = docs.toDF(*columns).withColumns({"_id": F.col(columns[docs.columns.index(doc_id)]).cast("bigint"), "_mark": F.xxhash64(columns[docs.columns.index(text)])})
+    kept = here.join(broadcast_if_small(judged.select("_id", "_mark"), BROADCAST_IDS), ["_id", "_mark"], "left_anti")
+    again = judged.where("stays").select("_id", "_mark")
+    if not again.isEmpty():
+        once = here.join(broadcast_if_small(again, BROADCAST_IDS), ["_id", "_mark"], "left_semi")
+        once = once.groupBy("_id", "_mark").agg(F.first(F.struct(*columns)).alias("row")).select("_id", "_mark", "row.*")
+        kept = kept.unionByName(once)
+    return kept.select(*columns).toDF(*docs.columns)
