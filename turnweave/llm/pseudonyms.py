@@ -14,20 +14,38 @@ from pyspark.sql import functions as F
 
 #: An even number, so that the halves end where they began.
 ROUNDS = 8
-KEY = "change-me"
 #: 400 years, after which the calendar repeats: 189 * 773 days.
 FIRST_DAY, DAY_ROWS, DAY_COLUMNS = "1800-01-01", 189, 773
 
 # What may be personal. Values are told apart again by the same patterns, whole.
 MAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+#: Groups of digits that may hold card numbers, as far as they go; groups that are part of something else
+#: are left out. Possessive, as the engine would otherwise keep a frame for each group.
+_GROUP = r"[0-9]++(?![A-Za-z@]|\.[0-9])"
+DIGITS = rf"(?=[0-9](?:[ -]?[0-9]){{12}}){_GROUP}(?:[ -]{_GROUP})*+"
+CARD_SIZES, USUAL_CARD = (13, 19), 16
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"
 ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
+# How long the account numbers of each country are.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN = "|".join(f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{size - 4}}}" for size, countries in IBAN_SIZES.items())
 LEFT, RIGHT = r"(?<![A-Za-z0-9])(?<![0-9][.,-])(?<!\+)", r"(?![A-Za-z0-9@]|[.-][0-9])"
-ANY = f"{LEFT}(?:{MAIL}|{IBAN}|{DATE}|{SOCIAL}|{ADDRESS}|{PHONE}|{CARD}){RIGHT}"
+#: Around what a pass has replaced, so that later ones leave it alone; a mark in a text is followed by ``ESCAPE``.
+MARK, END, ESCAPE = "\ue000", "\ue001", "\ue002"
+#: Number n says that n groups of digits are one number.
+CODES = "".join(chr(0xE010 + n) for n in range(CARD_SIZES[1] + 1))
+MARKED = f"{MARK}[^{END}{ESCAPE}]+{END}"
+
+
+def _guarded(pattern: str, right: str = RIGHT) -> str:
+    return f"{LEFT}(?:{pattern}){right}"
 
 
 def _text(value: str) -> str:
@@ -39,20 +57,27 @@ def _text(value: str) -> str:
 class Permutation:
     """The keyed permutations, as SQL over SQL; ``back`` turns values back."""
 
-    key: str = KEY
+    key: str
     back: bool = False
 
+    def __post_init__(self):
+        if not self.key:
+            raise ValueError("pseudonyms need a secret key")
+
     def _digest(self, kind: str, step: str, half: str) -> str:
         return f"sha2(concat({_text(f'{self.key}|{kind}|')}, {step}, '|', {half}), 256)"
 
     def _steps(self) -> str:
         return f"sequence({ROUNDS}, 1)" if self.back else f"sequence(1, {ROUNDS})"
 
-    def letters(self, value: str, kind: str) -> str:
-        """Digits stay digits, letters letters of their case, other characters themselves."""
+    def letters(self, value: str, kind: str, tweak: str = "''") -> str:
+        """Digits stay digits, letters letters of their case, other characters themselves.
+
+        Each ``tweak`` has a permutation of its own.
+        """
         sign = "-" if self.back else "+"
         fixed, moved = ("l", "r") if self.back else ("r", "l")
-        digest = self._digest(kind, "i", f"s.{fixed}")
+        digest = self._digest(kind, "i", f"{tweak}, '|', s.{fixed}")
         amount = f"{sign} CAST(conv(substr(h, 2 * pmod(j - 1, 32) + 1, 2), 16, 10) AS INT)"
         shifted = " ".join(
             f"WHEN substr(v, j, 1) BETWEEN '{first}' AND '{last}' THEN chr({ord(first)} + pmod(ascii(substr(v, j, 1)) - {ord(first)} {amount}, {size}))"
@@ -111,12 +136,30 @@ def named(value: str, name: str, expression: str) -> str:
 
 
 def card(m: str, p: Permutation) -> str:
-    number = digits(m)
     body = "substr(c, 1, length(c) - 1)"
     permuted = p.letters(body, "card")
     check = f"pmod(10 - pmod({luhn_sum('q', 1)}, 10), 10)"
     whole = named(permuted, "q", f"concat(q, CAST({check} AS STRING))")
-    return named(number, "c", f"IF(pmod({luhn_sum('c', 2)}, 10) = 0, {named(whole, 'w', refilled(m, 'w'))}, {m})")
+    return named(digits(m), "c", named(whole, "w", refilled(m, "w")))
+
+
+def cards(m: str, p: Permutation) -> str:
+    """Groups of digits with the card numbers among them replaced.
+
+    Before each group goes a code: how many groups from there on pass the check together, those of the
+    usual length or else of the greatest. Coded groups are then read from left to right. So what
+    stands before or behind a number does not hide it, and the work grows with the number of groups.
+    """
+    least, most = CARD_SIZES
+    number = digits("array_join(slice(h, 1, n), '')")
+    passes = f"length(c) BETWEEN {least} AND {most} AND pmod({luhn_sum('c', 2)}, 10) = 0"
+    sizes = f"filter(transform(sequence(1, size(h)), n -> transform(array({number}), c -> IF({passes}, named_struct('usual', length(c) = {USUAL_CARD}, 'size', length(c), 'n', n), NULL))[0]), x -> x IS NOT NULL)"
+    code = f"substr('{CODES}', coalesce(array_max({sizes}).n, 0) + 1, 1)"
+    coded = f"array_join(transform(g, (x, i) -> concat({named(f'slice(g, i + 1, {most})', 'h', code)}, x)), '')"
+    # A code for n groups takes the codes of those groups with it.
+    spans = "|".join(f"{CODES[n]}[0-9]+(?:[ -][{CODES}][0-9]+){{{n - 1}}}" for n in range(most, 0, -1))
+    replaced = _replaced("u", spans, named(f"translate(m, '{CODES}', '')", "v", marked(card("v", p))))
+    return named(f"regexp_extract_all({m}, '[0-9]+[ -]?', 0)", "g", named(coded, "u", f"translate({replaced}, '{CODES}', '')"))
 
 
 def phone(m: str, p: Permutation) -> str:
@@ -157,7 +200,7 @@ def iban(m: str, p: Permutation) -> str:
     whole = named(body, "q", f"concat(substr(c, 1, 2), {check}, q)")
     spaced = f"array_join(transform(sequence(1, length({m})), j -> IF(substr({m}, j, 1) = ' ', ' ', substr(w, length(replace(substr({m}, 1, j), ' ', '')), 1))), '')"
     valid = named("concat(substr(c, 5), substr(c, 1, 4))", "z", _mod_97("z"))
-    return named(f"replace({m}, ' ', '')", "c", f"IF({valid} = 1, {named(whole, 'w', spaced)}, {m})")
+    return named(f"replace({m}, ' ', '')", "c", f"IF({valid} = 1, {marked(named(whole, 'w', spaced))}, {m})")
 
 
 def date(m: str, p: Permutation) -> str:
@@ -174,43 +217,68 @@ def date(m: str, p: Permutation) -> str:
 
 def mail(m: str, p: Permutation) -> str:
     local = f"lower(substring_index({m}, '@', 1))"
-    permuted = named(local, "c", p.letters("c", "mail"))
+    # Names are permuted per domain, so that short ones are not all shifted alike.
+    permuted = named(local, "c", p.letters("c", "mail", f"lower(substring_index({m}, '@', -1))"))
     return f"concat({permuted}, '@', substring_index({m}, '@', -1))"
 
 
-KINDS = ((MAIL, mail), (IBAN, iban), (DATE, date), (SOCIAL, social), (ADDRESS, address), (PHONE, phone), (CARD, card))
+KINDS = ((MAIL, mail), (DATE, date), (SOCIAL, social), (ADDRESS, address), (PHONE, phone))
+#: What each pass looks for. Account numbers go first, as their check is the strongest, and mail addresses last.
+PASSES = (_guarded(IBAN), f"{MARKED}|{_guarded(DIGITS, '')}", f"{MARKED}|{_guarded('|'.join(pattern for pattern, _ in KINDS))}")
+
+
+def marked(value: str) -> str:
+    return f"concat('{MARK}', {value}, '{END}')"
+
+
+def unmarked(m: str, otherwise: str) -> str:
+    """What an earlier pass has replaced, without its marks in the last pass."""
+    return f"IF(startswith({m}, '{MARK}'), {m}, {otherwise})"
 
 
 def pseudonym(m: str, p: Permutation) -> str:
-    """The pseudonym of one value that a pattern has found; itself if no check is passed."""
+    """The pseudonym of one value that the last pass has found; itself if no check is passed."""
     cases = " ".join(f"WHEN {m} RLIKE {_text(f'^(?:{pattern})$')} THEN {make(m, p)}" for pattern, make in KINDS)
-    return f"CASE {cases} ELSE {m} END"
+    return f"CASE WHEN startswith({m}, '{MARK}') THEN substr({m}, 2, length({m}) - 2) {cases} ELSE {m} END"
+
 
+def _replaced(t: str, pattern: str, made: str) -> str:
+    """The text with every match ``m`` of the pattern replaced by ``made``."""
+    pattern = _text(pattern)
+    return (
+        f"IF({t} RLIKE {pattern}, array_join(zip_with(split({t}, {pattern}, -1), "
+        f"concat(transform(regexp_extract_all({t}, {pattern}, 0), m -> {made}), array('')), "
+        f"(part, value) -> concat(part, value)), ''), {t})"
+    )
 
-def pseudonymized(text: Column | str, key: str = KEY, back: bool = False) -> Column:
+
+def pseudonymized(text: Column | str, key: str, back: bool = False) -> Column:
     """The text with each personal value replaced by its pseudonym; with ``back`` the other way."""
     name = text if isinstance(text, str) else text._jc.toString()
     p = Permutation(key, back)
-    pattern = _text(ANY)
-    return F.expr(
-        f"IF({name} RLIKE {pattern}, array_join(zip_with(split({name}, {pattern}, -1), "
-        f"concat(transform(regexp_extract_all({name}, {pattern}, 0), m -> {pseudonym('m', p)}), array('')), "
-        f"(part, value) -> concat(part, value)), ''), {name})"
-    )
+    accounts, numbers, others = PASSES
+    out = _replaced("t2", others, pseudonym("m", p))
+    out = named(_replaced("t1", numbers, unmarked("m", cards("m", p))), "t2", out)
+    out = named(_replaced("t0", accounts, iban("m", p)), "t1", out)
+    out = named(f"replace({name}, '{MARK}', '{MARK}{ESCAPE}')", "t0", out)
+    return F.expr(f"replace({out}, '{MARK}{ESCAPE}', '{MARK}')")
 
 
 def found(text: str) -> Column:
-    """How many values the patterns find."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(ANY)), F.lit(0)).cast("bigint")
+    """How many values the patterns find, whether they pass a check or not."""
+    whole = _guarded("|".join([IBAN, *(pattern for pattern, _ in KINDS)]))
+    return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(f"{whole}|{_guarded(DIGITS, '')}")), F.lit(0)).cast("bigint")
 
 
-def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY, back: bool = False) -> DataFrame:
+def pseudonymize(docs: DataFrame, text: str = "text", *, key: str, back: bool = False) -> DataFrame:
     """The documents with pseudonyms in ``text``; other columns, order and number of rows stay.
 
     Mail addresses keep their domain; their local part is taken in lower case. Numbers keep
     separators and length: card numbers their check digit rule, phone numbers a country prefix,
     social numbers and IP addresses their ranges, IBANs country and check rule. Dates from 1800 to
     2199 become such dates. What looks like one but fails its check stays, and so do null and
-    empty texts. Nothing is shuffled.
+    empty texts. Numbers in a row of digit groups are found whatever stands around them; where such
+    a row reads as two numbers of different length, the usual length counts, in either direction, so
+    turning a text back may take another reading of it. Nothing is shuffled.
     """
     return docs.withColumn(text, pseudonymized(f"`{text}`", key, back))
