@@ -17,6 +17,10 @@ from turnweave.llm.toxicity import drop_toxic
 from turnweave.session import materialize
 
 
+#: Of the test tables; a real one is kept secret.
+PSEUDONYM_KEY = "key of the test tables"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,7 +49,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates and addresses become pseudonyms."""
-    return _counted(pseudonymize(docs))
+    return _counted(pseudonymize(docs, key=PSEUDONYM_KEY))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
