@@ -380,31 +380,6 @@ def test_first_of_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-FIRST_ON_A_CLUSTER = """
-import sys
-from pyspark.sql import SparkSession
-from turnweave.operators import ids
-from turnweave.sources import jsonl
-spark = (SparkSession.builder.master("local-cluster[3,1,1024]").config("spark.ui.enabled", "false")
-    .config("spark.driver.host", "127.0.0.1").config("spark.sql.files.maxPartitionBytes", "5000").getOrCreate())
-for limit in (5, 900):
-    found = ids.first_of_files(spark, [sys.argv[1]], lambda f: jsonl.read_jsonl(spark, f), limit).orderBy("id").collect()
-    assert [(r.id, r.source_file) for r in found] == [(i, f"r{i}") for i in range(limit)], found[:9]
-spark.stop()
-"""
-
-
-def test_first_of_many_splits_on_a_cluster(tmp_path):
-    data = tmp_path / "many.jsonl"
-    data.write_text("".join(f'{{"source_file": "r{i}"}}\n' for i in range(6000)))
-    root = str(Path(__file__).resolve().parents[1])
-    done = subprocess.run(
-        [sys.executable, "-c", FIRST_ON_A_CLUSTER, str(data)],
-        cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300,
-    )
-    assert done.returncode == 0, done.stderr[-3000:]
-
-
 def test_evaluation_of_a_file(spark, tmp_path):
     data = tmp_path / "eval.jsonl"
     lines = [f'{{"messages": [{{"role": "user", "content": "q{i}"}}]}}' for i in range(5)]

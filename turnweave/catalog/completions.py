@@ -8,10 +8,11 @@ from turnweave.catalog.registry import query
 from turnweave.functions import chat, rewards, text, tokens
 from turnweave.operators import models
 from turnweave.operators.groups import group_advantage
-from turnweave.operators.rewards import helpfulness_reward, load_rewards, with_reward
+from turnweave.operators.ledger import ask_once
+from turnweave.operators.rewards import helpfulness_reward, list_reward, load_rewards, with_reward
 from turnweave.operators.training import fan_out
 from turnweave.plans.rollouts import scored_rollouts
-from turnweave.session import materialize
+from turnweave.session import materialize, shared_folder
 
 BASE = f"({fx.SQL_COMPLETIONS})"
 
@@ -174,6 +175,20 @@ def rewards_of_messages(spark, sf_dir):
     return scored.select("conv_id", "turn", "reward_1", F.round("reward_2", 6).alias("reward_2"), "reward_3")
 
 
+@query(
+    f"""SELECT conv_id, turn, reward_1, reward_2, round(reward_1 + 0.5::DOUBLE * reward_2, 6) + 0.0 AS reward
+FROM (SELECT conv_id, turn, (length(completion) % 13 + 0.25::DOUBLE * (length(prompt) % 7))::DOUBLE AS reward_1,
+  (CASE WHEN conv_id % 4 = 0 THEN 2.0 ELSE 0.0 END - 0.5::DOUBLE * (turn % 3) + length(prompt))::DOUBLE AS reward_2
+FROM ({fx.SQL_ANSWERED}))"""
+)
+def rewards_of_lists(spark, sf_dir):
+    """Weighted rewards of functions over lists, one of them built per worker and with metadata."""
+    answered = fx.with_metadata(fx.answered(spark, sf_dir)).select("conv_id", "turn", "prompt", "completion", "answer_key")
+    functions = load_rewards([stubs.length_scores, list_reward("key-scores", stubs.key_scores)], [1.0, 0.5])
+    scored = with_reward(answered, functions, columns=["answer_key", "turn"])
+    return scored.select("conv_id", "turn", "reward_1", "reward_2", fx.rounded(F.col("reward")).alias("reward"))
+
+
 SQL_GROUPS = f"""SELECT conv_id, turn, reward, reward - avg(reward) OVER w AS distance,
   stddev_pop(reward) OVER w AS std
 FROM (SELECT conv_id, turn, reward_1 + 0.2::DOUBLE * reward_2 AS reward FROM ({SQL_REWARDS}))
@@ -228,6 +243,24 @@ def generate_stub(spark, sf_dir):
     return users.select("conv_id", "turn", completion.alias("completion"))
 
 
+@query(
+    """SELECT conv_id, turn, CASE WHEN text IN (SELECT text FROM conversations WHERE role = 'user' AND conv_id % 2 = 0 AND text IS NOT NULL)
+  THEN '<think>' || length(text) || '</think>' || chr(10) || 'Re: ' || text ELSE 'late: ' || text END AS completion
+FROM conversations WHERE role = 'user'"""
+)
+def resumed_generation(spark, sf_dir):
+    """A run over half of the prompts and then one over all: only what the ledger lacks is asked again."""
+    users = fx.turns(spark, sf_dir).where("role = 'user'").select("conv_id", "turn", "text")
+    folder = shared_folder(spark, "ledger")
+
+    def run(rows, factory):
+        ask = lambda text: models.generate("stub-generator", factory, text)
+        return ask_once(rows, F.col("text"), "completion", ask, folder, "stub-generator", batch_rows=1000)
+
+    run(users.where("conv_id % 2 = 0"), stubs.generator)
+    return run(users, stubs.late_generator).select("conv_id", "turn", "completion")
+
+
 @query(
     f"""SELECT conv_id, turn,
   round((length(user_content) + 0.5::DOUBLE * length(assistant_content)) % 97, 6) AS score FROM ({SQL_RM})"""

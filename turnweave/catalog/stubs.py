@@ -46,3 +46,39 @@ def scorer():
         return [[0.0, (asked + 0.5 * given) % 97] for asked, given in sizes]
 
     return score
+
+
+def length_scores(prompts, completions, **columns):
+    """A reward over lists that looks at lengths."""
+    return [len(c) % 13 + 0.25 * (len(p) % 7) for p, c in zip(prompts, completions)]
+
+
+class KeyScores:
+    """A reward over lists that keeps something from call to call and reads a metadata column."""
+
+    def __init__(self, points):
+        self.points = points
+
+    def __call__(self, prompts, completions, answer_key, turn, **columns):
+        return [self.points.get(k, 0.0) - 0.5 * (t % 3) + len(m) for m, k, t in zip(prompts, answer_key, turn)]
+
+
+def key_scores():
+    return KeyScores({"A": 2.0})
+
+
+def late_generator():
+    """Another answer to everything, to tell runs apart."""
+    return lambda prompts: [f"late: {p}" for p in prompts]
+
+
+CHUNK = 3
+
+
+def chunk_tokenizer():
+    """Tokens of three characters; the id is the first one's code point."""
+
+    def tokenize(texts: list) -> list:
+        return [[(ord(t[i]), i, min(i + CHUNK, len(t))) for i in range(0, len(t), CHUNK)] for t in texts]
+
+    return tokenize

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from turnweave.catalog import fixtures as fx
+from turnweave.catalog import stubs
 from turnweave.catalog.registry import query
 from turnweave.functions import tokens
 from turnweave.operators import ids, training
+from turnweave.operators.tokenize import BatchTokenizer, with_labels, with_token_ids
 
 LIMIT = 100
 
@@ -156,3 +158,55 @@ FROM walk WHERE n_tokens <= {PACK} GROUP BY shard, pack"""
 def pack_padding(spark, sf_dir):
     padded = training.pack_padding(_packed(spark, sf_dir, _sparse()), sequence_len=PACK)
     return padded.withColumn("fill", F.round("fill", 6))
+
+
+CHUNKS = BatchTokenizer("chunks", stubs.chunk_tokenizer)
+
+
+@query(
+    """SELECT doc_id, n_tokens, n_tokens <= 512 AS fits FROM (
+  SELECT doc_id, (length(coalesce(text, '')) + 2) // 3 AS n_tokens FROM documents)"""
+)
+def token_gate(spark, sf_dir):
+    """The length gate with a tokenizer that works on batches."""
+    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return training.with_length(documents, "text", 512, CHUNKS).drop("text")
+
+
+@query(
+    f"""SELECT conv_id, turn, len(ids) > 64 AS truncated, array_to_string(ids[1:64], ' ') AS capped
+FROM (SELECT conv_id, turn, list_transform(range(0, length(completion), 3), lambda i: unicode(substr(completion, CAST(i + 1 AS INT), 1))) AS ids
+  FROM ({fx.SQL_COMPLETIONS}))"""
+)
+def token_cap(spark, sf_dir):
+    """Ids of a batch tokenizer, cut to a limit."""
+    split = with_token_ids(fx.completions(spark, sf_dir), "completion", CHUNKS)
+    return training.with_capped(split, "token_ids", 64).select("conv_id", "turn", "truncated", F.array_join("token_ids", " ").alias("capped"))
+
+
+@query(
+    f"""{sql_packed("conv_id").replace("len(regexp_extract_all(text, '\\S+'))", "(length(text) + 2) // 3")}
+SELECT k, n_tokens, shard, pack, pos, "offset", n_tokens <= {PACK} AS fits FROM walk"""
+)
+def token_packing(spark, sf_dir):
+    """Packs of sequences whose lengths a batch tokenizer counts."""
+    lengths = fx.turns(spark, sf_dir).groupBy(F.col("conv_id").alias("k")).agg(F.sum(CHUNKS(F.col("text"))).alias("n_tokens"))
+    return training.pack_sequences(lengths, "k", sequence_len=PACK, shard_rows=SHARD_ROWS)
+
+
+@query(
+    """WITH said AS (SELECT conv_id, turn, role, text, '<|im_start|>' || role || chr(10) AS pre, '<|im_end|>' || chr(10) AS post FROM conversations),
+placed AS (SELECT *, coalesce(sum(length(pre || text || post)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p FROM said),
+chats AS (SELECT conv_id, string_agg(pre || text || post, '' ORDER BY turn) AS text,
+  list({'b': p + length(pre), 'e': p + length(pre || text || post) - 1}) FILTER (role = 'assistant') AS spans FROM placed GROUP BY conv_id),
+marked AS (SELECT conv_id, list_transform(range(0, length(text), 3), lambda i: CASE
+  WHEN len(list_filter(coalesce(spans, []), lambda s: i >= s.b AND least(i + 3, length(text)) <= s.e)) > 0 THEN unicode(substr(text, CAST(i + 1 AS INT), 1)) ELSE -100 END) AS labels FROM chats)
+SELECT conv_id, len(labels) AS n_tokens, len(list_filter(labels, lambda x: x <> -100)) AS n_trained, array_to_string(labels, ' ') AS labels FROM marked"""
+)
+def token_labels(spark, sf_dir):
+    """Labels of whole chats: token ids of the assistant's words, and no label elsewhere."""
+    labelled = with_labels(fx.chats(spark, sf_dir), CHUNKS)
+    trained = F.size(F.filter("labels", lambda x: x != -100)).cast("bigint")
+    return labelled.select(
+        "conv_id", F.size("token_ids").cast("bigint").alias("n_tokens"), trained.alias("n_trained"), F.array_join("labels", " ").alias("labels")
+    )

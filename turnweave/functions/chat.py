@@ -20,6 +20,9 @@ class ChatTemplate:
 
     render: Callable[[Column, Column], Column]
     header: str
+    # What follows a message's content, and how much of that is learned with the content.
+    suffix: str = "\n"
+    learned: str = ""
 
 
 def _chatml(role: Column, content: Column) -> Column:
@@ -30,7 +33,7 @@ def _plain(role: Column, content: Column) -> Column:
     return F.concat(role, F.lit(": "), content, F.lit("\n"))
 
 
-CHATML = ChatTemplate(_chatml, "<|im_start|>assistant\n")
+CHATML = ChatTemplate(_chatml, "<|im_start|>assistant\n", "<|im_end|>\n", "<|im_end|>")
 PLAIN = ChatTemplate(_plain, "assistant: ")
 
 
@@ -99,3 +102,34 @@ def train_mask(messages: Column, roles: tuple[str, ...] = ("assistant",)) -> Col
         )
 
     return F.transform(messages, mark)
+
+
+def render_messages(messages: Column, template: ChatTemplate) -> Column:
+    """All messages as one string, without a header for another answer."""
+    present = F.coalesce(messages, F.array().cast("array<struct<role:string,content:string>>"))
+    return F.array_join(F.transform(present, lambda m: message_text(template, m["role"], m["content"])), "")
+
+
+def trained_spans(messages: Column, template: ChatTemplate, roles: tuple[str, ...] = ("assistant",)) -> Column:
+    """Where in the rendered messages the characters to train on stand: ``[begin, end)`` of each message of ``roles``,
+    its content and the learned part of what follows it."""
+    present = F.coalesce(messages, F.array().cast("array<struct<role:string,content:string>>"))
+    behind, learned = len(template.suffix), len(template.learned)
+
+    def sized(m: Column) -> Column:
+        content = F.coalesce(m["content"], F.lit(""))
+        return F.struct(
+            F.char_length(message_text(template, m["role"], m["content"])).alias("whole"),
+            F.char_length(content).alias("content"),
+            F.coalesce(m["role"].isin(*roles), F.lit(False)).alias("train"),
+        )
+
+    sizes = F.transform(present, sized)
+
+    def span(m: Column, i: Column) -> Column:
+        before = F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda total, x: total + x["whole"])
+        end = before + m["whole"] - behind
+        return F.struct((end - m["content"]).alias("begin"), (end + learned).alias("end"), m["train"].alias("train"))
+
+    spans = F.filter(F.transform(sizes, span), lambda s: s["train"])
+    return F.transform(spans, lambda s: F.struct(s["begin"], s["end"]))

@@ -11,10 +11,11 @@ from __future__ import annotations
 import hashlib
 import sys
 import types
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import partial
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ GENERATION_DEFAULTS = {
 }
 GENERATION_BATCH = 8
 REWARD_BATCH = 2
+# Rows that a reward function over lists gets at once.
+LIST_BATCH = 64
 
 
 def generation_options(given: dict | None = None) -> dict:
@@ -98,6 +101,30 @@ def call_model(
     return call.asNondeterministic()(inputs)
 
 
+def call_lists(name: str, factory: Callable[[], Callable[..., list]], columns: Mapping[str, Column], batch_size: int) -> Column:
+    """Numbers that a function over lists gives to rows, ``batch_size`` rows per call.
+
+    Each column is handed over by its name, as a list of plain values: texts, numbers, lists and
+    dictionaries, or None. One finite or infinite number per row must come back.
+    """
+    size, key, names = max(1, batch_size), identity(name, factory), list(columns)
+
+    @F.arrow_udf(T.DoubleType())
+    def call(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        function = once_per_worker(key, factory)
+        for arrays in batches:
+            scores: list[float] = []
+            for start in range(0, len(arrays[0]), size):
+                given = {n: a.slice(start, size).to_pylist() for n, a in zip(names, arrays)}
+                found = list(function(**given))
+                if len(found) != len(given[names[0]]):
+                    raise ValueError(f"{name} must return one score per completion")
+                scores.extend(float(score) for score in found)
+            yield pa.array(scores, pa.float64())
+
+    return call.asNondeterministic()(*columns.values())
+
+
 def generate(
     name: str, factory: Factory, prompt: Column, batch_size: int = GENERATION_BATCH
 ) -> Column:

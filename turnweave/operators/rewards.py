@@ -2,13 +2,16 @@
 
 A reward function is ``f(prompt, completion, **columns) -> Column``. Prompts and completions
 may be texts or message lists; what the functions here need of either is read by its type.
+Functions over lists, ``f(prompts, completions, **columns) -> list[float]``, are taken as they are
+and called on Arrow batches, see :func:`list_reward`.
 """
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce, wraps
+from functools import partial, reduce, wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +22,7 @@ from turnweave.operators import models
 from turnweave.operators.transforms import find
 
 RewardFunction = Callable[..., Column]
+ListFunction = Callable[..., list]
 
 
 @dataclass(frozen=True)
@@ -80,6 +84,45 @@ def helpfulness_reward(
     return reward
 
 
+def list_reward(
+    name: str, factory: Callable[[], ListFunction], batch_size: int = models.LIST_BATCH
+) -> RewardFunction:
+    """A reward function over lists, built once per Python worker by its factory.
+
+    It gets ``prompts``, ``completions`` and, by name, each of the columns that ``with_reward`` hands
+    out, as lists of equal length. Message lists arrive as lists of dictionaries. It must return a
+    number for each completion; another count, or a score that is no number, fails the job.
+    """
+
+    @typed
+    def reward(prompt: Value, completion: Value, **columns: Column) -> Column:
+        taken = {"prompts", "completions"} & set(columns)
+        if taken:
+            raise ValueError(f"columns cannot be named {sorted(taken)} for a reward over lists")
+        given = {"prompts": prompt.column, "completions": completion.column, **columns}
+        return models.call_lists(name, factory, given, batch_size)
+
+    return reward
+
+
+def _is_over_lists(function: Callable) -> bool:
+    try:
+        return {"prompts", "completions"} <= set(inspect.signature(function).parameters)
+    except (TypeError, ValueError):
+        return False
+
+
+def _itself(function: ListFunction) -> ListFunction:
+    return function
+
+
+def _as_reward(function: Callable) -> RewardFunction:
+    """Functions with parameters ``prompts`` and ``completions`` are ones over lists."""
+    if not _is_over_lists(function):
+        return function
+    return list_reward(getattr(function, "__qualname__", "reward"), partial(_itself, function))
+
+
 REWARDS: dict[str, RewardFunction] = {"think_format_reward": think_format_reward}
 
 
@@ -88,10 +131,13 @@ def load_rewards(
     weights: Sequence[float] = (),
     known: Mapping[str, RewardFunction] = REWARDS,
 ) -> list[tuple[RewardFunction, float]]:
-    """Reward functions by name or dotted path, with weights that default to 1."""
+    """Reward functions by name or dotted path, with weights that default to 1.
+
+    Functions with parameters ``prompts`` and ``completions`` are called with lists.
+    """
     if weights and len(weights) != len(names):
         raise ValueError("there must be one weight per reward function")
-    found = [n if callable(n) else find(n, dict(known)) for n in names]
+    found = [_as_reward(n if callable(n) else find(n, dict(known))) for n in names]
     return list(zip(found, map(float, weights or [1.0] * len(found))))
 
 
