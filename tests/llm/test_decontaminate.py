@@ -79,7 +79,7 @@ def test_odd_tables(odd, nothing, spark):
 
 
 def test_blocks_come_one_at_a_time(spark, monkeypatch):
-    log, blocks, one_pass = [], module._blocks, module._pass
+    log, blocks, hits = [], module._blocks, module._hits
 
     def counted(*args):
         for block in blocks(*args):
@@ -87,7 +87,7 @@ def test_blocks_come_one_at_a_time(spark, monkeypatch):
             yield block
 
     monkeypatch.setattr(module, "_blocks", counted)
-    monkeypatch.setattr(module, "_pass", lambda *args: log.append("pass") or one_pass(*args))
+    monkeypatch.setattr(module, "_hits", lambda *args: log.append("pass") or hits(*args))
     items = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(14))) for i in range(4)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x i0w0 " + " ".join(f"i3w{k}" for k in range(14)))], "doc_id long, text string")
     found = contamination(docs, items, block_words=14).first()

@@ -224,7 +224,8 @@ def contamination(
     Null and empty texts have no words and no hits. Items without words have no window; an item
     without an id marks words but is not listed; repeated items count once. Columns of the
     documents that bear an added name are replaced. Rows are not moved: items are sent to the
-    tasks, at most ``block_words`` words at a time, and each further block takes a written pass.
+    tasks, at most ``block_words`` words at a time. Where there are more, texts are written once and each
+    block of items reads them, leaving only what it finds.
     """
     out = _matched(docs, items, text, item_id, item_text, window, block_words)
     return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in ADDED.names], *ADDED.names)
@@ -233,22 +234,31 @@ def contamination(
 def _matched(
     docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_words: int, min_share: int | None = None
 ) -> DataFrame:
-    """The passes over the documents; with ``min_share`` the last one adds the text that is left of
+    """The documents with what the items hit; with ``min_share`` also the text that is left of
     contaminated documents as ``_cut``."""
     spark = docs.sparkSession
     blocks = _enough(_blocks(items, item_id, item_text, window, max(block_words, window)))
-    out, block, number = docs, next(blocks), 0
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return _pass(docs, spark.sparkContext.broadcast(Matcher(block, window)), text, min_share)
+    # More blocks than one: texts are written once, with a number for each row, and blocks leave what they find.
+    placed = by_place(docs)
+    place = f"c{docs.columns.index(text)}"
+    numbered = materialize(placed.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    found = None
     while block is not None:
         # Only this block and the next one are on the driver.
-        following = next(blocks, None)
-        last = following is None
         sent = spark.sparkContext.broadcast(Matcher(block, window))
-        out = _pass(out, sent, text, number == 0, min_share if last else None)
-        if not last:
-            out = materialize(out, "contamination")
-            sent.unpersist()
-        block, number = following, number + 1
-    return out
+        here = materialize(_hits(numbered.select("row", place), sent, place), "block-hits")
+        sent.unpersist()
+        found = here if found is None else found.unionByName(here)
+        block, following = following, next(blocks, None)
+    # At most one row per block and document.
+    gathered = found.groupBy("row").agg(F.collect_list(F.struct("spans", "item_ids", "longest")).alias("found"))
+    whole = _gathered(numbered.join(gathered, "row", "left").drop("row"), place, min_share)
+    kept = [c for c in docs.columns if c not in ADDED.names or c == text]
+    made = [c for c in whole.columns if c not in placed.columns]
+    return whole.select(*[F.col(f"c{docs.columns.index(c)}").alias(c) for c in kept], *made)
 
 
 def _enough(blocks: Iterator[list]) -> Iterator[list]:
@@ -270,54 +280,84 @@ def without_spans(words: Words, first: int, begin: int, end: int, spans: list[tu
     return b"".join([*kept, words.data[begin:end].tobytes()]).decode()
 
 
-def _pass(docs: DataFrame, matcher, text: str, first: bool, min_share: int | None) -> DataFrame:
-    added = ADDED if min_share is None else T.StructType([*ADDED, T.StructField("_cut", T.StringType())])
+HITS = T.StructType([T.StructField("row", T.LongType()), *(f for f in ADDED if f.name in ("spans", "item_ids", "longest"))])
 
-    def left(batch: pa.RecordBatch, words: Words, found: list) -> pa.Array:
+
+def _hits(rows: DataFrame, matcher, text: str) -> DataFrame:
+    """What a block of items finds: spans, items and longest match of the rows in which it finds anything."""
+
+    def make(batches):
+        for batch in slices(batches, text):
+            words = words_of(batch.column(text), ALPHANUMERIC)
+            numbers = matcher.value.numbers(words.hashes)
+            matched = [matcher.value.match(numbers[a:b]) for a, b in zip(words.first[:-1], words.first[1:])]
+            met = [i for i, (_, _, longest) in enumerate(matched) if longest]
+            columns = {
+                "row": batch.column("row").take(pa.array(met, pa.int64())),
+                "spans": lists([p for i in met for x in matched[i][0] for p in x], [2 * len(matched[i][0]) for i in met], pa.int64()),
+                "item_ids": lists([x for i in met for x in sorted(matched[i][1])], [len(matched[i][1]) for i in met], pa.string()),
+                "longest": pa.array([matched[i][2] for i in met], pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays([columns[c] for c in HITS.names], HITS.names)
+
+    return bounded_batches(rows).mapInArrow(make, HITS)
+
+
+def _columns(batch: pa.RecordBatch, text: str, words: Words, found: list, min_share: int | None) -> dict[str, pa.Array]:
+    """The added columns of some rows from the spans, items and longest match of each."""
+    hit = [sum(e - b for b, e in spans) for spans, _, _ in found]
+    made = {
+        "n_words": pa.array(words.counts, pa.int64()),
+        "n_hit": pa.array(hit, pa.int64()),
+        "longest": pa.array([n for _, _, n in found], pa.int64()),
+        "item_ids": lists([i for _, x, _ in found for i in x], [len(x) for _, x, _ in found], pa.string()),
+        "spans": lists([p for s, _, _ in found for x in s for p in x], [2 * len(s) for s, _, _ in found], pa.int64()),
+    }
+    if min_share is not None:
         offsets = flat(batch.column(text))[1]
-        out: list[str | None] = []
+        cut: list[str | None] = []
         for row, (spans, _, _) in enumerate(found):
-            hit, count = sum(e - b for b, e in spans), int(words.counts[row])
-            cut = hit and hit * min_share >= count
-            out.append(without_spans(words, int(words.first[row]), int(offsets[row]), int(offsets[row + 1]), spans) if cut else None)
-        return pa.array(out, pa.string())
+            goes = hit[row] and hit[row] * min_share >= int(words.counts[row])
+            cut.append(without_spans(words, int(words.first[row]), int(offsets[row]), int(offsets[row + 1]), spans) if goes else None)
+        made["_cut"] = pa.array(cut, pa.string())
+    return made
+
+
+def _added(min_share: int | None) -> T.StructType:
+    return ADDED if min_share is None else T.StructType([*ADDED, T.StructField("_cut", T.StringType())])
+
+
+def _pass(docs: DataFrame, matcher, text: str, min_share: int | None) -> DataFrame:
+    """The only pass where one block holds all items."""
 
     def make(batches):
         for batch in slices(batches, text):
             words = words_of(batch.column(text), ALPHANUMERIC)
             numbers = matcher.value.numbers(words.hashes)
             found = []
-            for row in range(batch.num_rows):
-                spans, items, longest = matcher.value.match(numbers[words.first[row] : words.first[row + 1]])
-                if not first:
-                    before = batch.column("spans")[row].as_py()
-                    spans = merge(spans + list(zip(before[::2], before[1::2])))
-                    items |= set(batch.column("item_ids")[row].as_py())
-                    longest = max(longest, batch.column("longest")[row].as_py())
+            for a, b in zip(words.first[:-1], words.first[1:]):
+                spans, items, longest = matcher.value.match(numbers[a:b])
                 found.append((spans, sorted(items), longest))
-            cut = {} if min_share is None else {"_cut": left(batch, words, found)}
-            yield (
-                batch,
-                cut
-                | {
-                    "n_words": pa.array(words.counts, pa.int64()),
-                    "n_hit": pa.array([sum(e - b for b, e in s) for s, _, _ in found], pa.int64()),
-                    "longest": pa.array([n for _, _, n in found], pa.int64()),
-                    "item_ids": lists([i for _, x, _ in found for i in x], [len(x) for _, x, _ in found], pa.string()),
-                    "spans": lists([p for s, _, _ in found for x in s for p in x], [2 * len(s) for s, _, _ in found], pa.int64()),
-                },
-            )
-
-    if first:
-        return with_arrow_columns(docs, text, added, make)
-    keep = [c for c in docs.columns if c not in ADDED.names]
-    schema = T.StructType([*(docs.schema[c] for c in keep), *added])
-
-    def again(batches):
-        for batch, made in make(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made[c] for c in added.names], schema.names)
-
-    return bounded_batches(docs).mapInArrow(again, schema)
+            yield batch, _columns(batch, text, words, found, min_share)
+
+    return with_arrow_columns(docs, text, _added(min_share), make)
+
+
+def _gathered(docs: DataFrame, text: str, min_share: int | None) -> DataFrame:
+    """The added columns from what the blocks have found, in ``found``."""
+
+    def make(batches):
+        for batch in slices(batches, text):
+            words = words_of(batch.column(text), ALPHANUMERIC)
+            found = []
+            for parts in batch.column("found").to_pylist():
+                parts = parts or []
+                spans = merge([x for part in parts for x in zip(part["spans"][::2], part["spans"][1::2])])
+                items = sorted({i for part in parts for i in part["item_ids"]})
+                found.append((spans, items, max((part["longest"] for part in parts), default=0)))
+            yield batch, _columns(batch, text, words, found, min_share)
+
+    return with_arrow_columns(docs, text, _added(min_share), make).drop("found")
 
 
 def is_contaminated(min_share: int = MIN_SHARE):
