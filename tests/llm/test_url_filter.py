@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnweave.llm import url_filter
-from turnweave.llm.queries import RULES
+from turnweave.llm.queries import RULES, op8_url_filter
 from turnweave.llm.url_filter import blocks_for, canonical, filter_urls, with_listed
 
 URLS = [
@@ -56,3 +56,24 @@ def test_odd_tables(spark):
     assert sorted(r.verdict for r in found.collect()) == ["allow", "block", "block"]
     assert found.columns == ["page_id", "url", "_key", "host", "path", "rule", "verdict"]
     assert filter_urls(pages.where("false"), listing, RULES).count() == 0
+
+
+def test_clashing_names_and_sections(spark):
+    rows = [(i, u) for i, u in enumerate(["http://www.a.com/x/1", "http://m.a.com/x/2?q", "http://a.com/y", "http://b.com", None])]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    for name in ("_block", "block", "bits", "mask", "at", "possible", "sought", "c0", "row", "key", "hit", "_listed"):
+        pages = pages.selectExpr("*", f"'x' AS `{name}`")
+    listing = spark.createDataFrame([("a.com/x",), ("a.com/x",), (None,)], "_block string")
+    found = filter_urls(pages, listing, [], key=url_filter.section)
+    assert found.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    assert [r.verdict for r in found.orderBy("page_id").collect()] == ["block", "block", "allow", "allow", "allow"]
+    listed = with_listed(pages.withColumn("k", F.lit("a.com/x")), listing, "k")
+    assert [r.listed for r in listed.collect()] == [True] * 5
+
+
+def test_the_join_decides_pages_that_nothing_else_does(spark):
+    """Some pages of the registered query are blocked only as they share a part of a site with a junk page."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    judged = op8_url_filter(spark, "/root/testdata/sf0.01").join(pages.select("page_id", "html"), "page_id")
+    only = judged.where("rule IS NULL AND verdict = 'block' AND NOT contains(html, '$$$')").count()
+    assert 0 < only < judged.count() // 2

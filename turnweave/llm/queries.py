@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnweave.catalog.registry import Query
 from turnweave.llm.decontaminate import contamination, is_contaminated, items_digest
 from turnweave.llm.fingerprints import neighbour_fingerprints
-from turnweave.llm.licenses import TEMPLATES, scan_licenses
+from turnweave.llm.licenses import TEMPLATES, Template, indexed_words, scan_licenses
 from turnweave.llm.ngram_join import similar_groups
 from turnweave.llm.prefix_trie import prefix_trie
 from turnweave.llm.pseudonyms import found, pseudonymize
@@ -18,7 +18,7 @@ from turnweave.llm.substring_dedup import remove_repeats
 from turnweave.llm.token_counts import length_histogram, suffix_sums, with_token_counts
 from turnweave.llm.topk import top_k
 from turnweave.llm.toxicity import fit, held_out, score_toxicity
-from turnweave.llm.url_filter import Rule, canonical, filter_urls, host_of
+from turnweave.llm.url_filter import Rule, filter_urls, section
 from turnweave.session import materialize
 
 QUERIES: dict[str, Query] = {}
@@ -95,8 +95,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
-#: Hosts whose pages are listed.
-SPAM = "spam|pills|casino"
+#: A page whose html has this mark so often is junk; parts of sites with one junk page in so many, or more, are listed.
+JUNK_MARK, JUNK_MARKS, ONE_IN = "$$$", 5, 20
 
 _URL_PARTS = r"^[\s\S]*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 _SQL_RULES = "[" + ", ".join(f"{{'verdict': '{r.verdict}', 'h': '{r.host}', 'p': '{r.path}'}}" for r in RULES) + "]"
@@ -104,21 +104,22 @@ _SQL_RULES = "[" + ", ".join(f"{{'verdict': '{r.verdict}', 'h': '{r.host}', 'p':
 
 @query(f"""WITH parts AS (SELECT page_id, {LOWER.format(f"regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 1)")} AS host,
   regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 2) AS path,
-  regexp_replace(regexp_replace(regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 3), '(^|&)(utm_[a-z]+|ref)=[^&]*', '', 'g'), '^&', '') AS q
-  FROM pages),
-keyed AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
-  || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS k FROM parts),
-listed AS (SELECT DISTINCT k FROM keyed WHERE regexp_matches(host, '{SPAM}')),
+  coalesce(length(html) - length(replace(html, '{JUNK_MARK}', '')), 0) >= {JUNK_MARKS * len(JUNK_MARK)} AS junk FROM pages),
+keyed AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') || '/' || regexp_extract(path, '^/([^/]*)', 1) END AS k FROM parts),
+listed AS (SELECT k FROM keyed WHERE k IS NOT NULL GROUP BY k HAVING {ONE_IN} * count(*) FILTER (junk) >= count(*)),
 fits AS (SELECT page_id, arg_max(r, len(r.h || r.p)) AS r FROM (SELECT page_id, host, path, unnest({_SQL_RULES}) AS r FROM keyed)
   WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY page_id)
 SELECT page_id, host, path, r.h || r.p AS rule,
-  coalesce(r.verdict, CASE WHEN k IN (SELECT k FROM listed WHERE k IS NOT NULL) THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(r.verdict, CASE WHEN k IN (SELECT k FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM keyed LEFT JOIN fits USING (page_id)""")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule and verdict of every page; listed are the canonical URLs of spam hosts."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listing = pages.where(host_of(F.col("url")).rlike(SPAM)).select(canonical(F.col("url")))
-    return filter_urls(pages, listing, RULES).select("page_id", "host", "path", "rule", "verdict")
+    """Rule and verdict of every page; listed are the parts of sites with many junk pages, whatever page is judged."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    marks = F.char_length("html") - F.char_length(F.replace(F.col("html"), F.lit(JUNK_MARK), F.lit("")))
+    junk = F.coalesce(marks >= JUNK_MARKS * len(JUNK_MARK), F.lit(False))
+    counts = pages.groupBy(section(F.col("url")).alias("part")).agg(F.count_if(junk).alias("junk"), F.count(F.lit(1)).alias("n"))
+    listing = counts.where(ONE_IN * F.col("junk") >= F.col("n")).select("part")
+    return filter_urls(pages.drop("html"), listing, RULES, key=section).select("page_id", "host", "path", "rule", "verdict")
 
 
 @query()
@@ -168,12 +169,20 @@ def op9_sentence_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_pieces", "piece_ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
-_SQL_TEMPLATES = "[" + ", ".join(f"{{'label': '{t.label}', 'base': {t.base}, 'o': {t.offset}, 'k': {t.key}, 'n': {t.words}}}" for t in TEMPLATES) + "]"
+def _sql_template(t: Template) -> str:
+    indexed = [{"w": x.word, "at": x.at} for x in indexed_words(t)]
+    return f"{{'label': '{t.label}', 'base': {t.base}, 'o': {t.offset}, 'k': {t.key}, 'n': {t.words}, 'x': {indexed}}}"
+
+
+_SQL_TEMPLATES = "[" + ", ".join(map(_sql_template, TEMPLATES)) + "]"
 
 
 @query(f"""WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
-tries AS (SELECT doc_id, w, unnest({_SQL_TEMPLATES}) AS t FROM d),
-found AS (SELECT doc_id, w, t, unnest(list_filter(range(1, greatest(len(w) - len(t.k) + 2, 1)), lambda p: w[p:p + len(t.k) - 1] = t.k)) AS p FROM tries),
+t AS (SELECT unnest({_SQL_TEMPLATES}) AS t),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+firsts AS (SELECT doc_id, w, p, t FROM starts JOIN t ON w[p] = t.k[1]),
+found AS (SELECT * FROM firsts WHERE w[p:p + len(t.k) - 1] = t.k
+  AND len(list_filter(t.x, lambda x: p - t.o + x.at > 0 AND w[p - t.o + x.at] = x.w)) >= 2),
 places AS (SELECT doc_id, t.label, t.base, p - 1 AS b,
   len(list_filter(range(1, len(t.n) + 1), lambda k: p - t.o + k - 1 > 0 AND w[p - t.o + k - 1] = t.n[k])) / len(t.n) AS s FROM found),
 sums AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(b) FILTER (base) AS f, max(b) FILTER (base) AS l,

@@ -6,15 +6,21 @@ It only passes possible hits on to the exact join, so a full filter costs time,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnweave.llm.frames import by_place
+from turnweave.session import broadcast_if_small, materialize
+
 #: Blocks of 64 bits: at most 8 MB of them, and about 16 bits for each listed URL below that.
 MAX_BLOCKS = 1 << 20
 KEYS_PER_BLOCK = 4
 BITS_PER_KEY = 4
+#: Keys that rows which cannot be listed are dealt to.
+SPREAD = 4096
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -53,6 +59,13 @@ def canonical(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, query))
 
 
+def section(url: Column) -> Column:
+    """The part of a site that a URL belongs to: its host without ``www.`` or ``m.`` and the first piece of its
+    path. Null where the URL is null or has no host."""
+    host = F.regexp_replace(host_of(url), r"^(?:www|m)\.", "")
+    return F.when(host != "", F.concat(host, F.lit("/"), F.regexp_extract(path_of(url), "^/([^/]*)", 1)))
+
+
 def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """The longest rule that fits, as a struct of its text and verdict; null if none does."""
     fitting = F.lit(None).cast("struct<text:string,verdict:string>")
@@ -97,44 +110,46 @@ def with_listed(urls: DataFrame, listing: DataFrame, key: str, name: str = "list
     Null keys are not listed; repeated listed values count once; an empty listing lists nothing.
     Rows keep their other columns, and ``name`` takes the place of a column of that name.
     """
-    listing = listing.toDF("_listed").where("_listed IS NOT NULL").distinct()
+    listing = materialize(listing.toDF("listed").where("listed IS NOT NULL").distinct(), "listed-urls")
     count = listing.count()
-    urls = urls.drop(name)
+    urls = urls.drop(name) if name != key else urls
     if not count:
         return urls.withColumn(name, F.lit(False))
     blocks = blocks_for(count)
-    bits = F.broadcast(bloom_blocks(listing, "_listed", blocks).toDF("_block", "_bits"))
-    tested = urls.withColumns({"_at": _block(F.col(key), blocks), "_mask": _mask(F.col(key))})
-    tested = tested.join(bits, (F.col("_at") == F.col("_block")) & F.col(key).isNotNull(), "left").withColumn(
-        "_possible", F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
-    )
-    tested = tested.drop("_at", "_mask", "_block", "_bits")
-    # Possible hits alone meet the listing; the rest would be one hot null key in a join.
-    passed = tested.where("_possible").join(listing, F.col(key) == F.col("_listed"), "left")
-    passed = passed.withColumn(name, F.col("_listed").isNotNull()).drop("_listed")
-    return passed.unionByName(tested.where("NOT _possible").withColumn(name, F.lit(False))).drop("_possible")
-
-
-def filter_urls(pages: DataFrame, listing: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
+    bits = F.broadcast(bloom_blocks(listing, "listed", blocks))  # at most MAX_BLOCKS rows
+    rows = by_place(urls)
+    value = F.col(rows.columns[urls.columns.index(key)])
+    tested = rows.withColumns({"at": _block(value, blocks), "mask": _mask(value)}).join(bits, (F.col("at") == F.col("block")) & value.isNotNull(), "left")
+    possible = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
+    # Possible hits alone look for their value; the other rows are spread, so that none of them is a hot key.
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("string"))
+    tested = tested.select(*rows.columns, possible.alias("possible"), F.when(possible, value).otherwise(spread).alias("sought"))
+    found = tested.join(broadcast_if_small(listing), F.col("sought") == F.col("listed"), "left")
+    hit = F.col("possible") & F.col("listed").isNotNull()
+    return found.select(*rows.columns, hit.alias("hit")).toDF(*urls.columns, name)
+
+
+def filter_urls(pages: DataFrame, listing: DataFrame, rules: list[Rule], url: str = "url", key: Callable[[Column], Column] = canonical) -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` (allow or block).
 
-    The longest fitting rule decides. Without one, URLs whose canonical form is listed are blocked;
-    ``listing`` has one column of canonical URLs. A null URL, or one without ``://``, has an empty
-    host and path, fits no rule, is not listed and is allowed. Columns of the same names are replaced.
+    The longest fitting rule decides. Without one, URLs whose ``key``, by default the canonical form, is
+    listed are blocked; ``listing`` has one column of such keys. A null URL, or one without ``://``, has an
+    empty host and path, fits no rule, is not listed and is allowed. Columns of the same names are replaced.
     """
     added = ("host", "path", "rule", "verdict")
     keep = [c for c in pages.columns if c.lower() not in added]
+    address = F.col(f"`{url}`")
     judged = pages.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
-        canonical(F.col(url)).alias("_key"),
-        host_of(F.col(url)).alias("host"),
-        path_of(F.col(url)).alias("path"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+        key(address).alias("key"),
+        host_of(address).alias("host"),
+        path_of(address).alias("path"),
     )
-    judged = judged.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    return with_listed(judged, listing, "_key", "_hit").select(
-        *[F.col("_row").getField(c).alias(c) for c in keep],
+    judged = judged.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
+    return with_listed(judged, listing, "key", "hit").select(
+        *[F.col("row").getField(c).alias(c) for c in keep],
         "host",
         "path",
-        F.col("_rule.text").alias("rule"),
-        F.coalesce("_rule.verdict", F.when(F.col("_hit"), "block").otherwise("allow")).alias("verdict"),
+        F.col("rule.text").alias("rule"),
+        F.coalesce("rule.verdict", F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"),
     )
