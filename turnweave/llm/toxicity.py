@@ -11,6 +11,9 @@ bag under the model so far; the first choice is by the n-grams that toxic docume
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -297,6 +300,14 @@ def labelled_sample(
     return texts.join(F.broadcast(marks), "mark", "left_semi").select("text", "label")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as a worker lives on after its task; where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", **bounds: int) -> Model:
     """The model of a sample of the labelled texts, whose ``bounds`` are those of ``labelled_sample``.
 
@@ -310,6 +321,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             labels.append(batch.column("label").to_numpy())
         model = train(pa.chunked_array(texts).combine_chunks(), np.concatenate(labels) > 0)
         made = ([model.logits.astype(np.float32).tobytes()], [model.slope], [model.offset])
+        del texts, labels, model
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(made, (pa.binary(), pa.float64(), pa.float64()))], ["logits", "slope", "offset"])
 
     sample = labelled_sample(docs, labels, doc_id, text, label, **bounds)
