@@ -20,5 +20,5 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(queries())

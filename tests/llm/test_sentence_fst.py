@@ -1,5 +1,7 @@
 import itertools
 import math
+import random
+from array import array
 
 import pyarrow as pa
 import pytest
@@ -76,3 +78,16 @@ def test_a_model_without_byte_pieces_is_refused(monkeypatch):
     monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Bare)
     with pytest.raises(ValueError, match="byte"):
         load("elsewhere")
+
+
+def test_many_stretches_at_once():
+    """The same paths as one stretch at a time, ties and bytes included."""
+    transducer, draw = load(), random.Random(6)
+    letters = "aeiou étrs\n.#😀ß中\x00  "
+    stretches = ["".join(draw.choice(letters) for _ in range(draw.choice([0, 1, 2, 9, 30]))).encode() for _ in range(2000)]
+    expected = [array("i", transducer.shortest(x.decode())).tobytes() for x in stretches]
+    assert transducer.shortest_of(stretches) == expected
+    assert transducer.shortest_of([]) == [] and transducer.shortest_of([b"", b""]) == [b"", b""]
+    long = ["".join(draw.choice(letters) for _ in range(3000)).encode(), *stretches, *stretches[:50]]
+    assert transducer.encode_all(long)[1:] == [*expected, *expected[:50]]
+    transducer.forget()

@@ -32,6 +32,10 @@ MARK = "▁"
 BYTE_WEIGHT = 40.0
 #: Encodings of short stretches that a worker keeps, up to twice as many.
 KEPT, KEPT_BYTES = 60_000, 32
+#: Stretches whose paths are looked for together, if they are short; the others go one by one.
+TOGETHER, TOGETHER_BYTES = 4096, 128
+#: Bits of a character in the key of an arc.
+CHARACTER_BITS = 21
 #: Rows decoded before they are passed on.
 DECODED_ROWS = 512
 
@@ -60,9 +64,114 @@ class Transducer:
                 state[1], state[2] = weight, number
             self.longest = max(self.longest, len(piece))
             self.spelled[number] = piece.encode()
+        self.byte_numbers = np.array([bytes_.get(b, -1) for b in range(256)], np.int32)
+        self._flatten()
         self.kept: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def _flatten(self) -> None:
+        """The same arcs as sorted arrays: key of state and character, next state; and each state's end."""
+        arcs, ends, todo = [], [(math.inf, -1)], [(0, self.start)]
+        while todo:
+            state, here = todo.pop()
+            for character, (further, weight, number) in here.items():
+                arcs.append((state << CHARACTER_BITS | ord(character), len(ends)))
+                todo.append((len(ends), further))
+                ends.append((weight, number))
+        arcs.sort()
+        # The last key is beyond all others.
+        self.keys = np.array([key for key, _ in arcs] + [1 << 62], np.int64)
+        self.next = np.array([state for _, state in arcs] + [0], np.int32)
+        self.weights = np.array([weight for weight, _ in ends])
+        self.numbers = np.array([number for _, number in ends], np.int32)
+
+    def lattice(self, characters: np.ndarray, first: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Composition with many stretches at once: arcs as start, length, weight and number, by place of start.
+
+        All places walk the transducer together, a character a step, until none is left.
+        """
+        place, state, found, step = np.arange(len(characters)), np.zeros(len(characters), np.int64), [], 0
+        while len(place):
+            inside = place + step < first[owner[place] + 1]
+            place, state = place[inside], state[inside]
+            key = state << CHARACTER_BITS | characters[place + step]
+            at = np.searchsorted(self.keys, key)
+            known = self.keys[at] == key
+            place, state = place[known], self.next[at[known]].astype(np.int64)
+            step += 1
+            ends = np.isfinite(self.weights[state])
+            found.append((place[ends], np.full(ends.sum(), step), self.weights[state[ends]], self.numbers[state[ends]]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32)
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def shortest_of(self, stretches: list[bytes]) -> list[bytes]:
+        """The numbers along each stretch's least path as 32-bit values; the same paths as ``shortest`` finds."""
+        joined = b"".join(stretches)
+        data = np.frombuffer(joined, np.uint8)
+        leads = np.flatnonzero((data & 0xC0) != 0x80)
+        characters = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+        first = np.searchsorted(leads, np.cumsum([0, *map(len, stretches)]))
+        sizes = np.diff(first)
+        owner = np.repeat(np.arange(len(stretches)), sizes)
+        within = np.arange(len(characters)) - first[owner]
+        widths = np.diff(np.append(leads, len(data)))
+
+        start, length, weight, number = self.lattice(characters, first, owner)
+        turn = np.argsort(within[start], kind="stable")
+        start, length, weight, number = (x[turn] for x in (start, length, weight, number))
+        # A stretch has one node more than characters.
+        source = start + owner[start]
+        target = source + length
+        lone = np.argsort(within, kind="stable")
+        nodes = len(characters) + len(stretches)
+        best, back, last = np.full(nodes, math.inf), np.zeros(nodes, np.int64), np.full(nodes, -1, np.int64)
+        best[first[:-1] + np.arange(len(stretches))] = 0.0
+        longest = int(sizes.max(initial=0))
+        arcs, places = (np.searchsorted(within[x], np.arange(longest + 1)) for x in (start, lone))
+        for at in range(longest):
+            some = slice(arcs[at], arcs[at + 1])
+            a, b = source[some], target[some]
+            total = best[a] + weight[some]
+            less = total < best[b]
+            a, b = a[less], b[less]
+            best[b], back[b], last[b] = total[less], a, number[some][less]
+            # Bytes may be the better way to the next character.
+            here = lone[places[at] : places[at + 1]]
+            a = here + owner[here]
+            total = best[a] + BYTE_WEIGHT * widths[here]
+            less = (best[a + 1] > best[a] + BYTE_WEIGHT) & (total < best[a + 1])
+            a = a[less]
+            best[a + 1], back[a + 1], last[a + 1] = total[less], a, -1
+        return self._paths(first, owner, back, last, data, leads, widths)
+
+    def _paths(self, first, owner, back, last, data, leads, widths) -> list[bytes]:
+        """Numbers of each stretch, from its last node back to its first."""
+        count = len(first) - 1
+        begin = first[:-1] + np.arange(count)
+        node, alive = first[1:] + np.arange(count), np.arange(count)
+        taken: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while True:
+            moving = node > begin[alive]
+            node, alive = node[moving], alive[moving]
+            if not len(node):
+                break
+            taken.append((alive, last[node], back[node] - alive))
+            node = back[node]
+        if not taken:
+            return [b""] * count
+        stretch, number, place = (np.concatenate(x) for x in zip(*taken))
+        step = np.repeat(np.arange(len(taken)), [len(x) for x, _, _ in taken])
+        order = np.lexsort((-step, stretch))
+        stretch, number, place = stretch[order], number[order], place[order]
+        size = np.where(number < 0, widths[place], 1)
+        at = np.repeat(np.cumsum(size) - size, size)
+        spelled = np.repeat(leads[place], size) + np.arange(size.sum()) - at
+        number = np.repeat(number, size)
+        out = np.where(number < 0, self.byte_numbers[data[spelled % max(1, len(data))]], number).astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(stretch, size, count))).astype(np.int64).tolist()
+        return [out[a:b] for a, b in zip([0, *ends], ends)]
+
     def shortest(self, text: str) -> list[int]:
         """Numbers along the least path; among equal ones that whose last piece begins first."""
         size, start, longest = len(text), self.start, self.longest
@@ -94,17 +203,30 @@ class Transducer:
         path.reverse()
         return path
 
-    def encode(self, stretch: bytes) -> bytes:
-        """The numbers of a stretch as 32-bit values. Short stretches are kept, recent ones longest."""
-        found = self.kept.get(stretch)
-        if found is None:
-            found = self.older.get(stretch)
-            if found is None:
-                found = array("i", self.shortest(stretch.decode())).tobytes()
+    def encode_all(self, stretches: list[bytes]) -> list[bytes]:
+        """The numbers of each stretch as 32-bit values. Short stretches are kept, recent ones longest."""
+        found = [self.kept.get(x) for x in stretches]
+        missing = []
+        for i, stretch in enumerate(stretches):
+            if found[i] is None:
+                found[i] = self.older.get(stretch)
+                if found[i] is None:
+                    missing.append(i)
+                else:
+                    self.kept[stretch] = found[i]
+        short = [i for i in missing if len(stretches[i]) <= TOGETHER_BYTES]
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            for i, numbers in zip(some, self.shortest_of([stretches[i] for i in some])):
+                found[i] = numbers
+        for i in missing:
+            stretch = stretches[i]
+            if len(stretch) > TOGETHER_BYTES:
+                found[i] = array("i", self.shortest(stretch.decode())).tobytes()
             if len(stretch) <= KEPT_BYTES:
                 if len(self.kept) >= KEPT:
                     self.older, self.kept = self.kept, {}
-                self.kept[stretch] = found
+                self.kept[stretch] = found[i]
         return found
 
     def forget(self) -> None:
@@ -171,7 +293,7 @@ def encode_batch(texts: pa.Array, transducer: Transducer) -> tuple[np.ndarray, n
     hashes = _hashes(data, starts, ends, EXACT.table)
     _, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    encoded = [transducer.encode(raw[a:b]) for a, b in zip(starts[sample].tolist(), ends[sample].tolist())]
+    encoded = transducer.encode_all([raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist())])
     sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
     pieces = np.frombuffer(b"".join(encoded), np.int32)
     begin = np.cumsum(sizes) - sizes
