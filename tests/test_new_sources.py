@@ -15,7 +15,9 @@ from turnweave.operators import models, training
 from turnweave.operators.ledger import ask_once
 from turnweave.operators.rewards import list_reward, load_rewards, with_reward
 from turnweave.operators.tokenize import IGNORED, BatchTokenizer, with_labels, with_token_ids
+from turnweave.operators.transforms import transform_from_spec
 from turnweave.sources.growing import GrowingLogReader, follow_logs
+from turnweave.sources.jsonl import read_jsonl
 from turnweave.streaming import deadlines, runs
 
 # Workers cannot import this file.
@@ -201,3 +203,12 @@ def test_rewards_over_lists(spark):
             with_reward(texts, load_rewards([bad])).collect()
     with pytest.raises(ValueError):
         with_reward(texts.withColumn("prompts", F.lit(1)), load_rewards([by_length]), columns=["prompts"])
+
+
+def test_transform_of_single_examples(spark, tmp_path):
+    rows = [{"messages": [{"role": "user", "content": "abcd"}, {"role": "assistant", "content": None}]}, {"messages": []}, {"messages": None}]
+    (tmp_path / "chats.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    spec = {"type": "turnweave.catalog.stubs.size_transform", "path": str(tmp_path), "unit": "chars", "schema": "query string, n_messages int, size long, raw string, other double"}
+    made = read_jsonl(spark, str(tmp_path / "chats.jsonl")).transform(transform_from_spec(spec))
+    assert made.columns == ["query", "n_messages", "size", "raw", "other"]
+    assert sorted(map(tuple, made.collect()), key=str) == sorted([("abcd", 2, 4, None, None), (None, 0, 0, None, None), (None, 0, 0, None, None)], key=str)

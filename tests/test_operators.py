@@ -1,9 +1,6 @@
 """Ids, packing, advantages, rewards, models, transforms, preferences."""
 
-import os
 import random
-import subprocess
-import sys
 from collections import Counter, defaultdict
 from functools import partial
 from pathlib import Path

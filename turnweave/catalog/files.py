@@ -8,7 +8,7 @@ from turnweave.catalog import stubs
 from turnweave.catalog.judging import SCORES, SQL_OVERALL, WEIGHTS
 from turnweave.catalog.registry import query
 from turnweave.functions import judging
-from turnweave.operators.ids import file_order_ids
+from turnweave.operators.ids import file_order_ids, first_of_files
 from turnweave.operators.summary import summarize
 from turnweave.operators.transforms import messages_to_prompt
 from turnweave.plans.rollouts import rollouts_from_settings
@@ -70,6 +70,23 @@ def jsonl_numbered(spark, sf_dir):
     return numbered.transform(messages_to_prompt(keys=("id", "conv_id"), metadata=()))
 
 
+FIRST = 75
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY conv_id) - 1 AS id, conv_id, prompt
+FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)}) ORDER BY conv_id LIMIT {FIRST}"""
+)
+def jsonl_first_rows(spark, sf_dir):
+    """The first rows of several files, of which only as many splits are read as it takes."""
+    path = shared_folder(spark, "ordered-examples")
+    chats = fx.chats(spark, sf_dir).repartitionByRange(6, "conv_id").sortWithinPartitions("conv_id")
+    sinks.write_examples(chats, path)
+    files = sorted(jsonl.read_jsonl(spark, path, KEYED).inputFiles())
+    first = first_of_files(spark, files, lambda file: jsonl.read_jsonl(spark, file, KEYED), FIRST)
+    return first.transform(messages_to_prompt(keys=("id", "conv_id"), metadata=()))
+
+
 @query(
     f"""SELECT conv_id, e::INT AS epoch, prompt AS query,
   {fx.sql_think_format("completion")} AS reward_1, round({fx.sql_think_format("completion")} * 0.5, 6) AS reward

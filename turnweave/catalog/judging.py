@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import types as T
 
 from turnweave.catalog import fixtures as fx
 from turnweave.catalog import stubs
@@ -18,6 +19,8 @@ from turnweave.operators.summary import (
 from turnweave.plans.evaluation import evaluate
 from turnweave.session import broadcast_if_small, local_table, materialize, shared_folder
 from turnweave.sources.rubrics import BUILT_IN, GENERAL, SHIPPED, Category, Rubric, read_rubrics, rubric_table
+from turnweave.sources.single_file import write_predictions_file
+from turnweave.streaming.summaries import add_batch, keep_summary, kept_summary
 
 WEIGHTS = fx.weights_of()
 TEXT = T.StructType([T.StructField("value", T.StringType())])
@@ -268,6 +271,24 @@ def judge_summary(spark, sf_dir):
     return _flat_summary(summarize(results, BUILT_IN, ("run",)))
 
 
+@query(_sql_summary("conv_id % 4", SCORES))
+def judge_summary_stream(spark, sf_dir):
+    """The same summary from a stream of replies in three batches, one of which is run twice."""
+    folder = shared_folder(spark, "streamed-summary")
+    raw = fx.replies(spark, sf_dir)
+
+    def results(rows):
+        return judging.read_replies(rows, BUILT_IN).withColumn("run", F.expr("conv_id % 4"))
+
+    for third in range(3):
+        raw.where(F.col("conv_id") % 3 == third).write.mode("append").parquet(f"{folder}/raw")
+        stream = results(spark.readStream.schema(raw.schema).parquet(f"{folder}/raw"))
+        keep_summary(stream, f"{folder}/sums", f"{folder}/progress", BUILT_IN, ("run",)).awaitTermination()
+    # As after a failure between the batch's work and its entry in the checkpoint.
+    add_batch(results(raw.where(F.col("conv_id") % 3 == 1)), 1, f"{folder}/sums", BUILT_IN, ("run",))
+    return _flat_summary(kept_summary(spark, f"{folder}/sums", BUILT_IN, (T.StructField("run", T.LongType()),)))
+
+
 # Replies that score a run's weak spots only, so that every decision is reached.
 RAISED = """concat('{"scores":{"format_compliance":', CAST(CASE WHEN conv_id % 8 = 0 THEN 3 ELSE 4 END AS STRING),
   ',"helpfulness":', CAST(CASE WHEN conv_id % 8 IN (1, 2) THEN 3 ELSE 4 END AS STRING),
@@ -339,3 +360,14 @@ def judge_evaluation(spark, sf_dir):
         examples, ("stub-generator", stubs.generator), ("stub-judge", stubs.judge)
     )
     return _flat_summary(summary.withColumn("run", F.lit(0).cast("bigint")))
+
+
+@query(
+    f"""SELECT '{{"id": ' || id || ', "query": ' || CAST(to_json(query) AS VARCHAR) || ', "completion": ' || CAST(to_json(completion) AS VARCHAR) || '}}' AS value
+FROM (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS id, prompt AS query, completion FROM ({fx.SQL_ANSWERED}))"""
+)
+def predictions_file(spark, sf_dir):
+    """Predictions as the lines of a single file."""
+    folder = shared_folder(spark, "predictions-file")
+    write_predictions_file(zip_predictions(spark, sf_dir), f"{folder}/predictions.jsonl")
+    return spark.read.text(f"{folder}/predictions.jsonl")

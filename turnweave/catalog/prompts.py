@@ -1,13 +1,16 @@
 """Chats to prompts."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from turnweave.catalog import fixtures as fx
+from turnweave.catalog import stubs
 from turnweave.catalog.registry import query
 from turnweave.functions import chat
 from turnweave.operators import ids, training
 from turnweave.operators.preferences import PreferenceFormat, map_preferences
-from turnweave.operators.transforms import messages_to_prompt, messages_to_query, transform_from_spec
+from turnweave.operators.transforms import messages_to_prompt, messages_to_query, row_transform, transform_from_spec
 from turnweave.sources.turns import latest_user_text
 
 KEYS = ("conv_id",)
@@ -177,3 +180,25 @@ def role_mask(spark, sf_dir):
             trained, F.lit(0).cast("bigint"), lambda a, m: a + F.length(m["content"])
         ).alias("trained_chars"),
     )
+
+
+@query(
+    """SELECT conv_id, min_by(text, turn) AS query, count(*) AS n_messages, sum((length(text) + 2) // 3)::BIGINT AS size
+FROM conversations GROUP BY conv_id"""
+)
+def transform_of_rows(spark, sf_dir):
+    """A transform that is a function over single examples, with a tokenizer."""
+    made = row_transform(
+        "size", partial(stubs.size_transform, unit="tokens"), "query string, n_messages bigint, size bigint", stubs.chunk_tokenizer, keys=KEYS
+    )
+    return fx.chats(spark, sf_dir).transform(made)
+
+
+@query(
+    f"""SELECT conv_id, CASE WHEN conv_id % 5 = 0 THEN '' ELSE left(prompt, length(prompt) - length({fx.SQL_CHATML_HEADER})) END || {fx.SQL_CHATML_HEADER} AS prompt
+FROM ({fx.sql_prompts(fx.SQL_CHATML_LINE, fx.SQL_CHATML_HEADER)})"""
+)
+def prompt_of_nothing(spark, sf_dir):
+    """Prompts where every fifth chat has no messages at all."""
+    chats = fx.prompt_chats(spark, sf_dir).withColumn("messages", F.when(F.col("conv_id") % 5 != 0, F.col("messages")))
+    return chats.transform(messages_to_prompt(chat.CHATML, KEYS))

@@ -82,3 +82,14 @@ def chunk_tokenizer():
         return [[(ord(t[i]), i, min(i + CHUNK, len(t))) for i in range(0, len(t), CHUNK)] for t in texts]
 
     return tokenize
+
+
+def size_transform(cfg=None, unit="chars", **options):
+    """A transform over single examples, as a factory of the function and its options."""
+
+    def transform(example, tokenizer=None):
+        said = [m["content"] or "" for m in example["messages"] or []]
+        size = sum(map(len, said)) if unit == "chars" else sum(len(t) for t in tokenizer(said))
+        return {"query": said[0] if said else None, "n_messages": len(said), "size": size, "raw": "gone"}
+
+    return transform, {"remove_columns": ["raw"]}

@@ -8,6 +8,7 @@ from turnweave.catalog.registry import query
 from turnweave.functions import tokens
 from turnweave.operators import ids, training
 from turnweave.operators.tokenize import BatchTokenizer, with_labels, with_token_ids
+from turnweave.session import materialize
 
 LIMIT = 100
 
@@ -210,3 +211,73 @@ def token_labels(spark, sf_dir):
     return labelled.select(
         "conv_id", F.size("token_ids").cast("bigint").alias("n_tokens"), trained.alias("n_trained"), F.array_join("labels", " ").alias("labels")
     )
+
+
+SHARD = f"""CAST('0x' || substr(md5(CAST(k AS VARCHAR)), 1, 8) AS BIGINT)
+    % (SELECT greatest(1, (count(*) + {SHARD_ROWS} - 1) // {SHARD_ROWS}) FROM lengths)"""
+
+
+@query(
+    rf"""WITH lengths AS (SELECT conv_id AS k, sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS n_tokens FROM conversations GROUP BY conv_id)
+SELECT {SHARD} AS shard, count(*) AS n_sequences, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+  count(*) FILTER (n_tokens > {PACK}) AS n_too_long, 0::BIGINT AS n_overfull, true AS no_more_packs, true AS dense
+FROM lengths GROUP BY shard"""
+)
+def best_fit_packing(spark, sf_dir):
+    """Best fit against next fit, shard by shard: nothing is lost, no pack overflows, and there are no more packs."""
+    lengths = materialize(
+        fx.turns(spark, sf_dir).groupBy(F.col("conv_id").alias("k")).agg(F.sum(tokens.word_count(F.col("text"))).alias("n_tokens")), "lengths"
+    )
+
+    def packs(fit):
+        return training.pack_sequences(lengths, "k", sequence_len=PACK, shard_rows=SHARD_ROWS, fit=fit)
+
+    best = materialize(packs("best"), "best-fit")
+    filled = best.groupBy("shard", "pack").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("used"), F.max(F.col("offset") + F.col("n_tokens")).alias("end"), F.max("pos").alias("last"), F.bool_and("fits").alias("fits")
+    )
+    # Without gaps the last sequence of a pack ends where the pack's tokens do.
+    shards = filled.groupBy("shard").agg(
+        F.sum("n").alias("n_sequences"),
+        F.sum("used").alias("n_tokens"),
+        F.count_if(~F.col("fits")).alias("n_too_long"),
+        F.count_if(F.col("fits") & (F.col("used") > PACK)).alias("n_overfull"),
+        F.count(F.lit(1)).alias("n_packs"),
+        F.bool_and((F.col("end") == F.col("used")) & (F.col("last") == F.col("n") - 1)).alias("dense"),
+    )
+    others = packs("next").groupBy("shard").agg(F.countDistinct("pack").alias("n_other"))
+    return shards.join(others, "shard").select(
+        "shard", "n_sequences", "n_tokens", "n_too_long", "n_overfull", (F.col("n_packs") <= F.col("n_other")).alias("no_more_packs"), "dense"
+    )
+
+
+@query(
+    """SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT))
+  <= round_even(0.05 * (SELECT count(*) FROM documents), 0) THEN 'validation' ELSE 'train' END AS split FROM documents"""
+)
+def exact_val_split(spark, sf_dir):
+    """A split of exactly one in twenty, whatever the number of rows."""
+    return training.with_exact_split(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.05)
+
+
+def _sql_permuted(source: str) -> str:
+    """``(conv_id, turn, id, epoch, p)`` with ``p`` permuted once, from the same rows; four rounds, one subquery each."""
+    steps = f"(SELECT * EXCLUDE (p), p // c AS l, p % c AS r FROM ({source}))"
+    for step in range(ids.SHUFFLE_ROUNDS):
+        fixed, moved, size = ("l", "r", "c") if step % 2 else ("r", "l", "a")
+        digest = f"CAST('0x' || substr(md5('7|' || epoch || '|{step}|' || {fixed}), 1, 8) AS BIGINT)"
+        steps = f"(SELECT * REPLACE (({moved} + {digest}) % {size} AS {moved}) FROM {steps})"
+    return f"SELECT * EXCLUDE (l, r), l * c + r AS p FROM {steps}"
+
+
+@query(
+    f"""WITH RECURSIVE sized AS (SELECT n, a, (n + a - 1) // a AS c FROM (SELECT n, greatest(1, CAST(floor(sqrt(n)) AS BIGINT)) AS a FROM (SELECT count(*) AS n FROM ({SQL_IDS})))),
+start AS (SELECT conv_id, turn, id, CAST(e AS INT) AS epoch, n, a, c, id AS p FROM ({SQL_IDS}), range(1, 4) r(e), sized),
+walk AS ({_sql_permuted("SELECT * FROM start")} UNION ALL {_sql_permuted("SELECT * FROM walk WHERE p >= n")})
+SELECT conv_id, turn, epoch, p AS place, p // 64 AS batch FROM walk WHERE p < n"""
+)
+def epoch_order(spark, sf_dir):
+    """Batches of three epochs, each in an order of its own."""
+    numbered = _numbered(spark, sf_dir)
+    ordered = ids.with_epoch_order(ids.with_epochs(numbered, 3), numbered.count(), seed=7)
+    return ids.with_batches(ordered, 64, 16, row="place").select("conv_id", "turn", "epoch", "place", "batch")

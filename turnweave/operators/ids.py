@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from itertools import accumulate, islice
+from itertools import accumulate
+from math import isqrt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,13 +92,24 @@ def _first_sizes(rows: DataFrame, wanted: int) -> list[int]:
     splits = rows._jdf.toJavaRDD().getNumPartitions()
     sizes: list[int] = []
     wave, found = 1, 0
+
+    def count(batches):
+        size = 0
+        for batch in batches:
+            size += batch.num_rows
+            if size >= wanted:
+                break
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([min(size, wanted)], pa.int64())], ["part", "size"])
+
     while found < wanted and len(sizes) < splits:
         upto = min(splits, len(sizes) + wave)
         some = _as_frame(_of_splits(rows, range(len(sizes), upto)), rows).select(F.lit(0))
-        for size in some.rdd.mapPartitions(lambda part: [sum(1 for _ in islice(part, wanted))]).collect():
+        counted = {row.part: row.size for row in some.mapInArrow(count, "part int, size long").collect()}
+        for part in range(upto - len(sizes)):
             if found < wanted:
-                sizes.append(size)
-                found += size
+                sizes.append(counted.get(part, 0))
+                found += sizes[-1]
         wave = 4 * wave
     return sizes
 
@@ -160,6 +174,49 @@ def with_epochs(df: DataFrame, epochs: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
 
 
+#: Rounds of a permutation, and how often a place outside the table is permuted again.
+SHUFFLE_ROUNDS, SHUFFLE_WALK = 4, 20
+
+
+def _permuted(place: Column, n: int, seed: Column) -> Column:
+    """One pass of a keyed permutation of the numbers below the product of two sizes that hold ``n``."""
+    rows, columns = shuffle_sizes(n)
+    left, right = floor_div(place, columns), place % columns
+    for step in range(SHUFFLE_ROUNDS):
+        fixed = left if step % 2 else right
+        digest = F.md5(F.concat_ws("|", seed, F.lit(str(step)), fixed.cast("string")).cast("binary"))
+        moved = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+        if step % 2:
+            right = (right + moved) % columns
+        else:
+            left = (left + moved) % rows
+    return left * columns + right
+
+
+def shuffle_sizes(n: int) -> tuple[int, int]:
+    """Two numbers of about the same size whose product is at least ``n``, by less than the first."""
+    rows = max(1, isqrt(n))
+    return rows, -(-n // rows)
+
+
+def with_epoch_order(df: DataFrame, n: int, row: str = "id", epoch: str = "epoch", seed: int = 0) -> DataFrame:
+    """Add ``place``: the place of each of the rows numbered 0 … ``n``−1 in the order of its epoch.
+
+    A permutation of the numbers under a key of seed and epoch, so each epoch has an order of its own and
+    nothing is sorted or shuffled. Numbers that land beyond ``n`` are permuted again until they do not;
+    as fewer than the square root of ``n`` do, ``SHUFFLE_WALK`` times are enough.
+    """
+    key = F.concat_ws("|", F.lit(str(seed)), F.col(epoch).cast("string"))
+
+    def again(place: Column, _: Column) -> Column:
+        return F.when(place >= n, _permuted(place, n, key)).otherwise(place)
+
+    first = _permuted(F.col(row).cast("bigint"), n, key)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(SHUFFLE_WALK)), first, again)
+    checked = F.when(walked < n, walked).otherwise(F.raise_error(F.lit("no place found in the order of the epoch")).cast("bigint"))
+    return df.withColumn("place", checked)
+
+
 def with_batches(df: DataFrame, batch_size: int = 64, mini_batch_size: int = 16, row: str = "id") -> DataFrame:
     """Batch, and mini-batch within it, of rows numbered by ``row``. The last is short."""
     if batch_size % mini_batch_size:

@@ -29,13 +29,37 @@ def category_means(results: DataFrame, rubric: Rubric, by: tuple[str, ...] = ())
     )
 
 
+def partial_sums(results: DataFrame, rubric: Rubric, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per run that can be added to others: sum and count of each category's scores, the number of
+    samples and of those without any score."""
+    parts = []
+    for i, key in enumerate(rubric.keys):
+        score = F.col("scores")[key]
+        parts += [F.coalesce(F.sum(score), F.lit(0.0)).alias(f"sum_{i}"), F.count(score).alias(f"count_{i}")]
+    unread = F.forall(F.map_values("scores"), lambda v: v.isNull())
+    return results.groupBy(*by).agg(*parts, F.count(F.lit(1)).alias("n"), F.count_if(unread).alias("parse_failed"))
+
+
+def merged_means(partials: DataFrame, rubric: Rubric, by: tuple[str, ...] = ()) -> DataFrame:
+    """What ``category_means`` gives for all results whose partial sums these are."""
+    means = []
+    for i in range(len(rubric.keys)):
+        total, count = F.sum(f"sum_{i}"), F.sum(f"count_{i}")
+        means.append(F.when(count > 0, total / count).otherwise(F.lit(0.0)).alias(f"_mean_{i}"))
+    counts = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("n", "parse_failed")]
+    return partials.groupBy(*by).agg(*means, *counts)
+
+
 def summarize(results: DataFrame, rubric: Rubric, by: tuple[str, ...] = ()) -> DataFrame:
     """The summary of each run, with advice and the next algorithm.
 
     ``overall_mean`` weighs the category means; it is not the mean of ``overall``.
     Without ``by`` there is one row, also for no input.
     """
-    means = category_means(results, rubric, by)
+    return summary_of_means(category_means(results, rubric, by), rubric, by)
+
+
+def summary_of_means(means: DataFrame, rubric: Rubric, by: tuple[str, ...] = ()) -> DataFrame:
     named = {key: F.col(f"_mean_{i}") for i, key in enumerate(rubric.keys)}
     entries = [part for key, mean in named.items() for part in (F.lit(key), mean)]
     return (

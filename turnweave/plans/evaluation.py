@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnweave.functions import chat, judging
 from turnweave.operators import models
 from turnweave.operators.ids import file_order_ids, first_of_files, first_rows
+from turnweave.operators.ledger import ask_once
 from turnweave.operators.summary import summarize
 from turnweave.session import configure, materialize
-from turnweave.sources import sinks
+from turnweave.sources import single_file, sinks
 from turnweave.sources.jsonl import read_jsonl
 from turnweave.sources.rubrics import BUILT_IN, Rubric, load_rubric
 
@@ -33,6 +34,8 @@ def evaluate(
     partitions: int | None = None,
     options: dict | None = None,
     mode: str = sinks.MODE,
+    ledger: str | None = None,
+    single_files: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(predictions, results, summary)`` for examples with ``id`` and ``messages``.
 
@@ -41,7 +44,12 @@ def evaluate(
     calls may run at once; by default it follows the size of the input, or, after a ``limit``, the
     number of tasks the cluster runs. ``options`` are sampling options for the generator's factory.
     What is in ``output_dir`` is replaced; with ``mode="error"`` an output that exists fails the call
-    before a model is asked.
+    before a model is asked. With ``single_files`` each output is one file in the order of the ids, the
+    summary an indented object; ``output_dir`` has to be mounted everywhere then.
+
+    With ``ledger``, a folder, answers are kept there by model name, options and input, and only what it
+    lacks is asked: an evaluation that was stopped goes on where it was. A model under a name
+    that the ledger knows must be that model; ``id`` is then the only thing that tells equal prompts apart.
     """
     spark = examples.sparkSession
     judging.check_settings(spark)
@@ -62,14 +70,31 @@ def evaluate(
         chat.render_prompt(chat.without_assistant(F.col("messages")), template).alias("query"),
     )
     name, factory = generator
-    completion = models.generate(name, models.with_options(factory, options), F.col("query"), batch_size)
-    predictions = materialize(spread(prompts).withColumn("completion", completion), "predictions")
+    instructions = judging.judge_instructions(rubric, local_judge)
+
+    def complete(query: Column) -> Column:
+        return models.generate(name, models.with_options(factory, options), query, batch_size)
+
+    def reply(question: Column) -> Column:
+        return models.judge_question(*judge, question, instructions)
+
     question = judging.judge_question(F.col("query"), F.col("completion"))
-    reply = models.judge_question(*judge, question, judging.judge_instructions(rubric, local_judge))
-    raw = materialize(spread(predictions).select("id", reply.alias("raw")), "replies")
+    if ledger is None:
+        predictions = materialize(spread(prompts).withColumn("completion", complete(F.col("query"))), "predictions")
+        raw = materialize(spread(predictions).select("id", reply(question).alias("raw")), "replies")
+    else:
+        kept = {"path": ledger, "partitions": partitions}
+        answered = ask_once(prompts, F.col("query"), "completion", complete, name=name, options=options, **kept)
+        predictions = materialize(answered, "predictions")
+        judged = ask_once(predictions, question, "raw", reply, name=judge[0], options={"instructions": instructions}, **kept)
+        raw = materialize(judged.select("id", "raw"), "replies")
     results = materialize(judging.read_replies(raw, rubric), "judge-results")
     summary = summarize(results, rubric)
-    if output_dir is not None:
+    if output_dir is not None and single_files:
+        single_file.write_predictions_file(predictions, outputs["predictions.jsonl"])
+        single_file.write_judge_results_file(results, outputs["judge_results.jsonl"])
+        single_file.write_summary_file(summary, outputs["summary.json"])
+    elif output_dir is not None:
         sinks.write_predictions(predictions, outputs["predictions.jsonl"], mode)
         sinks.write_judge_results(results, outputs["judge_results.jsonl"], mode)
         sinks.write_summary(summary, outputs["summary.json"], mode)

@@ -40,7 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        # Executors of a local-cluster may have temporary folders of their own.
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="turnweave-")
     if context.getCheckpointDir() is None:
