@@ -25,7 +25,7 @@ def fails_late(row):
 
 def test_lines_in_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(single_file, "PIECE_BYTES", 100)
-    rows = [(i, f"é \u2028 \\ \" {i}\n" * (i % 7), {"k": 0.1 * i, "n": None}, [i, None], ("x", i)) for i in range(400)]
+    rows = [(i, f"é \u2028 \\ \" {i}\n" * (i % 7), {"k": 0.1 * i if i % 3 else None}, [i, None], ("x", i)) for i in range(400)]
     frame = spark.createDataFrame(rows, "id long, text string, scores map<string,double>, list array<long>, pair struct<a:string,b:long>")
     path = tmp_path / "deep" / "out.jsonl"
     size = write_one_file(frame.repartition(7), str(path), "id")

@@ -87,3 +87,20 @@ def stage_rows(spark, sf_dir):
     return stages.stage_rows(plan, rows).select(
         "conv_id", "turn", "text", "alg", "chunk", "series", "stage", "run_id", "base_model"
     )
+
+
+@query(
+    f"""SELECT alg, chunk, count(*) AS n_rows, count(DISTINCT run_id) AS n_runs FROM (
+  SELECT conv_id, turn, alg, 'chunk' || (conv_id % 4 + 1) AS chunk
+  FROM conversations, (VALUES ('sft'), ('dpo')) a(alg) WHERE role = 'user')
+JOIN (SELECT p.*, m.chunk FROM ({sql_plan(SQL_SERIES)}) p JOIN {sql_manifest()} USING (alg, dataset_idx)) USING (alg, chunk)
+GROUP BY alg, chunk"""
+)
+def stage_rows_of_large_plan(spark, sf_dir):
+    """Rows per dataset of the stages of many experiments, by the way that plans beyond a broadcast take."""
+    plan = stages.with_datasets(_plan(spark, sf_dir), stages.dataset_manifest(spark)).select("alg", "chunk", "run_id", "user_id", "series", "stage")
+    rows = fx.turns(spark, sf_dir).where("role = 'user'").select(
+        "conv_id", "turn", F.explode(F.array(F.lit("sft"), F.lit("dpo"))).alias("alg"), F.expr("concat('chunk', conv_id % 4 + 1)").alias("chunk")
+    )
+    joined = stages.stage_rows(plan.where("chunk IS NOT NULL"), rows, max_plan_rows=10)
+    return joined.groupBy("alg", "chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("run_id").alias("n_runs"))

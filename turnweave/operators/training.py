@@ -162,7 +162,7 @@ PACKERS = {"next": _Packer, "best": _BestFit}
 
 
 def _pack_partition(
-    frames: Iterator[pd.DataFrame], room: int, length: str, fit: str
+    frames: Iterator[pd.DataFrame], room: int, length: str, fit: str = "next"
 ) -> Iterator[pd.DataFrame]:
     packer = PACKERS[fit](room)
     for frame in frames:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnweave.functions import stages as st
-from turnweave.session import broadcast_if_small, local_table
+from turnweave.session import BROADCAST_ROWS, broadcast_if_small, local_table
 
 # Masks that are run by default, and (algorithm, dataset index, chunk).
 DEFAULT_MASKS = (0, 6)
@@ -24,6 +24,8 @@ DEFAULT_DATASETS = (
 
 # Places that a plan beyond the bound for broadcasts is dealt to.
 SALTS = 16
+# Plan rows of a place.
+PLACE_ROWS = 10_000
 
 MANIFEST = T.StructType(
     [
@@ -90,16 +92,17 @@ def missing_datasets(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     return plan.join(broadcast_if_small(manifest), ["alg", "dataset_idx"], "left_anti")
 
 
-def stage_rows(plan: DataFrame, rows: DataFrame) -> DataFrame:
+def stage_rows(plan: DataFrame, rows: DataFrame, max_plan_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The training rows of each stage: ``rows`` has ``alg`` and ``chunk``.
 
-    Rows stay where they are; the plan, a few rows per mask, goes to them. A plan too large for
-    that is dealt to ``SALTS`` places by hash, and each row to all of them, so that the few
-    chunks' keys do not hold all of a join.
+    Rows stay where they are; the plan, a few rows per mask, goes to them. A plan of more than
+    ``max_plan_rows`` is dealt by hash to places of about ``PLACE_ROWS`` of its rows, and each row to all of
+    them, so that the few chunks' keys do not hold all of a join, however large the plan is.
     """
-    hinted = broadcast_if_small(plan)
+    hinted = broadcast_if_small(plan, max_plan_rows)
     if hinted is not plan:
         return rows.join(hinted, ["alg", "chunk"])
-    place = F.pmod(F.xxhash64(*plan.columns), F.lit(SALTS)).cast("int").alias("_place")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_place")
+    places = max(SALTS, -(-plan.count() // PLACE_ROWS))
+    place = F.pmod(F.xxhash64(*plan.columns), F.lit(places)).cast("int").alias("_place")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("_place")
     return rows.select("*", everywhere).join(plan.select("*", place), ["alg", "chunk", "_place"]).drop("_place")
