@@ -152,6 +152,26 @@ def test_batch_tokenizer(spark):
         frame.select(BatchTokenizer("bad", lambda: lambda texts: [])(F.col("text"))).collect()
 
 
+def test_tokenizer_gets_few_bytes_at_once(spark):
+    def factory():
+        tokenize = stubs.chunk_tokenizer()
+
+        def bounded(texts):
+            if len(texts) > 1 and sum(len(t.encode()) for t in texts) > 1 << 18:
+                raise ValueError("too much at once")
+            return tokenize(texts)
+
+        return bounded
+
+    texts = [chr(233 + n) * (n * 997 % 20_000) for n in range(150)] + ["", None, "x" * 300_000, "ab"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    chunks = BatchTokenizer("bounded", factory)
+    found = frame.select("id", chunks(F.col("text")).alias("n"), chunks.ids(F.col("text")).alias("ids"), chunks.tokens(F.col("text")).alias("tokens"))
+    for row in found.collect():
+        expected = stubs.chunk_tokenizer()([texts[row.id] or ""])[0]
+        assert row.n == len(expected) and row.ids == [t[0] for t in expected] and list(map(tuple, row.tokens)) == expected
+
+
 def byte_tokenizer():
     from tokenizers import Tokenizer
 
