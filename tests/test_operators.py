@@ -18,6 +18,7 @@ from turnweave.operators.groups import group_advantage
 from turnweave.functions.judging import read_replies
 from turnweave.operators.preferences import PreferenceFormat, incomplete, map_preferences
 from turnweave.operators.transforms import messages_to_query, transform_from_spec
+from turnweave.plans import stages
 from turnweave.plans.evaluation import evaluate, evaluate_file
 from turnweave.plans.rollouts import rollouts_from_settings
 from turnweave.session import configure
@@ -465,3 +466,14 @@ def test_rubric_file(spark, tmp_path):
     rubric = load_rubric(spark, str(path))
     assert (rubric.scale_min, rubric.scale_max, rubric.total_weight) == (1, 10, 2.0)
     assert load_rubric(spark) is BUILT_IN
+
+
+def test_rows_of_a_large_plan_are_made_in_many_tasks(spark):
+    plan = spark.range(60).selectExpr("'sft' AS alg", "IF(id % 3 = 0, 'a', 'b') AS chunk", "id AS run_id")
+    rows = spark.range(40).coalesce(1).selectExpr("'sft' AS alg", "IF(id % 2 = 0, 'a', 'b') AS chunk", "id AS row")
+    found = stages.stage_rows(plan, rows, max_plan_rows=10)
+    pairs = found.select("chunk", "run_id", "row", F.spark_partition_id().alias("task")).collect()
+    expected = Counter((c, p, r) for p in range(60) for r in range(40) if (c := "ab"[p % 3 > 0]) == "ab"[r % 2])
+    assert Counter((x.chunk, x.run_id, x.row) for x in pairs) == expected
+    # More tasks than the session has shuffle partitions.
+    assert len({x.task for x in pairs}) > 8

@@ -97,7 +97,8 @@ def stage_rows(plan: DataFrame, rows: DataFrame, max_plan_rows: int = BROADCAST_
 
     Rows stay where they are; the plan, a few rows per mask, goes to them. A plan of more than
     ``max_plan_rows`` is dealt by hash to places of about ``PLACE_ROWS`` of its rows, and each row to all of
-    them, so that the few chunks' keys do not hold all of a join, however large the plan is.
+    them, so that the few chunks' keys do not hold all of a join, however large the plan is. The partitions
+    are set, as adaptive execution would merge them by the bytes they read, which the pairs they make dwarf.
     """
     hinted = broadcast_if_small(plan, max_plan_rows)
     if hinted is not plan:
@@ -105,4 +106,7 @@ def stage_rows(plan: DataFrame, rows: DataFrame, max_plan_rows: int = BROADCAST_
     places = max(SALTS, -(-plan.count() // PLACE_ROWS))
     place = F.pmod(F.xxhash64(*plan.columns), F.lit(places)).cast("int").alias("_place")
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("_place")
-    return rows.select("*", everywhere).join(plan.select("*", place), ["alg", "chunk", "_place"]).drop("_place")
+    keys = ["alg", "chunk", "_place"]
+    partitions = max(places, int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = [side.repartition(partitions, *keys) for side in (rows.select("*", everywhere), plan.select("*", place))]
+    return dealt[0].join(dealt[1], keys).drop("_place")
