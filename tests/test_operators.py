@@ -477,3 +477,48 @@ def test_rows_of_a_large_plan_are_made_in_many_tasks(spark):
     assert Counter((x.chunk, x.run_id, x.row) for x in pairs) == expected
     # More tasks than the session has shuffle partitions.
     assert len({x.task for x in pairs}) > 8
+
+
+def test_large_plans_and_their_rows_are_both_dealt(spark, monkeypatch):
+    monkeypatch.setattr(stages, "PLACE_ROWS", 100)
+    # Runs and rows that are null or come twice, and a column that has no hash.
+    plan = spark.range(60).selectExpr("'sft' AS alg", "IF(id % 3 = 0, 'a', 'b') AS chunk", "IF(id % 7 > 0, id % 50, NULL) AS run_id")
+    rows = spark.range(4000).selectExpr("'sft' AS alg", "IF(id % 2 = 0, 'a', 'b') AS chunk", "IF(id % 9 > 0, id % 3900, NULL) AS row", "map('k', id % 3900) AS extra")
+    found = stages.stage_rows(plan, rows, max_plan_rows=10)
+    assert found.columns == ["alg", "chunk", "row", "extra", "run_id"]
+    pairs = found.select("chunk", "run_id", "row", F.col("extra")["k"].alias("k"), F.spark_partition_id().alias("task")).collect()
+    plan_rows = [("ab"[p % 3 > 0], p % 50 if p % 7 else None) for p in range(60)]
+    data_rows = [("ab"[r % 2], r % 3900 if r % 9 else None, r % 3900) for r in range(4000)]
+    expected = Counter((c, p, r, k) for c, p in plan_rows for d, r, k in data_rows if c == d)
+    assert Counter((x.chunk, x.run_id, x.row, x.k) for x in pairs) == expected
+    # Many rows are dealt to more places than a small plan has.
+    assert len({x.task for x in pairs}) > stages.SALTS
+
+
+def test_pairs_of_a_large_plan_are_counted_by_a_number(spark, tmp_path):
+    import re
+
+    from turnweave.catalog.staging import stage_rows_of_large_plan
+
+    users = [None, None, 0, 0, 1, 2, 7, 8, 13]
+    spark.createDataFrame([(i, u) for i, u in enumerate(users)], "event_id long, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    turns = [(c, t, r) for c in (0, 1, 1, 2, 3, 4, None) for t in (0, 1, None) for r in ("user", "assistant")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string").write.parquet(str(tmp_path / "conversations.parquet"))
+    chunks = {("sft", 0): 1, ("sft", 1): 2, ("sft", 2): 4, ("dpo", 0): 2, ("dpo", 1): 4}
+    plan = []
+    for user in set(users):
+        for series, mask in enumerate([None, None] if user is None else [user % 8, (user + 6) % 8], 1):
+            for stage in range(3):
+                alg = "dpo" if stage and mask is not None and mask >> stage & 1 else "sft"
+                plan.append((alg, chunks[alg, stage - (alg == "dpo")], (mask, series, stage)))
+    sizes = Counter(c % 4 + 1 for c, _, r in turns if r == "user" and c is not None)
+    n_rows, runs = Counter(), defaultdict(set)
+    for alg, chunk, run in plan:
+        n_rows[alg, f"chunk{chunk}"] += sizes[chunk]
+        runs[alg, f"chunk{chunk}"] |= {run}
+    counted = stage_rows_of_large_plan(spark, str(tmp_path))
+    found = {(x.alg, x.chunk): (x.n_rows, x.n_runs) for x in counted.collect()}
+    assert found == {key: (n, len(runs[key])) for key, n in n_rows.items()}
+    # Nothing but one number of each pair is looked up where the pairs are counted.
+    steps = counted._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[run#\d+L\], functions=\[partial_count\(1\)\]", steps)

@@ -99,8 +99,12 @@ GROUP BY alg, chunk"""
 def stage_rows_of_large_plan(spark, sf_dir):
     """Rows per dataset of the stages of many experiments, by the way that plans beyond a broadcast take."""
     plan = stages.with_datasets(_plan(spark, sf_dir), stages.dataset_manifest(spark)).select("alg", "chunk", "run_id", "user_id", "series", "stage")
+    plan = plan.where("chunk IS NOT NULL")
     rows = fx.turns(spark, sf_dir).where("role = 'user'").select(
         "conv_id", "turn", F.explode(F.array(F.lit("sft"), F.lit("dpo"))).alias("alg"), F.expr("concat('chunk', conv_id % 4 + 1)").alias("chunk")
     )
-    joined = stages.stage_rows(plan.where("chunk IS NOT NULL"), rows, max_plan_rows=10)
-    return joined.groupBy("alg", "chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("run_id").alias("n_runs"))
+    runs = stages.run_numbers(plan)
+    joined = stages.stage_rows(stages.with_run_numbers(plan, runs), rows, max_plan_rows=10)
+    # Every pair is counted, by its run's number; the runs' names are few.
+    counted = joined.groupBy("run").agg(F.count(F.lit(1)).alias("n_rows")).join(runs, "run")
+    return counted.groupBy("alg", "chunk").agg(F.sum("n_rows").alias("n_rows"), F.countDistinct("run_id").alias("n_runs"))
