@@ -103,8 +103,6 @@ def stage_rows_of_large_plan(spark, sf_dir):
     rows = fx.turns(spark, sf_dir).where("role = 'user'").select(
         "conv_id", "turn", F.explode(F.array(F.lit("sft"), F.lit("dpo"))).alias("alg"), F.expr("concat('chunk', conv_id % 4 + 1)").alias("chunk")
     )
-    runs = stages.run_numbers(plan)
+    runs = stages.runs_of(plan)
     joined = stages.stage_rows(stages.with_run_numbers(plan, runs), rows, max_plan_rows=10)
-    # Every pair is counted, by its run's number; the runs' names are few.
-    counted = joined.groupBy("run").agg(F.count(F.lit(1)).alias("n_rows")).join(runs, "run")
-    return counted.groupBy("alg", "chunk").agg(F.sum("n_rows").alias("n_rows"), F.countDistinct("run_id").alias("n_runs"))
+    return stages.rows_of_datasets(joined, runs)

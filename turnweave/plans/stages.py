@@ -6,8 +6,9 @@ An experiment is a row with an array of masks; each mask is a series of three st
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,20 +98,47 @@ def missing_datasets(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     return plan.join(broadcast_if_small(manifest), ["alg", "dataset_idx"], "left_anti")
 
 
-def run_numbers(plan: DataFrame) -> DataFrame:
-    """Each dataset and run of a plan once, numbered by ``run`` from 1 in their order.
-
-    Rows by the hundred million are grouped by one number some ten times as fast as by three texts. Runs are
-    sorted in one task: a run id names masks and stages, not whom they are for, so there are few of them.
-    """
-    return plan.select(*RUN).distinct().withColumn("run", F.row_number().over(Window.orderBy(*RUN)).cast("bigint"))
+def runs_of(plan: DataFrame) -> list[Row]:
+    """Each dataset and run of a plan once, in order. A run id names masks and stages, not whom they are for, so they are few."""
+    return plan.select(*RUN).distinct().orderBy(*RUN).collect()
 
 
-def with_run_numbers(plan: DataFrame, runs: DataFrame) -> DataFrame:
-    """Add each stage's ``run``, its number in the ``run_numbers`` of the plan. Unnamed runs have one, too."""
-    known = broadcast_if_small(runs.select("run", *(F.col(c).alias(f"_{c}") for c in RUN)))
+def with_run_numbers(plan: DataFrame, runs: list[Row]) -> DataFrame:
+    """Add each stage's ``run``, its place in the ``runs_of`` the plan."""
+    kinds = T.StructType([*(T.StructField(f"_{c}", T.StringType()) for c in RUN), T.StructField("run", T.LongType())])
+    numbers = local_table(plan.sparkSession, [dict(zip(kinds.names, (*run, i))) for i, run in enumerate(runs)], kinds)
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RUN]
-    return plan.join(known, same).select(*plan.columns, "run")
+    return plan.join(broadcast_if_small(numbers), same).select(*plan.columns, "run")
+
+
+def rows_of_datasets(joined: DataFrame, runs: list[Row]) -> DataFrame:
+    """How many ``stage_rows`` each dataset has, and how many runs that have names use it, by their numbers.
+
+    Every row is counted. Each dataset's rows are counted on their own, without groups, as a look-up in a table
+    of groups takes some ten times as long as all else that is done for a row. Runs share numbers of 64 bits.
+    """
+    members: dict[tuple, list[int]] = {}
+    for number, (*dataset, _) in enumerate(runs):
+        members.setdefault(tuple(dataset), []).append(number)
+
+    def counted(alg: str, chunk: str, own: list[int]) -> DataFrame:
+        # The runs of a dataset follow one another.
+        place = (F.col("run") - own[0]).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+        words = [own[at : at + 64] for at in range(0, len(own), 64)]
+        here = [bit] if len(words) == 1 else [F.when(F.shiftright(place, 6) == w, bit) for w in range(len(words))]
+        seen = [F.bit_or(bits).alias(f"_word{w}") for w, bits in enumerate(here)]
+        found = joined.where(F.col("run").between(own[0], own[-1])).agg(F.count(F.lit(1)).alias("n_rows"), *seen)
+        used = F.lit(0)
+        for w, numbers in enumerate(words):
+            named = sum(1 << i for i, n in enumerate(numbers) if runs[n].run_id is not None)
+            signed = named - (1 << 64) if named >> 63 else named
+            used = used + F.bit_count(F.coalesce(F.col(f"_word{w}"), F.lit(0)).bitwiseAND(F.lit(signed).cast("bigint")))
+        return found.where("n_rows > 0").select(F.lit(alg).alias("alg"), F.lit(chunk).alias("chunk"), "n_rows", used.cast("bigint").alias("n_runs"))
+
+    parts = [counted(*dataset, own) for dataset, own in members.items()]
+    none = joined.limit(0).select("alg", "chunk", F.lit(0).cast("bigint").alias("n_rows"), F.lit(0).cast("bigint").alias("n_runs"))
+    return reduce(DataFrame.unionByName, parts) if parts else none
 
 
 def _place(side: DataFrame, places: int) -> Column:
@@ -127,7 +155,8 @@ def stage_rows(plan: DataFrame, rows: DataFrame, max_plan_rows: int = BROADCAST_
     ``PLACE_ROWS`` of either side, a plan row goes to all places of its line and a training row to all of its
     column, so each two meet in one. So the few chunks' keys do not hold all of a join, and each side is copied
     by the other's size over ``PLACE_ROWS``, however large both are. The partitions are set, as adaptive
-    execution would merge them by the bytes they read, which the pairs they make dwarf.
+    execution would merge them by the bytes they read, which the pairs they make dwarf. A join by sorting reads
+    a plan row once for the training rows it meets, which lie side by side, a place's at once.
     """
     hinted = broadcast_if_small(plan, max_plan_rows)
     if hinted is not plan:
@@ -136,10 +165,11 @@ def stage_rows(plan: DataFrame, rows: DataFrame, max_plan_rows: int = BROADCAST_
     lines = max(-(-plan.count() // PLACE_ROWS), -(-SALTS // columns))
     every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (lines, columns)]
     sides = (
-        rows.select("*", _place(rows, columns).alias("_column"), every[0].alias("_line")),
         plan.select("*", _place(plan, lines).alias("_line"), every[1].alias("_column")),
+        rows.select("*", _place(rows, columns).alias("_column"), every[0].alias("_line")),
     )
     keys = ["alg", "chunk", "_line", "_column"]
     partitions = max(lines * columns, int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = [side.repartition(partitions, *keys) for side in sides]
-    return dealt[0].join(dealt[1], keys).drop("_line", "_column")
+    others = [c for side in (rows, plan) for c in side.columns if c not in keys]
+    return dealt[0].join(dealt[1], keys).select("alg", "chunk", *others)
