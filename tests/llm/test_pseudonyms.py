@@ -6,6 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from turnweave.llm import pseudonyms
 from turnweave.llm.pseudonyms import found, pseudonymize
 
 
@@ -157,3 +158,50 @@ def test_long_runs_of_groups(spark):
     text = "12 " * 3000 + number + " 12" * 3000
     there, _ = both(spark, [text])
     assert number not in there[0] and len(there[0]) == len(text)
+
+
+def plain_pattern():
+    """What is looked for, without any look at how a value begins."""
+    mail = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}"
+    kinds = "|".join([pseudonyms.IBAN, mail, *(pattern for pattern, _ in pseudonyms.KINDS[1:])])
+    return f"{pseudonyms.LEFT}(?:{kinds}){pseudonyms.RIGHT}|{pseudonyms.LEFT}(?:{pseudonyms.DIGITS})"
+
+
+ODD_PIECES = [
+    *("4111 1111 1111 1111", "4111111111111111", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "2023-01-05", "24.12.1999", "078-05-1120"),
+    *("10.1.2.3", "(743) 555-3824", "+1 (743) 555-3824", "743-555-3824", "jo.doe9@mail5.example.com", "a@b.co", "a.@b.com", "-a@b.com", "a@b..com", "1.2.3.4@x.org"),
+    *("a" * 63 + "@q.com", "a" * 64 + "@q.com", "a" * 65 + "@q.com", "a" + "." * 62 + "b@q.com", "a" + "." * 63 + "b@q.com", "@", "+", "(", "-", ".", " ", " ", "NO", "DE12", "12", "word", "é", "\n"),
+    *("", "", "", "12"),
+]
+
+
+def test_looking_at_the_start_loses_and_adds_nothing():
+    draw, plain, values = random.Random(4), re.compile(plain_pattern()), 0
+    with_mail, without = map(re.compile, pseudonyms.ANY)
+    for _ in range(20000):
+        text = "".join(draw.choice(ODD_PIECES) + draw.choice(["", " ", " "]) for _ in range(draw.randrange(9)))
+        expected = [m.span() for m in plain.finditer(text)]
+        assert [m.span() for m in (with_mail if "@" in text else without).finditer(text)] == expected, text
+        values += len(expected)
+    assert values > 10000
+
+
+def test_texts_without_values_are_not_searched_again(spark):
+    draw = random.Random(6)
+    texts = ["".join(draw.choice(ODD_PIECES) + draw.choice(["", " "]) for _ in range(draw.randrange(7))) for _ in range(400)]
+    rows = spark.createDataFrame([*enumerate(texts), (400, None), (401, ""), (402, None), (403, "")], "doc_id long, text string")
+    counted = rows.withColumn("n", found("text"))
+    searched, known = (df.orderBy("doc_id").collect() for df in (pseudonymize(counted, key="k"), pseudonymize(counted, key="k", n_found="n")))
+    assert searched == known
+    plain = re.compile(plain_pattern())
+    assert [r.n for r in known] == [len(plain.findall(t)) for t in texts] + [0] * 4
+    assert all(r.text == t for r, t in zip(known, texts) if not r.n)
+    # The count is trusted, a null one too.
+    told = spark.createDataFrame([("10.1.2.3", 0), ("10.1.2.3", None), ("10.1.2.3", 1)], "text string, n int")
+    assert [r.text == "10.1.2.3" for r in pseudonymize(told, key="k", n_found="n").collect()] == [True, True, False]
+
+
+def test_each_pass_searches_a_text_once():
+    for patterns in (pseudonyms.ACCOUNTS, pseudonyms.NUMBERS, pseudonyms.OTHERS):
+        made = pseudonyms._replaced("t", patterns, "upper(m)")
+        assert [made.count(pseudonyms._text(pattern)) for pattern in patterns] == [1] * len(patterns)

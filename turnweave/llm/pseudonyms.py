op4_pseudonyms: searches look first at how a value begins, and each text is searched once a pass

Symptom: op4_pseudonyms took 880 CPU seconds an input GB (JVM 876, Python 0, GC 5) on 0.51 GB of documents, nearly all of it in regular expressions.
Evidence: on 0.10 GB counting the values took 50 CPU seconds and the test for account numbers 33; every word start tried 18 lists of countries, mail names were tried at every shorter length, and a text with a value was searched three times a pass (test, split, extract) with the pattern compiled anew for each text that is split.
Fix: patterns look at a value's first characters before anything else, mail names are possessive, texts without an @ are searched without the mail pattern, one regexp_replace a pass sets the matches off, and rows whose n_found is 0 keep their text without a second search.
Effect: at 0.6 GB of input CPU 808 -> 161 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.60 -> 0.60 GB, longest task 65 -> 11 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 7309 -> 677 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 6.04 -> 6.04 GB, longest task 159 -> 20 s, most memory of a task 0 -> 0 MB; with hot keys, at 0.6 GB of input CPU 346 -> 129 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.18 -> 0.18 GB, longest task 29 -> 8 s, most memory of a task 0 -> 0 MB.

@@ -18,7 +18,8 @@ ROUNDS = 8
 FIRST_DAY, DAY_ROWS, DAY_COLUMNS = "1800-01-01", 189, 773
 
 # What may be personal. Values are told apart again by the same patterns, whole.
-MAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}"
+# The name before an @ is possessive: behind a shorter one is no @, so the engine need not try it.
+MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+(?<=[A-Za-z0-9])@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}"
 #: Groups of digits that may hold card numbers, as far as they go; groups that are part of something else
 #: are left out. Possessive, as the engine would otherwise keep a frame for each group.
 _GROUP = r"[0-9]++(?![A-Za-z@]|\.[0-9])"
@@ -36,18 +37,27 @@ IBAN_SIZES = {
     29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
 IBAN = "|".join(f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{size - 4}}}" for size, countries in IBAN_SIZES.items())
+#: What each kind begins with, mail addresses aside. A search looks at this first, as few places of a text begin a value.
+IBAN_START, DIGITS_START, START = "[A-Z][A-Z][0-9][0-9]", "[0-9]", "[0-9(+]"
 LEFT, RIGHT = r"(?<![A-Za-z0-9])(?<![0-9][.,-])(?<!\+)", r"(?![A-Za-z0-9@]|[.-][0-9])"
 #: Around what a pass has replaced, so that later ones leave it alone; a mark in a text is followed by ``ESCAPE``.
 MARK, END, ESCAPE = "\ue000", "\ue001", "\ue002"
 #: Number n says that n groups of digits are one number.
 CODES = "".join(chr(0xE010 + n) for n in range(CARD_SIZES[1] + 1))
 MARKED = f"{MARK}[^{END}{ESCAPE}]+{END}"
+#: Around each match of a search. No text has two marks in a row: behind a mark is an escape or a value. No match begins or ends right behind a mark.
+BORDER = MARK * 2
 
 
 def _guarded(pattern: str, right: str = RIGHT) -> str:
     return f"{LEFT}(?:{pattern}){right}"
 
 
+def _starting(start: str, pattern: str) -> str:
+    """The pattern, tried only where ``start`` stands."""
+    return f"(?={start})(?:{pattern})"
+
+
 def _text(value: str) -> str:
     """A string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -158,7 +168,7 @@ def cards(m: str, p: Permutation) -> str:
     coded = f"array_join(transform(g, (x, i) -> concat({named(f'slice(g, i + 1, {most})', 'h', code)}, x)), '')"
     # A code for n groups takes the codes of those groups with it.
     spans = "|".join(f"{CODES[n]}[0-9]+(?:[ -][{CODES}][0-9]+){{{n - 1}}}" for n in range(most, 0, -1))
-    replaced = _replaced("u", spans, named(f"translate(m, '{CODES}', '')", "v", marked(card("v", p))))
+    replaced = _replaced("u", (spans,), named(f"translate(m, '{CODES}', '')", "v", marked(card("v", p))))
     return named(f"regexp_extract_all({m}, '[0-9]+[ -]?', 0)", "g", named(coded, "u", f"translate({replaced}, '{CODES}', '')"))
 
 
@@ -223,8 +233,20 @@ def mail(m: str, p: Permutation) -> str:
 
 
 KINDS = ((MAIL, mail), (DATE, date), (SOCIAL, social), (ADDRESS, address), (PHONE, phone))
+# Only a digit, ( or + begins a value that is no mail address, so texts without an @ are searched for those alone.
+_OTHERS = _starting(START, "|".join(pattern for pattern, _ in KINDS[1:]))
+_WITH_MAIL = f"{MAIL}|{_OTHERS}"
+_ACCOUNTS, _NUMBERS = _starting(IBAN_START, IBAN), _starting(DIGITS_START, DIGITS)
 #: What each pass looks for. Account numbers go first, as their check is the strongest, and mail addresses last.
-PASSES = (_guarded(IBAN), f"{MARKED}|{_guarded(DIGITS, '')}", f"{MARKED}|{_guarded('|'.join(pattern for pattern, _ in KINDS))}")
+#: Of two patterns, the first is for texts with an @ and the second for those without.
+ACCOUNTS = (_starting(IBAN_START, _guarded(IBAN)),)
+NUMBERS = (_starting(f"[{MARK}0-9]", f"{MARKED}|{_guarded(DIGITS, '')}"),)
+OTHERS = (f"{MARKED}|{_guarded(_WITH_MAIL)}", _starting(f"[{MARK}0-9(+]", f"{MARKED}|{_guarded(_OTHERS)}"))
+#: What any of them looks for.
+ANY = (
+    _guarded(f"(?:{_ACCOUNTS}|{_WITH_MAIL}){RIGHT}|{_NUMBERS}", ""),
+    _starting("[A-Z0-9(+]", _guarded(f"(?:{_ACCOUNTS}|{_OTHERS}){RIGHT}|{_NUMBERS}", "")),
+)
 
 
 def marked(value: str) -> str:
@@ -242,35 +264,37 @@ def pseudonym(m: str, p: Permutation) -> str:
     return f"CASE WHEN startswith({m}, '{MARK}') THEN substr({m}, 2, length({m}) - 2) {cases} ELSE {m} END"
 
 
-def _replaced(t: str, pattern: str, made: str) -> str:
-    """The text with every match ``m`` of the pattern replaced by ``made``."""
-    pattern = _text(pattern)
-    return (
-        f"IF({t} RLIKE {pattern}, array_join(zip_with(split({t}, {pattern}, -1), "
-        f"concat(transform(regexp_extract_all({t}, {pattern}, 0), m -> {made}), array('')), "
-        f"(part, value) -> concat(part, value)), ''), {t})"
-    )
+def _replaced(t: str, patterns: tuple[str, ...], made: str) -> str:
+    """The text with every match ``m`` of the pattern replaced by ``made``.
+
+    Of two patterns, the first is for texts with an @ and the second for those without. The text is searched
+    once: the search sets each match off, so that every second part is one.
+    """
+    searched = [f"regexp_replace({t}, {_text(pattern)}, '{BORDER}$0{BORDER}')" for pattern in patterns]
+    parted = searched[0] if len(searched) == 1 else f"IF(contains({t}, '@'), {searched[0]}, {searched[1]})"
+    joined = f"array_join(transform(split(parted, '{BORDER}'), (m, i) -> IF(i % 2 = 1, {made}, m)), '')"
+    return named(parted, "parted", f"IF(contains(parted, '{BORDER}'), {joined}, parted)")
 
 
 def pseudonymized(text: Column | str, key: str, back: bool = False) -> Column:
     """The text with each personal value replaced by its pseudonym; with ``back`` the other way."""
     name = text if isinstance(text, str) else text._jc.toString()
     p = Permutation(key, back)
-    accounts, numbers, others = PASSES
-    out = _replaced("t2", others, pseudonym("m", p))
-    out = named(_replaced("t1", numbers, unmarked("m", cards("m", p))), "t2", out)
-    out = named(_replaced("t0", accounts, iban("m", p)), "t1", out)
+    out = _replaced("t2", OTHERS, pseudonym("m", p))
+    out = named(_replaced("t1", NUMBERS, unmarked("m", cards("m", p))), "t2", out)
+    out = named(_replaced("t0", ACCOUNTS, iban("m", p)), "t1", out)
     out = named(f"replace({name}, '{MARK}', '{MARK}{ESCAPE}')", "t0", out)
     return F.expr(f"replace({out}, '{MARK}{ESCAPE}', '{MARK}')")
 
 
 def found(text: str) -> Column:
     """How many values the patterns find, whether they pass a check or not."""
-    whole = _guarded("|".join([IBAN, *(pattern for pattern, _ in KINDS)]))
-    return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(f"{whole}|{_guarded(DIGITS, '')}")), F.lit(0)).cast("bigint")
+    value = F.col(f"`{text}`")
+    with_mail, without = (F.regexp_count(value, F.lit(pattern)) for pattern in ANY)
+    return F.coalesce(F.when(value.contains("@"), with_mail).otherwise(without), F.lit(0)).cast("bigint")
 
 
-def pseudonymize(docs: DataFrame, text: str = "text", *, key: str, back: bool = False) -> DataFrame:
+def pseudonymize(docs: DataFrame, text: str = "text", *, key: str, back: bool = False, n_found: str | None = None) -> DataFrame:
     """The documents with pseudonyms in ``text``; other columns, order and number of rows stay.
 
     Mail addresses keep their domain; their local part is taken in lower case. Numbers keep
@@ -279,6 +303,10 @@ def pseudonymize(docs: DataFrame, text: str = "text", *, key: str, back: bool =
     2199 become such dates. What looks like one but fails its check stays, and so do null and
     empty texts. Numbers in a row of digit groups are found whatever stands around them; where such
     a row reads as two numbers of different length, the usual length counts, in either direction, so
-    turning a text back may take another reading of it. Nothing is shuffled.
+    turning a text back may take another reading of it. Nothing is shuffled. With ``n_found``, a column
+    that holds what ``found`` counts in ``text``, texts in which nothing was found are not searched again.
     """
-    return docs.withColumn(text, pseudonymized(f"`{text}`", key, back))
+    made = pseudonymized(f"`{text}`", key, back)
+    if n_found is not None:
+        made = F.when(F.col(f"`{n_found}`") > 0, made).otherwise(F.col(f"`{text}`"))
+    return docs.withColumn(text, made)

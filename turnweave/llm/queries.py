@@ -158,7 +158,7 @@ PSEUDONYM_KEY = "key of the test tables"
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for its personal values, and how many were looked at."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("n_found", found("text"))
-    return pseudonymize(docs, key=PSEUDONYM_KEY)
+    return pseudonymize(docs, key=PSEUDONYM_KEY, n_found="n_found")
 
 
 @query()
