@@ -1,6 +1,8 @@
 """Best-fit packs, exact splits, orders of epochs and summaries that add up."""
 
+import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -97,3 +99,46 @@ def test_summaries_add_up(spark, tmp_path):
     assert rounded(kept_summary(spark, path, BUILT_IN, run)) == rounded(summarize(frame, BUILT_IN, ("run",)))
     # Without a key there is one row, also for no input.
     assert kept_summary(spark, str(tmp_path / "none"), BUILT_IN).first().n == 0
+
+
+def plain_places(n, epoch, seed):
+    """The order of an epoch in plain Python."""
+    rows, columns = ids.shuffle_sizes(n)
+
+    def permuted(place):
+        left, right = divmod(place, columns)
+        for step in range(ids.SHUFFLE_ROUNDS):
+            fixed = left if step % 2 else right
+            moved = int(hashlib.md5("|".join([str(seed), *([] if epoch is None else [str(epoch)]), str(step), str(fixed)]).encode()).hexdigest()[:8], 16)
+            left, right = (left, (right + moved) % columns) if step % 2 else ((left + moved) % rows, right)
+        return left * columns + right
+
+    def place(row):
+        found = permuted(row)
+        while found >= n:
+            found = permuted(found)
+        return found
+
+    return [place(row) for row in range(n)]
+
+
+def test_order_of_epochs_against_plain_python(spark):
+    frame = ids.with_epochs(spark.range(47), 3).unionByName(spark.range(47).withColumn("epoch", F.lit(None).cast("int")))
+    # Rows may come twice, and columns named as the new one are replaced.
+    twice = frame.unionByName(frame).withColumn("place", F.lit("x"))
+    rows = ids.with_epoch_order(twice, 47, seed=3)
+    assert rows.columns == ["id", "epoch", "place"]
+    expected = [(i, e, p) for e in (1, 2, 3, None) for i, p in enumerate(plain_places(47, e, 3))] * 2
+    assert sorted(map(str, rows.collect())) == sorted(f"Row(id={i}, epoch={e}, place={p})" for i, e, p in expected)
+    assert ids.with_epoch_order(twice.limit(0), 0).count() == 0
+    with pytest.raises(Exception, match="no place found"):
+        ids.with_epoch_order(spark.sql("SELECT CAST(NULL AS BIGINT) AS id, 1 AS epoch"), 47).collect()
+
+
+def test_an_order_is_computed_once_a_row_and_compiled(spark):
+    plan = ids.with_epoch_order(ids.with_epochs(spark.range(1000), 3), 1000)._jdf.queryExecution().executedPlan().toString()
+    looped = next(line for line in plan.splitlines() if "aggregate(" in line)
+    # The loop begins with a column of the step before it, and is only for rows beyond the table.
+    assert re.search(r"CASE WHEN \(_first#\d+L < 1000\) THEN _first#\d+L ELSE aggregate\([^,]*, _first#\d+L, ", looped)
+    compiled = [line for line in plan.splitlines() if "md5(" in line and re.match(r"\W*\*\(\d+\) Project", line)]
+    assert len(compiled) == 1 and "aggregate(" not in compiled[0]
