@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnweave.catalog import QUERIES
 from turnweave.operators import ids, training
 from turnweave.operators.summary import summarize
 from turnweave.sources.rubrics import BUILT_IN
@@ -142,3 +143,29 @@ def test_an_order_is_computed_once_a_row_and_compiled(spark):
     assert re.search(r"CASE WHEN \(_first#\d+L < 1000\) THEN _first#\d+L ELSE aggregate\([^,]*, _first#\d+L, ", looped)
     compiled = [line for line in plan.splitlines() if "md5(" in line and re.match(r"\W*\*\(\d+\) Project", line)]
     assert len(compiled) == 1 and "aggregate(" not in compiled[0]
+
+
+def test_rows_of_a_full_partition_are_dealt_anew(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(ids, "TASK_ROWS", 100)
+    sizes = lambda df: [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    rows = lambda df: sorted(map(str, df.collect()))
+    # One key has most of the rows, so one task sorts them.
+    uneven = spark.range(0, 900, 1, 1).union(spark.range(900, 1000, 1, 3)).select("id", F.lit(None).cast("string").alias("k"))
+    dealt, n = ids.dealt_by_rows(uneven)
+    assert n == 1000 and max(sizes(uneven)) == 900 and max(sizes(dealt)) < 200 and len(sizes(dealt)) == 10
+    assert rows(dealt) == rows(uneven)
+    # Other rows stay where they are.
+    even = spark.range(0, 597, 1, 3)
+    same, n = ids.dealt_by_rows(even)
+    assert same is even and n == 597
+    nothing, n = ids.dealt_by_rows(spark.range(0))
+    assert n == 0 and nothing.count() == 0
+    # The order of epochs is the same, whoever computes it; equal keys and null ones are rows of their own.
+    turns = [(7, 0, "user")] * 500 + [(None, 0, "user"), (None, None, "user"), (3, None, "user")] * 5 + [(i, 2, "user") for i in range(40)] + [(7, 1, "assistant")] * 9
+    spark.createDataFrame(turns, "conv_id long, turn long, role string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    ordered = QUERIES["epoch_order"](spark, str(tmp_path))
+    assert "hashpartitioning(id" in ordered._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(ids, "TASK_ROWS", 10**6)
+    kept = QUERIES["epoch_order"](spark, str(tmp_path))
+    assert "hashpartitioning(id" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(ordered) == rows(kept) and ordered.count() == 3 * 555

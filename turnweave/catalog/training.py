epoch_order: numbered rows are dealt anew where the sort left far too many in one partition

Symptom: with a fifth of 4 million rows under one key, the task of that key took 13.5 s in the stage that orders the epochs, the median task 3.6 s.
Evidence: the sort by conversation and turn puts all rows of a key into one task (1,023,866 rows, median 261,489), and Spark merges its partitions by compressed bytes, which are few for equal rows, so splitting the key in the sort was tried and merged back; the step after it takes long for each row.
Fix: rows are counted by partition in place of the plain count; if one holds 500,000 rows or more, the narrow rows are dealt by their number into tasks of about 250,000 before the epochs are made. Other tables keep their plan.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 94 -> 75 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.00 -> 0.00 GB, longest task 19 -> 3 s, most memory of a task 38 -> 38 MB; at 6 GB of input CPU 212 -> 109 s, shuffle 0.01 -> 0.01 GB, spill 0.00 -> 0.00 GB, read 0.02 -> 0.02 GB, longest task 24 -> 4 s, most memory of a task 42 -> 42 MB; with hot keys, at 1 GB of input CPU 81 -> 74 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.01 -> 0.01 GB, longest task 10 -> 2 s, most memory of a task 36 -> 36 MB.

@@ -278,6 +278,6 @@ SELECT conv_id, turn, epoch, p AS place, p // 64 AS batch FROM walk WHERE p < n"
 )
 def epoch_order(spark, sf_dir):
     """Batches of three epochs, each in an order of its own."""
-    numbered = _numbered(spark, sf_dir)
-    ordered = ids.with_epoch_order(ids.with_epochs(numbered, 3), numbered.count(), seed=7)
+    numbered, n = ids.dealt_by_rows(_numbered(spark, sf_dir))
+    ordered = ids.with_epoch_order(ids.with_epochs(numbered, 3), n, seed=7)
     return ids.with_batches(ordered, 64, 16, row="place").select("conv_id", "turn", "epoch", "place", "batch")

@@ -169,6 +169,24 @@ def first_rows(df: DataFrame, limit: int | None, *keys: str) -> DataFrame:
     return df if limit is None else df.orderBy(*keys).limit(limit)
 
 
+#: Rows for one task of a step that takes long for each row.
+TASK_ROWS = 250_000
+
+
+def dealt_by_rows(df: DataFrame, key: str = "id") -> tuple[DataFrame, int]:
+    """The rows, and how many there are; dealt anew by ``key`` if a partition holds twice ``TASK_ROWS`` or more.
+
+    For rows out of a sort, before a step that takes long for each of them: equal keys are sorted by one task,
+    and Spark merges partitions by their compressed bytes, which are few for narrow rows and fewer for equal
+    ones. Counting reads ``df`` once and brings one number a partition to the driver.
+    """
+    counts = df.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = [r["_rows"] for r in counts.collect()]
+    if max(sizes, default=0) < 2 * TASK_ROWS:
+        return df, sum(sizes)
+    return df.repartition(-(-sum(sizes) // TASK_ROWS), key), sum(sizes)
+
+
 def with_epochs(df: DataFrame, epochs: int) -> DataFrame:
     """Each row once per epoch, 1 … ``epochs``."""
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
